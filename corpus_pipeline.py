@@ -1,15 +1,62 @@
-"""The corpus pipeline; its stages follow with their operators."""
+"""The corpus pipeline: toxic documents go, then boilerplate lines, then near-duplicates; the rest is packed.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next
+stage's docs.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paysieve.llm import dart_minhash, line_dedup, nnls_packing, queries, shared, toxicity
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon does not call toxic; it learns from every labelled document."""
+    shared.ship_package(spark)
+    lexicon = queries.trained_lexicon(spark, sf_dir, all_rows=True)
+    return toxicity.score_texts(docs.select(COLUMNS), lexicon).where("predicted = 0").select(COLUMNS)
+
+
+def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without their source's boilerplate lines."""
+    shared.ship_package(spark)
+    out = line_dedup.drop_boilerplate(docs.select(COLUMNS), **queries.BOILERPLATE)
+    text = F.when(F.col("n_dropped") > 0, F.col("clean_text")).otherwise(F.col("text"))
+    return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("n_dropped") > 0, F.length("clean_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one with the least doc_id."""
+    shared.ship_package(spark)
+    return dart_minhash.kept_documents(docs.select(COLUMNS))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in sequences of at most 2048 tokens."""
+    shared.ship_package(spark)
+    pieces = nnls_packing.pack_documents(docs, queries.tokenizer_path(), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_boilerplate_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: The learned lexicon, the near-duplicate classes and the packing are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = shared.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,10 +1,10 @@
 """Operator 10: encoding through a table of distinct words, decoding through an id-to-piece join.
 
 Texts are split into white-space words in blocks of some MB.  A block keeps, for each position,
-the number of the word among the block's distinct words; the distinct words themselves are dealt
-out by word, so that all blocks' uses of a word meet in one place, where it is encoded once.  Its
-ids go back to each block and are joined to the positions by number.  Decoding joins ids with the
-vocabulary's pieces, a table that the vocabulary bounds.
+the number of its word among the block's distinct words; the distinct words themselves are dealt
+out by a hash into shares, so that all blocks' uses of a word meet in one task, where the word is
+encoded once.  The ids go back to each block and are joined to the positions by number.
+Decoding joins ids with the vocabulary's pieces, a table that the vocabulary bounds.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paysieve.llm import shared, words
+from paysieve.llm import shared, shingles, words
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[tuple[int, pa.Table, pa.Array, np.ndarray, np.ndarray]]:
-    """Block id, rows, distinct words, number of the word at each position, and where each text starts.
+def _blocks(batches: Iterator[pa.RecordBatch], most_bytes: int, shares: int) -> Iterator[tuple[int, pa.Table, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """Block id, rows, distinct words by share, where shares start, each position's word, where texts start.
 
     The blocks follow from a partition's rows alone, so a repeated task makes the same ones.
     """
@@ -30,11 +30,18 @@ def _blocks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[tupl
     held: list[pa.RecordBatch] = []
     size = 0
 
-    def block() -> tuple[int, pa.Table, pa.Array, np.ndarray, np.ndarray]:
+    def block():
         rows = pa.Table.from_batches(held).combine_chunks()
         at, offsets = words.split(shared.as_array(rows.column("text")))
         coded = at.dictionary_encode()
-        return (part << 32) + k, rows, coded.dictionary, np.asarray(coded.indices, dtype=np.int32), offsets
+        distinct = coded.dictionary
+        share = (shingles.hashed(distinct) % np.uint64(shares)).astype(np.int32)
+        order = np.argsort(share, kind="stable")
+        number = np.empty(len(order), dtype=np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        codes = number[np.asarray(coded.indices)] if len(order) else np.zeros(0, np.int32)
+        starts = np.searchsorted(share[order], np.arange(shares + 1))
+        return (part << 32) + k, rows, distinct.take(pa.array(order)), starts, codes, offsets
 
     for batch in batches:
         for own in shared.slices(batch, "text", 1 << 20):
@@ -43,27 +50,41 @@ def _blocks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[tupl
             if size >= most_bytes:
                 yield block()
                 held, size, k = [], 0, k + 1
+                pa.default_memory_pool().release_unused()
     if held:
         yield block()
 
 
-def _word_rows(batches, most_bytes: int):
-    for block, _, distinct, _, _ in _blocks(batches, most_bytes):
-        for at in range(0, len(distinct), 50_000):
-            own = distinct.slice(at, 50_000)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array(np.arange(at, at + len(own), dtype=np.int32)), own], ["block", "number", "word"])
+def _word_rows(batches, most_bytes: int, shares: int):
+    """A row for each block and share, with the share's words in one text."""
+    for block, _, distinct, starts, _, _ in _blocks(batches, most_bytes, shares):
+        full = np.flatnonzero(np.diff(starts))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts[full], starts[-1]).astype(np.int32)), distinct)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(full), block)), pa.array(full.astype(np.int32)), pc.binary_join(lists, " ")], ["block", "share", "words"])
 
 
-def _position_rows(batches, most_bytes: int):
-    for block, rows, distinct, codes, offsets in _blocks(batches, most_bytes):
-        narrow = codes.astype("<u2") if len(distinct) < 65_536 else codes.astype("<u4")
-        body = pa.compress(np.ascontiguousarray(narrow.view(np.uint8).reshape(-1, narrow.itemsize).T).tobytes(), "zstd", asbytes=True) if len(codes) else b""
-        columns = [[block], [rows.column("doc_id").to_pylist()], [np.diff(offsets).tolist()], [len(distinct)], [narrow.itemsize], [body]]
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["block", "doc_ids", "n_words", "n_distinct", "width", "codes"])
+def _position_rows(batches, most_bytes: int, shares: int):
+    for block, rows, distinct, _, codes, offsets in _blocks(batches, most_bytes, shares):
+        columns = [[block], [rows.column("doc_id").to_pylist()], [np.diff(offsets).tolist()], [len(distinct)], [_squeezed(codes)]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["block", "doc_ids", "n_words", "n_distinct", "codes"])
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers below 2^32, the like bytes of all together, compressed; the count comes first."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(numbers) else b"")
+
+
+def _spread_out(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, dtype=np.uint32)
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd", asbytes=True), dtype=np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 12 << 20) -> DataFrame:
     """doc_id, n_tokens and ids (u32, little-endian bytes) of every text, as the tokenizer gives them.
 
     A null text is empty and has no ids.  Repeated rows and null or repeated doc_ids stay rows of
@@ -75,37 +96,38 @@ def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     def encoded(batches):
         encode = words.encoder(tokenizer)
         for batch in batches:
-            coded = batch.column("word").dictionary_encode()
-            ids = encode.of_distinct(coded.dictionary)
-            edges = (4 * np.asarray(ids.offsets, dtype=np.int64)).astype(np.int32)
-            flat = np.asarray(ids.values, dtype="<u4")
-            raw = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(flat.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("number"), raw.take(coded.indices)], ["block", "number", "ids"])
-
-    table = texts.mapInArrow(lambda b: _word_rows(b, block_bytes), "block long, number int, word string").repartition(parts, "word").mapInArrow(encoded, "block long, number int, ids binary")
-    positions = texts.mapInArrow(lambda b: _position_rows(b, block_bytes), "block long, doc_ids array<long>, n_words array<long>, n_distinct long, width int, codes binary")
+            for own in shared.slices(batch, "words", 2 << 20):
+                lists = pc.ascii_split_whitespace(own.column("words"))
+                coded = lists.flatten().dictionary_encode()
+                table = encode.of_distinct(coded.dictionary)
+                starts = np.asarray(lists.offsets, dtype=np.int64) - lists.offsets[0].as_py()
+                ids, edges = words.spread(table, np.asarray(coded.indices, dtype=np.int64), starts)
+                sizes = np.asarray(pc.list_value_length(table), dtype="<u4")[np.asarray(coded.indices)]
+                rows = [_squeezed(sizes[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+                found = [_squeezed(ids[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                columns = [own.column("block"), own.column("share"), pa.array(rows, pa.binary()), pa.array(found, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "share", "sizes", "ids"])
+            pa.default_memory_pool().release_unused()
+
+    distinct = texts.mapInArrow(lambda b: _word_rows(b, block_bytes, parts), "block long, share int, words string")
+    table = distinct.repartitionById(parts, F.col("share")).mapInArrow(encoded, "block long, share int, sizes binary, ids binary")
+    positions = texts.mapInArrow(lambda b: _position_rows(b, block_bytes, parts), "block long, doc_ids array<long>, n_words array<long>, n_distinct long, codes binary")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["doc_id", "n_tokens", "ids"]
-        if left.num_rows != 1 or right.num_rows != left.column("n_distinct")[0].as_py():
-            raise ValueError("a block's words and positions differ")
-        width = left.column("width")[0].as_py()
+        right = right.sort_by("share").combine_chunks()
         n_words = np.array(left.column("n_words")[0].as_py(), dtype=np.int64)
-        body = left.column("codes")[0].as_py()
-        size = int(n_words.sum()) * width
-        raw = np.frombuffer(pa.decompress(body, size, "zstd", asbytes=True) if size else b"", dtype=np.uint8)
-        codes = np.ascontiguousarray(raw.reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
-        back = np.empty(right.num_rows, dtype=np.int64)
-        back[np.asarray(right.column("number"))] = np.arange(right.num_rows)
-        of_word = shared.as_array(right.column("ids"))
-        offsets = np.asarray(pa.Array.from_buffers(pa.int32(), len(of_word) + 1, [None, of_word.buffers()[1]], offset=of_word.offset)) if len(of_word) else np.zeros(1, np.int32)
-        values = np.frombuffer(of_word.buffers()[2], dtype="<u4") if len(of_word) and of_word.buffers()[2] else np.zeros(0, "<u4")
-        lists = pa.ListArray.from_arrays(pa.array((offsets // 4).astype(np.int32)), pa.array(values))
-        ids, edges = words.spread(lists, back[codes], np.concatenate([[0], np.cumsum(n_words)]))
-        raw = ids.astype("<u4").tobytes()
+        sizes = np.concatenate([np.zeros(0, np.uint32), *map(_spread_out, right.column("sizes").to_pylist())])
+        flat = np.concatenate([np.zeros(0, np.uint32), *map(_spread_out, right.column("ids").to_pylist())])
+        if left.num_rows != 1 or len(sizes) != left.column("n_distinct")[0].as_py():
+            raise ValueError("a block's words and positions differ")
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+        codes = _spread_out(left.column("codes")[0].as_py()).astype(np.int64)
+        ids, edges = words.spread(lists, codes, np.concatenate([[0], np.cumsum(n_words)]))
+        body = pa.py_buffer(ids.astype("<u4").tobytes())
+        packed = pa.Array.from_buffers(pa.large_binary(), len(n_words), [None, pa.py_buffer((4 * edges).astype(np.int64).tobytes()), body]).cast(pa.binary())
         doc_ids = left.column("doc_ids")[0].as_py()
-        packed = [raw[4 * a : 4 * b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        return pa.table([pa.array(doc_ids, pa.int64()), pa.array(np.diff(edges), pa.int64()), pa.array(packed, pa.binary())], names)
+        pa.default_memory_pool().release_unused()
+        return pa.table([pa.array(doc_ids, pa.int64()), pa.array(np.diff(edges), pa.int64()), packed], ["doc_id", "n_tokens", "ids"])
 
     return positions.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(joined, "doc_id long, n_tokens long, ids binary")
 
@@ -128,6 +150,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
                 body = taken.buffers()[2].to_pybytes() if len(ids) else b""
                 texts = [body[a : max(a, b - 1)].decode() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(texts, pa.string())], [*own.schema.names, "decoded"])
+            pa.default_memory_pool().release_unused()
 
     from pyspark.sql import types as T
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Ite
     """Runs of rows of ``batch`` with about ``most_bytes`` of text each; a longer text comes alone."""
     if not batch.num_rows:
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
     group = (np.cumsum(sizes + 64) - 1) // most_bytes
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for start, end in zip(edges[:-1], edges[1:], strict=True):
