@@ -49,7 +49,8 @@ def hashed(strings: pa.Array) -> np.ndarray:
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and where each text's words start."""
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    # without blanks at the end, which the splitting does not always take for blanks
+    lists = pc.utf8_split_whitespace(pc.utf8_rtrim_whitespace(pc.utf8_lower(pc.fill_null(texts, ""))))
     offsets = np.asarray(lists.offsets, dtype=np.int64)
     values = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
     offsets = offsets - offsets[0]
