@@ -9,6 +9,8 @@ The matched weight, divided by the text's words, gives the score through a logis
 from __future__ import annotations
 
 import math
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,12 +24,14 @@ from paysieve.llm import shared
 
 #: Signs that are read as the letter below them.
 _LOOKS = (
-    "0134578@$!|" + "абвгеёзикмнопрстухіјѕԁԛԝ" + "αβγεικνορτυχ" + "ı",
-    "oieastbasil" + "abbreezukmhonpctyxijsdqw" + "abyeikvoptux" + "i",
+    "0134578@$" + "абвгеёзикмнопрстухіјѕԁԛԝ" + "αβγεικνορτυχ" + "ı",
+    "oieastbas" + "abbreezukmhonpctyxijsdqw" + "abyeikvoptux" + "i",
 )
 _GONE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF, *range(0x300, 0x370)])
 _FOLD = str.maketrans(*_LOOKS) | _GONE | {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 
+_WORD = re.compile(r"[^\W\d_]+")
+
 #: Phrases in which a word of the lexicon is harmless.
 EXCEPTIONS = ("trash can", "clown fish", "pond scum")
 
@@ -58,7 +62,7 @@ class Lexicon:
         return self._automaton
 
     def density(self, text: str) -> float:
-        """log(1 + matched weight in a thousand words)."""
+        """log(1 + matched weight in a thousand words), as if the text had 50 words more: one weak word in a few is no proof."""
         own = fold(text)
         found, spared = [], []
         automaton = self.automaton()
@@ -70,7 +74,7 @@ class Lexicon:
         if spared:
             found = [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in spared)]
         total = sum(m[2] for m in found)
-        return math.log1p(1000 * total / max(1, len(own.split()))) if total else 0.0
+        return math.log1p(1000 * total / (50 + len(own.split()))) if total else 0.0
 
     def score(self, density: float) -> float:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.bias + self.slope * density))))
@@ -79,7 +83,7 @@ class Lexicon:
 def learn(labelled: DataFrame, *, most_rows: int = 20_000, shortest: int = 4, longest: int = 10, least_docs: int = 5, text_col: str = "text", label_col: str = "label", order: Column | None = None) -> Lexicon:
     """A lexicon from at most ``most_rows`` labelled rows, taken in the order of a hash.
 
-    Candidates: beginnings of ``shortest`` to ``longest`` letters of folded words in ``least_docs`` toxic
+    Candidates: beginnings of ``shortest`` to ``longest`` letters of folded words in ``least_docs`` unlike toxic
     texts at least; those stay whose log-likelihood ratio against the share of toxic rows is beyond what
     the best of so many candidates would reach by chance.  Rows with a null text or label teach nothing.  Without rows of both
     labels the lexicon is empty and every score is the curve's lowest.
@@ -87,24 +91,28 @@ def learn(labelled: DataFrame, *, most_rows: int = 20_000, shortest: int = 4, lo
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), (order if order is not None else F.xxhash64(text_col)).alias("o"))
     sample = shared.written(rows.orderBy("o", "text", "label").limit(most_rows).select("text", "label"), "toxicity-sample")
 
-    def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
-
-        word = re.compile(r"[^\W\d_]+")
+    def first_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text's distinct words, with the words around the first use."""
         for batch in batches:
-            out, labels = [], []
+            out, around, labels = [], [], []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                own = {w[:k] for w in set(word.findall(fold(text))) for k in range(shortest, min(longest, len(w)) + 1)}
-                out += own
-                labels += [label] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(labels, pa.int32())], ["part", "label"])
+                own = _WORD.findall(fold(text))
+                first = dict(zip(reversed(own), range(len(own) - 1, -1, -1), strict=True))
+                out += first
+                around += [zlib.crc32(" ".join(own[max(0, i - 1) : i + 2]).encode()) for i in first.values()]
+                labels += [label] * len(first)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(around, pa.int64()), pa.array(labels, pa.int32())], ["word", "around", "label"])
 
     total = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     good, bad = total.get(0, 0), total.get(1, 0)
     if not good or not bad:
         return Lexicon({}, bias=-5.0)
     base = bad / (good + bad)
-    counts = sample.repartition(shared.partitions(sample.sparkSession)).mapInArrow(beginnings, "part string, label int").groupBy("part").agg(F.sum("label").cast("long").alias("bad"), F.count("*").alias("n")).where(f"bad >= {least_docs}")
+    # copies of a text use a word among the same others, and count once
+    uses = sample.repartition(shared.partitions(sample.sparkSession)).mapInArrow(first_uses, "word string, around long, label int").where(F.length("word") >= shortest).dropDuplicates(["word", "around", "label"])
+    of_word = uses.groupBy("word").agg(F.sum("label").cast("long").alias("bad"), F.count("*").alias("n"))
+    parts = F.transform(F.sequence(F.lit(shortest), F.least(F.lit(longest), F.length("word"))), lambda k: F.left("word", k))
+    counts = of_word.select(F.explode(parts).alias("part"), "bad", "n").groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).where(f"bad >= {least_docs}")
     share = F.col("bad") / F.col("n")
     ratio = F.col("bad") * F.log(share / base) + F.when(share < 1, (F.col("n") - F.col("bad")) * F.log((1 - share) / (1 - base))).otherwise(0.0)
     counts = shared.written(counts.where(share > base).select("part", "bad", "n", ratio.alias("ratio")), "toxicity-counts")
