@@ -141,7 +141,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
     doc_ids are all null has a null class_id.  An empty table gives no rows.  Other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.withColumn("node", F.xxhash64("text"))
+    texts = texts.withColumns({"node": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = DartMinHash(k)
@@ -154,9 +154,9 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
                 full = np.diff(starts) > 0
                 edges = np.concatenate([[0], np.cumsum(np.where(full, n, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(keys[full].ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), lists], ["doc_id", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), part.column("row"), lists], ["doc_id", "node", "row", "bands"])
 
-    signed_rows = shared.written(texts.mapInArrow(signed, "doc_id long, node long, bands array<long>"), "signatures")
+    signed_rows = shared.written(texts.mapInArrow(signed, "doc_id long, node long, row long, bands array<long>"), "signatures")
     nodes = signed_rows.groupBy("node").agg(F.min("doc_id").alias("first"))
     bands = k // rows_per_band
     # of all rows' bands, those that hold two texts at least
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
     of_node = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("component", "node").alias("class"))
     class_of = of_node.groupBy("class").agg(F.min("first").alias("class_id"))
     named = of_node.join(class_of, "class").select("node", "first", "class", "class_id")
-    rows = signed_rows.select("doc_id", "node", F.monotonically_increasing_id().alias("row"))
+    rows = signed_rows.select("doc_id", "node", "row")
     # the row to keep: of the class's first doc_id, any one of its copies
     kept = rows.join(named, "node").where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class").agg(F.min(F.struct("node", "row")).alias("m")).select("m.row", F.lit(True).alias("keep"))
     return rows.join(named.select("node", "class_id"), "node").join(kept, "row", "left").select("doc_id", "class_id", F.coalesce("keep", F.lit(False)).alias("keep"), "node")
