@@ -11,6 +11,7 @@ from paysieve.functions import columns as C
 from paysieve.operators import alerts as A
 from paysieve.operators import cleanse, features, ingest, kpis, panels, quality, scoring
 from paysieve.params import Params
+from paysieve.plans import pipeline
 from paysieve.sources import feeds, scratch, tables
 from paysieve.sources.feeds import FEED_PARAMS, SALT
 from paysieve.streaming import stages
@@ -322,3 +323,13 @@ def stream_silver(spark, sf_dir):
     stages.structure(spark, store, "run-1")
     stages.cleanse_new(spark, store, FEED_PARAMS, SALT)
     return store.read(spark, *stages.SILVER_TABLE).select("transaction_id", F.unix_seconds("event_time").alias("event_epoch"), "amount", "status")
+
+
+@query
+def gold_daily(spark, sf_dir):
+    """A whole run from files to gold: landing, structuring, cleansing, scoring, metrics."""
+    folder = scratch.new_folder(spark, "run")
+    feeds.resent_lines(_events(spark, sf_dir)).select("value").write.text(f"{folder}/raw")
+    store = tables.Store(f"{folder}/store")
+    pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT)
+    return store.read(spark, *pipeline.DAILY)
