@@ -18,7 +18,9 @@ def payer_windows(rows: DataFrame, p: Params) -> DataFrame:
 
     Both frames share one shuffle and one sort by payer.
     """
-    by_payer = Window.partitionBy("payer_key").orderBy("event_epoch")
+    # rows without a payer have no features, so they need not meet in one task
+    spread = [] if p.null_keys == "group" else [F.when(F.isnull("payer_key"), F.xxhash64("transaction_id"))]
+    by_payer = Window.partitionBy("payer_key", *spread).orderBy("event_epoch")
     trailing = lambda seconds: by_payer.rangeBetween(-seconds, 0)
     return rows.withColumns(
         {

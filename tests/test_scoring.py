@@ -51,6 +51,12 @@ def test_null_addresses_are_no_group_unless_asked(spark, mode, fires):
     assert all(("shared_ip" in r) == fires for r in got.values())
 
 
+@pytest.mark.parametrize(("mode", "fires"), [("zero", False), ("group", True)])
+def test_rows_without_a_payer(spark, mode, fires):
+    got = reasons(spark, *({"payer_key": None, "event_time": NOON + timedelta(seconds=i)} for i in range(12)), p=replace(P, null_keys=mode))
+    assert ("velocity" in got["T0011"]) == fires
+
+
 def test_velocity_counts_time_not_rows(spark):
     slow = reasons(spark, *({"event_time": NOON + timedelta(days=i)} for i in range(20)))
     assert not any("velocity" in r for r in slow.values())
@@ -99,15 +105,16 @@ def test_detection_precision_and_search(spark):
     burst = [{"event_time": NOON + timedelta(seconds=i), "payee_key": f"m{i}", "amount": 60_000.0} for i in range(20)]
     fact = scoring.fact(rows(spark, *burst), P)
     labels = spark.createDataFrame([("T0019", "burst"), ("T0000", "burst"), ("gone", "burst")], "transaction_id string, injected_type string")
-    assert tuple(quality.detection(fact.union(fact), labels).first()) == ("burst", 3, 1, 1, 2, 1.0)
+    assert tuple(quality.detection(fact.union(fact), labels).first()) == ("burst", 3, 1, 1, 1, 0.5)
     found = scoring.alerts(fact)
+    assert found.count() == 5
     assert tuple(quality.precision(fact, labels).first()) == (1, found.count())
     assert alerts.search(found, rules=["fanout"], bank="B1", text=" t0019 ").count() == 1 and alerts.search(found, bank="B2").count() == 0 and alerts.search(found).count() == found.count()
     own = alerts.breakdown(found, P).where("transaction_id = 'T0019'").agg(F.sum("weight")).first()[0]
-    assert own == 80
+    assert own == 50
     capped = scoring.capped(found, 2).collect()
     assert len(capped) == 2 and all(r.truncated for r in capped)
-    assert [r.transaction_id for r in alerts.page(found, sort="event_time", number=1, size=3).collect()] == ["T0016", "T0015", "T0014"]
+    assert [r.transaction_id for r in alerts.page(found, sort="event_time", number=1, size=3).collect()] == ["T0016", "T0015"]
 
 
 def test_latest_label_file_wins(spark):
