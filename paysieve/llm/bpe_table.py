@@ -9,6 +9,8 @@ Decoding joins ids with the vocabulary's pieces, a table that the vocabulary bou
 
 from __future__ import annotations
 
+import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,16 +60,26 @@ def _blocks(batches: Iterator[pa.RecordBatch], most_bytes: int, shares: int) ->
 def _word_rows(batches, most_bytes: int, shares: int):
     """A row for each block and share, with the share's words in one text."""
     for block, _, distinct, starts, _, _ in _blocks(batches, most_bytes, shares):
-        full = np.flatnonzero(np.diff(starts))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts[full], starts[-1]).astype(np.int32)), distinct)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(full), block)), pa.array(full.astype(np.int32)), pc.binary_join(lists, " ")], ["block", "share", "words"])
+        full, lists = _by_share(distinct, starts)
+        texts = pc.binary_join(lists, " ")
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(full), block)), pa.array(full.astype(np.int32)), texts], ["block", "share", "words"])
 
 
 def _position_rows(batches, most_bytes: int, shares: int):
-    for block, rows, distinct, _, codes, offsets in _blocks(batches, most_bytes, shares):
-        columns = [[block], [rows.column("doc_id").to_pylist()], [np.diff(offsets).tolist()], [len(distinct)], [_squeezed(codes)]]
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["block", "doc_ids", "n_words", "n_distinct", "codes"])
+    for block, rows, distinct, starts, codes, offsets in _blocks(batches, most_bytes, shares):
+        columns = [[block], [rows.column("doc_id").to_pylist()], [np.diff(offsets).tolist()], [len(distinct)], [_stamp(pc.binary_join(_by_share(distinct, starts)[1], " "))], [_squeezed(codes)]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["block", "doc_ids", "n_words", "n_distinct", "stamp", "codes"])
+
+
+def _by_share(distinct: pa.Array, starts: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    full = np.flatnonzero(np.diff(starts))
+    return full, pa.ListArray.from_arrays(pa.array(np.append(starts[full], starts[-1]).astype(np.int32)), distinct)
+
+
+def _stamp(texts: pa.Array) -> int:
+    """Of a block's words, share by share; tells whether both passes over the texts met the same block."""
+    return sum(zlib.crc32(t.as_buffer()) for t in texts)
 
 
 def _squeezed(numbers: np.ndarray) -> bytes:
@@ -84,8 +96,11 @@ def _spread_out(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 12 << 20) -> DataFrame:
-    """doc_id, n_tokens and ids (u32, little-endian bytes) of every text, as the tokenizer gives them.
+def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, block_bytes: int = 12 << 20) -> DataFrame:
+    """doc_id, n_tokens and ids (u32, little-endian bytes) of every text, as the tokenizer gives them; with ``decode`` also decoded.
+
+    ``docs`` is read twice and has to come in the same partitions both times, as a table's do: write what
+    comes from a shuffle first.  If it does not, the query fails; it never gives other ids.
 
     A null text is empty and has no ids.  Repeated rows and null or repeated doc_ids stay rows of
     their own.  A word of any length is encoded whole.  Other columns are not read.
@@ -105,20 +120,21 @@ def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
                 sizes = np.asarray(pc.list_value_length(table), dtype="<u4")[np.asarray(coded.indices)]
                 rows = [_squeezed(sizes[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
                 found = [_squeezed(ids[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                columns = [own.column("block"), own.column("share"), pa.array(rows, pa.binary()), pa.array(found, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "share", "sizes", "ids"])
+                stamps = [zlib.crc32(t.as_buffer()) for t in own.column("words")]
+                columns = [own.column("block"), own.column("share"), pa.array(stamps, pa.int64()), pa.array(rows, pa.binary()), pa.array(found, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "share", "stamp", "sizes", "ids"])
             pa.default_memory_pool().release_unused()
 
     distinct = texts.mapInArrow(lambda b: _word_rows(b, block_bytes, parts), "block long, share int, words string")
-    table = distinct.repartitionById(parts, F.col("share")).mapInArrow(encoded, "block long, share int, sizes binary, ids binary")
-    positions = texts.mapInArrow(lambda b: _position_rows(b, block_bytes, parts), "block long, doc_ids array<long>, n_words array<long>, n_distinct long, codes binary")
+    table = distinct.repartitionById(parts, F.col("share")).mapInArrow(encoded, "block long, share int, stamp long, sizes binary, ids binary")
+    positions = texts.mapInArrow(lambda b: _position_rows(b, block_bytes, parts), "block long, doc_ids array<long>, n_words array<long>, n_distinct long, stamp long, codes binary")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("share").combine_chunks()
         n_words = np.array(left.column("n_words")[0].as_py(), dtype=np.int64)
         sizes = np.concatenate([np.zeros(0, np.uint32), *map(_spread_out, right.column("sizes").to_pylist())])
         flat = np.concatenate([np.zeros(0, np.uint32), *map(_spread_out, right.column("ids").to_pylist())])
-        if left.num_rows != 1 or len(sizes) != left.column("n_distinct")[0].as_py():
+        if left.num_rows != 1 or len(sizes) != left.column("n_distinct")[0].as_py() or sum(right.column("stamp").to_pylist()) != left.column("stamp")[0].as_py():
             raise ValueError("a block's words and positions differ")
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
         codes = _spread_out(left.column("codes")[0].as_py()).astype(np.int64)
@@ -127,9 +143,28 @@ def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
         packed = pa.Array.from_buffers(pa.large_binary(), len(n_words), [None, pa.py_buffer((4 * edges).astype(np.int64).tobytes()), body]).cast(pa.binary())
         doc_ids = left.column("doc_ids")[0].as_py()
         pa.default_memory_pool().release_unused()
-        return pa.table([pa.array(doc_ids, pa.int64()), pa.array(np.diff(edges), pa.int64()), packed], ["doc_id", "n_tokens", "ids"])
+        columns = [pa.array(doc_ids, pa.int64()), pa.array(np.diff(edges), pa.int64()), packed]
+        return pa.table(columns + [_decoded(ids, edges, tokenizer)] * decode, names)
+
+    names = ["doc_id", "n_tokens", "ids", *["decoded"] * decode]
+    return positions.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(joined, "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode)
+
+
+@functools.lru_cache(maxsize=4)
+def _pieces(tokenizer: str) -> pa.Array:
+    return pa.array([p + " " for p in words.vocabulary(tokenizer)], pa.large_string())
+
 
-    return positions.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(joined, "doc_id long, n_tokens long, ids binary")
+def _decoded(ids: np.ndarray, edges: np.ndarray, tokenizer: str) -> pa.Array:
+    """Texts of the ids between edges: each id is joined with its piece."""
+    out = []
+    for a in range(0, len(edges) - 1, 1000):
+        own = edges[a : a + 1001]
+        taken = _pieces(tokenizer).take(pa.array(ids[own[0] : own[-1]].astype(np.int64)))
+        places = np.asarray(pa.Array.from_buffers(pa.int64(), len(taken) + 1, [None, taken.buffers()[1]]))[own - own[0]]
+        body = memoryview(taken.buffers()[2]) if len(taken) else b""
+        out.append(pa.array([str(body[x : max(x, y - 1)], "utf-8") for x, y in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)], pa.string()))
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -138,18 +173,12 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     This is how the tokenizers library decodes for a tokenizer that has no decoder.  No ids decode to the empty text.
     """
     def decoded(batches):
-        pieces = pa.array([p + " " for p in words.vocabulary(tokenizer)], pa.large_string())
         for batch in batches:
             for own in shared.slices(batch, "ids", 2 << 20):
-                column = own.column("ids")
-                raw = [x.as_buffer() for x in column]
-                n = np.array([x.size // 4 for x in raw], dtype=np.int64)
-                ids = np.frombuffer(b"".join(raw), dtype="<u4")
-                taken = pieces.take(pa.array(ids.astype(np.int64)))
-                edges = np.asarray(pa.Array.from_buffers(pa.int64(), len(ids) + 1, [None, taken.buffers()[1]]))[np.concatenate([[0], np.cumsum(n)])]
-                body = taken.buffers()[2].to_pybytes() if len(ids) else b""
-                texts = [body[a : max(a, b - 1)].decode() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(texts, pa.string())], [*own.schema.names, "decoded"])
+                raw = [x.as_buffer() for x in own.column("ids")]
+                edges = np.concatenate([[0], np.cumsum([x.size // 4 for x in raw])]).astype(np.int64)
+                texts = _decoded(np.frombuffer(b"".join(raw), dtype="<u4"), edges, tokenizer)
+                yield pa.RecordBatch.from_arrays([*own.columns, texts], [*own.schema.names, "decoded"])
             pa.default_memory_pool().release_unused()
 
     from pyspark.sql import types as T

@@ -97,9 +97,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_table.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
-    decoded = bpe_table.decode_documents(encoded, tokenizer_path())
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    encoded = bpe_table.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), decode=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

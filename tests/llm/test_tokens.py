@@ -139,7 +139,11 @@ def test_nnls_solves_a_known_system():
 
 def test_distinct_word_table(spark, docs):
     for block in (64, 1 << 20):
-        found = bpe_table.decode_documents(bpe_table.encode_documents(docs, PATH, block_bytes=block), PATH).collect()
+        docs = shared.written(docs, "texts")
+        own = bpe_table.encode_documents(docs, PATH, decode=True, block_bytes=block)
+        found = own.collect()
+        again = bpe_table.decode_documents(own.drop("decoded"), PATH)
+        assert again.exceptAll(own).count() == 0
         rows = {r.doc_id: r for r in found}
         tok = words.tokenizer(PATH)
         for i, t in enumerate(TEXTS):
@@ -150,7 +154,7 @@ def test_distinct_word_table(spark, docs):
 
 
 def test_distinct_word_table_of_odd_tables(spark, docs):
-    assert bpe_table.encode_documents(docs.limit(0), PATH).count() == 0
+    assert bpe_table.encode_documents(docs.limit(0), PATH, decode=True).count() == 0
     rows = bpe_table.encode_documents(spark.createDataFrame([(None, "a"), (1, "b b"), (1, "b b"), (1, None)], "doc_id long, text string"), PATH).collect()
     assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("1", 0), ("1", 2), ("1", 2), ("None", 1)]
 
