@@ -203,14 +203,15 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
                     out.append((np.full(len(top), qids[j]), ids[top], scores[j, top].astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
+    # the tiles' rows multiply in the looks, which no estimate knows: they are shuffled, never broadcast
     found = "query_id long, vec_id long, score long"
     asks = "block int, tile string, queries array<struct<vec_id: long, code: binary>>"
     blocks = shared.written(blocks, "index-blocks")
-    firsts = shared.written(tiles.mapInArrow(first_look, asks).join(blocks, "block").mapInArrow(scored, found), "first-scores")
+    firsts = shared.written(tiles.mapInArrow(first_look, asks).join(blocks.hint("merge"), "block").mapInArrow(scored, found), "first-scores")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     least = firsts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
     of_tile = tiles.select("tile", F.explode("queries.vec_id").alias("query_id")).join(least, "query_id").groupBy("tile").agg(F.collect_list(F.struct("query_id", "least")).alias("m")).select("tile", F.col("m.query_id").alias("ids"), F.col("m.least").alias("least"))
-    seconds = tiles.join(of_tile, "tile", "left").select("tile", "queries", "ids", "least").mapInArrow(second_look, asks).join(blocks, "block").mapInArrow(scored, found)
+    seconds = tiles.join(of_tile, "tile", "left").select("tile", "queries", "ids", "least").mapInArrow(second_look, asks).join(blocks.hint("merge"), "block").mapInArrow(scored, found)
     ranked = firsts.union(seconds).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
