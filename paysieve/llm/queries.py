@@ -79,7 +79,7 @@ def trained_lexicon(spark: SparkSession, sf_dir: str, *, all_rows: bool = False)
     # the bound on rows comes before the texts: only the sample's texts are joined
     sample = labels.orderBy(order, "doc_id").limit(TRAINING_ROWS)
     labelled = table(spark, sf_dir, "documents").select("doc_id", "text").join(sample, "doc_id")
-    return toxicity.learn(labelled, most_rows=TRAINING_ROWS, order=order)
+    return toxicity.learn(labelled, most_rows=None)
 
 
 def held_out() -> Column:

@@ -80,8 +80,8 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.bias + self.slope * density))))
 
 
-def learn(labelled: DataFrame, *, most_rows: int = 20_000, shortest: int = 4, longest: int = 10, least_docs: int = 5, text_col: str = "text", label_col: str = "label", order: Column | None = None) -> Lexicon:
-    """A lexicon from at most ``most_rows`` labelled rows, taken in the order of a hash.
+def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int = 4, longest: int = 10, least_docs: int = 5, text_col: str = "text", label_col: str = "label", order: Column | None = None) -> Lexicon:
+    """A lexicon from at most ``most_rows`` labelled rows, taken in the order of a hash; None takes a sample as it is.
 
     Candidates: beginnings of ``shortest`` to ``longest`` letters of folded words in ``least_docs`` unlike toxic
     texts at least; those stay whose log-likelihood ratio against the share of toxic rows is beyond what
@@ -89,7 +89,9 @@ def learn(labelled: DataFrame, *, most_rows: int = 20_000, shortest: int = 4, lo
     labels the lexicon is empty and every score is the curve's lowest.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), (order if order is not None else F.xxhash64(text_col)).alias("o"))
-    sample = shared.written(rows.orderBy("o", "text", "label").limit(most_rows).select("text", "label"), "toxicity-sample")
+    if most_rows is not None:
+        rows = rows.orderBy("o", "text", "label").limit(most_rows)
+    sample = shared.written(rows.select("text", "label"), "toxicity-sample")
 
     def first_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text's distinct words, with the words around the first use."""
