@@ -83,6 +83,12 @@ def test_boilerplate_edges(spark):
     assert lines_of(spark, []) == {}
 
 
+def test_line_dedup_against_sql_where_lines_are_dropped(spark):
+    sf = "/root/testdata/sf0.01"
+    same_rows(queries.op3_line_dedup(spark, sf), queries.ORACLE_SQL["op3_line_dedup"], sf)
+    assert queries.op3_line_dedup(spark, sf).where("n_dropped > 0").count() == 111
+
+
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "Example.com", "/de/"), ("allow", "org", "/fr/"), ("block", "b.org", "/f"), ("allow", "b.org", "/f")]
 
 
