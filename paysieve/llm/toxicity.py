@@ -1,15 +1,18 @@
 """Operator 8: toxicity by a weighted lexicon, matched by an Aho-Corasick automaton.
 
 Texts are folded first: look-alike letters, digits and signs that stand for letters become plain
-letters, invisible marks go.  The lexicon is learned from labelled rows: word beginnings that toxic
+letters, accents are composed, invisible marks go.  Matching takes i, l and 1 for one letter, and also reads texts
+without accents, and with 2, 6, 9 and signs between letters as letters.  The lexicon is learned from labelled rows: word beginnings that toxic
 texts have far more often, with log-odds weights.  Matches within an exception phrase do not count.
 The matched weight, divided by the text's words, gives the score through a logistic curve.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,8 +30,12 @@ _LOOKS = (
     "0134578@$" + "абвгеёзикмнопрстухіјѕԁԛԝ" + "αβγεικνορτυχ" + "ı",
     "oieastbas" + "abbreezukmhonpctyxijsdqw" + "abyeikvoptux" + "i",
 )
-_GONE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF, *range(0x300, 0x370)])
-_FOLD = str.maketrans(*_LOOKS) | _GONE | {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
+_FOLD = dict(zip(*_LOOKS, strict=True))
+_GONE = dict.fromkeys(map(chr, [0xAD, 0x34F, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF]), "")
+_MARKS = dict.fromkeys(map(chr, range(0x300, 0x370)), "")
+#: Digits and signs that are letters in some texts and not in others, which are read both ways.
+_DIGITS = tuple({"2": "z", "6": six, "9": "g"} for six in "gb")
+_BETWEEN = re.compile(r"[!|]+")
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -36,9 +43,52 @@ _WORD = re.compile(r"[^\W\d_]+")
 EXCEPTIONS = ("trash can", "clown fish", "pond scum")
 
 
+def _swapped(text: str, letters: dict[str, str]) -> str:
+    """Like translate, but quick where few of the letters occur.  What they become is none of them."""
+    for c in letters.keys() & set(text):
+        text = text.replace(c, letters[c])
+    return text
+
+
 def fold(text: str) -> str:
-    """Lower case, with look-alikes and digits read as letters."""
-    return text.lower().translate(_FOLD)
+    """Lower case, composed, with look-alikes and digits read as letters."""
+    if not text.isascii():
+        text = _swapped(unicodedata.normalize("NFKC", _swapped(text, _GONE)).lower(), _MARKS)
+    return _swapped(text.lower(), _FOLD)
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _bare_letter(letter: str) -> str:
+    own = _swapped(unicodedata.normalize("NFC", _swapped(unicodedata.normalize("NFD", letter), _MARKS)), _FOLD)
+    return own if len(own) == 1 else letter
+
+
+def _bare(own: str) -> str:
+    """The folded text's letters without their accents; one letter for one, so that places stay."""
+    for c in set(own):
+        if c > "\x7f" and (to := _bare_letter(c)) != c:
+            own = own.replace(c, to)
+    return own
+
+
+def _signs(own: str) -> str:
+    """The text with ! and | between letters read as i."""
+    def read(m: re.Match) -> str:
+        inner = own[m.start() - 1 : m.start()].isalnum() and own[m.end() : m.end() + 1].isalnum()
+        return "i" * len(m[0]) if inner else m[0]
+
+    return _BETWEEN.sub(read, own) if "!" in own or "|" in own else own
+
+
+def readings(text: str) -> list[str]:
+    """The text folded, as it is and without loose marks or any accents, with its signs as such and as letters; in the automaton's letters."""
+    own = fold(text)
+    out = [own]
+    if not text.isascii():
+        loose = _swapped(text, _MARKS)
+        out = list(dict.fromkeys([own, *([fold(loose)] if loose != text else []), _bare(own)]))
+    signs = [_signs(_swapped(x, digits)) for x in out for digits in (_DIGITS if "6" in own else _DIGITS[:1])]
+    return [x.replace("l", "i") for x in dict.fromkeys(out + signs)]
 
 
 @dataclass
@@ -55,25 +105,29 @@ class Lexicon:
 
             self._automaton = ahocorasick.Automaton()
             for phrase in self.exceptions:
-                self._automaton.add_word(phrase, (len(phrase), None))
-            for word, weight in self.weights.items():
-                self._automaton.add_word(word, (len(word), weight))
+                own = fold(phrase).replace("l", "i")
+                self._automaton.add_word(own, (len(own), None))
+            # of words that are one to the automaton, the heaviest
+            for word, weight in sorted(self.weights.items(), key=lambda x: x[1]):
+                own = fold(word).replace("l", "i")
+                self._automaton.add_word(own, (len(own), weight))
             self._automaton.make_automaton()
         return self._automaton
 
     def density(self, text: str) -> float:
         """log(1 + matched weight in a thousand words), as if the text had 50 words more: one weak word in a few is no proof."""
         own = fold(text)
-        found, spared = [], []
+        found, spared = set(), set()
         automaton = self.automaton()
-        for end, (length, weight) in automaton.iter(own) if len(automaton) else ():
-            start = end - length + 1
-            if start and own[start - 1].isalpha():
-                continue
-            (spared if weight is None else found).append((start, end + 1, weight))
+        for read in readings(text) if len(automaton) else ():
+            for end, (length, weight) in automaton.iter(read):
+                start = end - length + 1
+                if start and read[start - 1].isalpha():
+                    continue
+                (spared if weight is None else found).add((start, end + 1, weight))
         if spared:
-            found = [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in spared)]
-        total = sum(m[2] for m in found)
+            found = {m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in spared)}
+        total = math.fsum(m[2] for m in found)
         return math.log1p(1000 * total / (50 + len(own.split()))) if total else 0.0
 
     def score(self, density: float) -> float:
@@ -96,14 +150,16 @@ def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int
     def first_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text's distinct words, with the words around the first use."""
         for batch in batches:
-            out, around, labels = [], [], []
+            out, around, spelt, labels = [], [], [], []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                own = _WORD.findall(fold(text))
+                plain = _WORD.findall(fold(text))
+                own = [w.replace("l", "i") for w in plain]
                 first = dict(zip(reversed(own), range(len(own) - 1, -1, -1), strict=True))
                 out += first
                 around += [zlib.crc32(" ".join(own[max(0, i - 1) : i + 2]).encode()) for i in first.values()]
+                spelt += [_places(plain[i]) for i in first.values()]
                 labels += [label] * len(first)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(around, pa.int64()), pa.array(labels, pa.int32())], ["word", "around", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(around, pa.int64()), pa.array(spelt, pa.int64()), pa.array(labels, pa.int32())], ["word", "around", "spelt", "label"])
 
     total = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     good, bad = total.get(0, 0), total.get(1, 0)
@@ -111,22 +167,22 @@ def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int
         return Lexicon({}, bias=-5.0)
     base = bad / (good + bad)
     # copies of a text use a word among the same others, and count once
-    uses = sample.repartition(shared.partitions(sample.sparkSession)).mapInArrow(first_uses, "word string, around long, label int").where(F.length("word") >= shortest).dropDuplicates(["word", "around", "label"])
-    of_word = uses.groupBy("word").agg(F.sum("label").cast("long").alias("bad"), F.count("*").alias("n"))
+    uses = sample.repartition(shared.partitions(sample.sparkSession)).mapInArrow(first_uses, "word string, around long, spelt long, label int").where(F.length("word") >= shortest).groupBy("word", "around", "label").agg(F.max("spelt").alias("spelt"))
+    of_word = uses.groupBy("word").agg(F.sum("label").cast("long").alias("bad"), F.count("*").alias("n"), F.max("spelt").alias("spelt"))
     parts = F.transform(F.sequence(F.lit(shortest), F.least(F.lit(longest), F.length("word"))), lambda k: F.left("word", k))
-    counts = of_word.select(F.explode(parts).alias("part"), "bad", "n").groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).where(f"bad >= {least_docs}")
+    counts = of_word.select(F.explode(parts).alias("part"), "bad", "n", "spelt").groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), F.expr("max(spelt & (shiftleft(1L, length(part)) - 1))").alias("spelt")).where(f"bad >= {least_docs}")
     share = F.col("bad") / F.col("n")
     ratio = F.col("bad") * F.log(share / base) + F.when(share < 1, (F.col("n") - F.col("bad")) * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    counts = shared.written(counts.where(share > base).select("part", "bad", "n", ratio.alias("ratio")), "toxicity-counts")
+    counts = shared.written(counts.where(share > base).select("part", "bad", "n", "spelt", ratio.alias("ratio")), "toxicity-counts")
     candidates = counts.count()
-    kept: dict[str, tuple[int, int]] = {}
+    kept: dict[str, tuple[int, int, int]] = {}
     # as many as are beyond chance, which follows the language, not the rows: the best first, of equals the longest
     best = counts.where((F.col("ratio") > math.log(max(1, candidates)) + 2) & (F.col("bad") > 0.8 * F.col("n"))).orderBy(F.desc("ratio"), F.desc(F.length("part")), "part").limit(20_000)
     for r in best.collect():
         if not any(r.part[:k] in kept for k in range(shortest, len(r.part) + 1)) and not any(k.startswith(r.part) for k in kept):
-            kept[r.part] = (r.bad, r.n - r.bad)
+            kept[r.part] = (r.bad, r.n - r.bad, r.spelt)
     odds = math.log((good + 1) / (bad + 1))
-    lexicon = Lexicon({w: math.log((b + 0.5) / (g + 0.5)) + odds for w, (b, g) in kept.items()})
+    lexicon = Lexicon({_spelling(w, at): math.log((b + 0.5) / (g + 0.5)) + odds for w, (b, g, at) in kept.items()})
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,6 +194,15 @@ def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int
     return lexicon
 
 
+def _places(word: str) -> int:
+    """A bit for each l among the first letters, by which a word keeps a spelling that was met."""
+    return sum(1 << i for i, c in enumerate(word[:62]) if c == "l") if "l" in word else 0
+
+
+def _spelling(word: str, places: int) -> str:
+    return "".join("l" if places >> i & 1 else c for i, c in enumerate(word))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.01) -> tuple[float, float]:
     """Bias and slope, at least 0, of a logistic curve; Newton steps with a small penalty on the slope."""
     b, s = 0.0, 1.0

@@ -170,6 +170,21 @@ def test_disguises_boundaries_and_exceptions(spark, lexicon):
     assert got[0][0] > got[1][0]
 
 
+def test_each_sign_is_read_as_any_letter_it_stands_for():
+    own = toxicity.Lexicon({"loser": 3.0, "idiot": 3.0, "worthless": 3.0, "débile": 3.0, "gangster": 3.0, "bigmouth": 3.0, "zombie": 3.0})
+    for text in ("1oser", "!oser loser", "id!ot", "id|ot", "worth1ess", "wor\u0301thless", "wórthless", "z\u0335alg, lo\u0335ser", "débile", "de\u0301bile", "débi1e", "débil\u0301e", "gan9ster", "6igmouth", "bi6mouth", "2ombie", "𝐋oser", "2 idiots", "2idiots", "idiot!loser", "say!idiot"):
+        assert own.density(text) > 0, text
+    for text in ("closer", "id!iot", "1 !", "269", "unzombie"):
+        assert own.density(text) == 0, text
+
+
+def test_learned_words_keep_a_spelling_and_match_decomposed_texts(spark):
+    rows = [(i, f"slíme{'ba1l' if i % 16 else 'ball'} w{i}x a{i}b" if i % 8 == 0 else f"venulo w{i}x a{i}b", int(i % 8 == 0)) for i in range(800)]
+    own = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert own.weights and all("slímeball".startswith(w) for w in own.weights)
+    assert [own.density(t) > 0 for t in ("sli\u0301meball", "slímeball", "s1ímebaii", "venulo")] == [True, True, True, False]
+
+
 def test_learning_from_one_label_or_none(spark):
     for rows in ([], [(1, "a b", 1)], [(1, "a b", 0), (2, None, 1), (3, "x", None)]):
         own = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int"))
