@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from paysieve.llm import shared
 
-#: Quantised components are held to this size, so that a float64 sum of products is exact.
-MOST = 1 << 20
+#: Where a vector's square is below, every float64 sum of products is exact; beyond, sums are of 64-bit integers.
+EXACT = 2.0**53
+#: Scores are long: no vector's square may reach this (with room for the rounding of the square).
+MOST = 2.0**63 * (1 - 1e-9)
 
 
 def quantised(vectors: pa.ListArray, dims: int) -> np.ndarray:
@@ -31,7 +33,7 @@ def quantised(vectors: pa.ListArray, dims: int) -> np.ndarray:
     out = np.zeros((len(vectors), dims))
     rows = np.repeat(np.arange(len(vectors)), sizes)
     places = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[rows, places] = np.clip(np.floor(256.0 * np.asarray(vectors.flatten(), dtype=np.float64)), -MOST, MOST)
+    out[rows, places] = np.floor(256.0 * np.asarray(vectors.flatten(), dtype=np.float64))
     return out
 
 
@@ -87,33 +89,42 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
 
     Rows with a null id, a null vector, or a null or non-finite component take no part.  Shorter
     vectors are as if they ended in zeros.  Rows that repeat an id are separate candidates, and not
-    of each other; a repeated query is answered once.  Components beyond 2^20 after quantising are held to
-    that.  An empty table gives no rows.  Other columns are not read.
+    of each other; a repeated query is answered once.  Components of any size count as they are; where a
+    score could be beyond a long the query fails.  An empty table gives no rows.  Other columns are not read.
     """
     spark = vectors.sparkSession
     x = F.col(vector_col)
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     valid = vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & whole).select(F.col(id_col).cast("long").alias("vec_id"), x.cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    dims = valid.agg(F.max(F.size("v")).alias("d")).first().d
+    size = valid.agg(F.max(F.size("v")).alias("d"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
+    dims = size.d
     if dims is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dims = max(1, dims)
+    most = 256.0 * (size.most or 0.0) + 1
+    if most * most >= MOST:
+        raise ValueError("a component is so large that scores do not fit a long")
+    kind = "<i4" if most < 2**31 else "<i8"
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = quantised(batch.column("v"), dims)
-            rows = [c.tobytes() for c in codes.astype("<i4")]
+            rows = [c.tobytes() for c in codes.astype(kind)]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("q"), pa.array(rows, pa.binary()), pa.array((codes * codes).sum(axis=1))], ["vec_id", "q", "code", "square"])
 
     rows = shared.written(valid.mapInArrow(coded, "vec_id long, q boolean, code binary, square double"), "codes")
 
-    def matrix(column) -> np.ndarray:
+    def matrix(column, as_type=np.float64) -> np.ndarray:
         data = b"".join(x.as_buffer() for x in column)
-        return np.frombuffer(data, dtype="<i4").reshape(-1, dims).astype(np.float64)
+        return np.frombuffer(data, dtype=kind).reshape(-1, dims).astype(as_type)
 
     some = rows.orderBy(F.xxhash64("vec_id"), "code").limit(sample).select("code").collect()
-    points = farthest_first(np.unique(np.array([np.frombuffer(bytes(r.code), "<i4") for r in some], dtype=np.float64).reshape(-1, dims), axis=0), pivots)
-    index = Pivots(points, float(np.sqrt(rows.agg(F.max("square")).first()[0])))
+    points = farthest_first(np.unique(np.array([np.frombuffer(bytes(r.code), kind) for r in some], dtype=np.float64).reshape(-1, dims), axis=0), pivots)
+    square = rows.agg(F.max("square")).first()[0]
+    if square >= MOST:
+        raise ValueError("a vector is so long that scores do not fit a long")
+    summed = np.float64 if square < EXACT else np.int64
+    index = Pivots(points, float(np.sqrt(square)))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,9 +171,9 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
         b = bounds(q) + 1e-9 * index.query_distances(q)[:, owner]
         return np.unique(np.argsort(b, axis=1, kind="stable")[:, :2])
 
-    def parsed(rows) -> tuple[np.ndarray, np.ndarray]:
+    def parsed(rows, as_type=np.float64) -> tuple[np.ndarray, np.ndarray]:
         held = rows.values
-        return np.asarray(held.field("vec_id"), dtype=np.int64), matrix(held.field("code"))
+        return np.asarray(held.field("vec_id"), dtype=np.int64), matrix(held.field("code"), as_type)
 
     def first_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,8 +201,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                qids, q = parsed(batch.column("queries")[i])
-                ids, v = parsed(batch.column("rows")[i])
+                qids, q = parsed(batch.column("queries")[i], summed)
+                ids, v = parsed(batch.column("rows")[i], summed)
                 if k * 4 < len(ids):
                     scores = q @ v.T
                 else:

@@ -1,5 +1,6 @@
 """Operators 4, 6 and 7 against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -180,3 +181,16 @@ def test_sql_of_top_k(spark):
     from tests.compare import same_rows
 
     same_rows(queries.op7_pivot_topk(spark, "/root/testdata/sf0.001"), queries.ORACLE_SQL["op7_pivot_topk"], "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize(("scale", "most"), [(3e4, 0.0), (1e6, 0.0), (1e6, 8.5e6)])
+def test_scores_of_large_components_are_exact(spark, scale, most):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=5) * scale]) for i in range(60)] + [(61, [most, 0.0, 0.0, 0.0, 0.0])]
+    codes = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    got = {tuple(r) for r in pivot_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, pivots=4, block=16).collect()}
+    want = set()
+    for q in range(0, 60, 20):
+        all_of = sorted((-sum(a * b for a, b in zip(codes[q], codes[i], strict=True)), i) for i in codes if i != q)
+        want |= {(q, n, i, -s) for n, (s, i) in enumerate(all_of[:5], 1)}
+    assert got == want
