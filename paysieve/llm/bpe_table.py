@@ -111,7 +111,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     def encoded(batches):
         encode = words.encoder(tokenizer)
         for batch in batches:
-            for own in shared.slices(batch, "words", 2 << 20):
+            for own in shared.slices(batch, "words"):
                 lists = pc.ascii_split_whitespace(own.column("words"))
                 coded = lists.flatten().dictionary_encode()
                 table = encode.of_distinct(coded.dictionary)
@@ -174,7 +174,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """
     def decoded(batches):
         for batch in batches:
-            for own in shared.slices(batch, "ids", 2 << 20):
+            for own in shared.slices(batch, "ids"):
                 raw = [x.as_buffer() for x in own.column("ids")]
                 edges = np.concatenate([[0], np.cumsum([x.size // 4 for x in raw])]).astype(np.int64)
                 texts = _decoded(np.frombuffer(b"".join(raw), dtype="<u4"), edges, tokenizer)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from paysieve.llm import shared, shingles
 
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Beyond any value of ``bits`` bits.
+NONE = np.uint16(0xFFFF)
 _TRIES = 24
 
 
@@ -33,7 +35,7 @@ class OnePermutation:
         self.rank = order.argsort(axis=1).argsort(axis=1).astype(np.int32)  # of each bin, in an empty bin's order
 
     def signatures(self, texts: pa.Array) -> np.ndarray:
-        """A row of ``bins`` low-order values a text; a text without words has 255 everywhere."""
+        """A row of ``bins`` low-order values a text; a text without words has NONE everywhere."""
         hashes, starts = shingles.shingles(texts)
         n, k = len(starts) - 1, self.bins
         least = np.full(n * k, EMPTY, dtype=np.uint64)
@@ -46,8 +48,8 @@ class OnePermutation:
         if not filled[some].all():
             self._densify(least, filled, some)
         # a value that fills many bins has other low bits in each, so that chance agreement stays 1 in 2^bits
-        out = (shingles.mix(least ^ (np.arange(k, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))) & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
-        out[~some] = 255
+        out = (shingles.mix(least ^ (np.arange(k, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))) & np.uint64((1 << self.bits) - 1)).astype(np.uint16)
+        out[~some] = NONE
         return out
 
     def _densify(self, least: np.ndarray, filled: np.ndarray, some: np.ndarray) -> None:
@@ -65,15 +67,15 @@ class OnePermutation:
 
     def packed(self, signatures: np.ndarray) -> list[str]:
         """Each signature's packed bits in hex; empty for a text without words."""
-        flags = np.unpackbits(signatures[:, :, None], axis=2, count=self.bits, bitorder="little")
+        flags = np.unpackbits(signatures.astype(np.uint8)[:, :, None], axis=2, count=self.bits, bitorder="little")
         rows = np.packbits(flags.reshape(len(signatures), self.bins * self.bits), axis=1, bitorder="little")
-        return ["" if s[0] == 255 and self.bits < 8 else r.tobytes().hex() for s, r in zip(signatures, rows, strict=True)]
+        return ["" if s[0] == NONE else r.tobytes().hex() for s, r in zip(signatures, rows, strict=True)]
 
     def likeness(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Estimated Jaccard likeness of signatures, row by row, 0 to 1."""
         chance = 1 / (1 << self.bits)
         same = ((a == b).mean(axis=1) - chance) / (1 - chance)
-        empty = (a[:, 0] == 255).astype(int) + (b[:, 0] == 255)
+        empty = (a[:, 0] == NONE).astype(int) + (b[:, 0] == NONE)
         return np.where(empty == 0, np.clip(same, 0, 1), np.where(empty == 2, 1.0, 0.0))
 
 
@@ -85,24 +87,27 @@ def fingerprint_edits(docs: DataFrame, *, bins: int = 512, bits: int = 4, id_col
     edited (text), fingerprint, edited_fingerprint (hex), near_edited, near_next.
 
     A null text is empty; its fingerprint is the empty string, which is like another empty one (1)
-    and unlike any other (0).  Null doc_ids sort first; rows with one doc_id are ordered by text.
-    One row alone is its own next.  An empty table gives no rows.  Other columns are not read.
+    and unlike any other (0).  Null doc_ids sort first; rows with one doc_id are ordered by a hash of the text.
+    Texts of any length are read whole.  One row alone is its own next.  An empty table gives no rows.  Other
+    columns are not read.
 
-    Rows are dealt to ordered buckets of about one size.  A bucket also gets the row that
-    starts the next one, so no bucket waits for another.
+    Rows are dealt to ordered buckets of about one size, by doc_id and, within one that many rows repeat, by the
+    texts' hash.  A bucket also gets the row that starts the next one, so no bucket waits for another.
     """
     parts = shared.partitions(docs.sparkSession)
-    bounds = shared.ordered_bounds(docs, id_col, parts)
-    last = len(bounds)
+    bounds = shared.ordered_bounds(docs, id_col, text_col, parts)
+    last = bounds.buckets - 1
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.withColumn("_bucket", shared.bucket_of(bounds, F.col("doc_id")))
     # the rows that start a bucket, for the bucket before; the first of all, for the last
-    first = texts.agg(F.min(F.struct("doc_id", F.xxhash64("text").alias("h"))).alias("m")).first().m
-    is_first = F.col("doc_id").eqNullSafe(F.lit(first.doc_id if first else None).cast("long"))
-    starts = F.col("doc_id").isin([int(b) for b in bounds]) if last else F.lit(False)
+    first = texts.agg(F.min(shared.order_key(F.col("doc_id"))).alias("k")).first().k
+    of_first = shared.order_key(F.col("doc_id")) == F.lit(first)
+    least = texts.where(of_first).agg(F.min(shared.text_order(F.col("text"))).alias("h")).first().h
+    is_first = of_first & (shared.text_order(F.col("text")) == F.lit(least))
+    starts = bounds.starts(F.col("doc_id"), F.col("text"))
+    texts = texts.withColumn("_bucket", bounds.bucket_of(F.col("doc_id"), F.col("text")))
     to = F.array_compact(F.array(F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("tail")), F.when(starts, F.struct((F.col("_bucket") - 1).alias("b"), F.lit(1).alias("tail"))), F.when(is_first, F.struct(F.lit(last).alias("b"), F.lit(2).alias("tail")))))
     dealt = texts.select("doc_id", "text", F.explode(to).alias("at")).select("doc_id", "text", "at.*")
-    dealt = dealt.repartitionById(last + 1, F.col("b")).sortWithinPartitions("tail", "doc_id", "text").select("doc_id", "text", "tail")
+    dealt = dealt.repartitionById(last + 1, F.col("b")).sortWithinPartitions("tail", "doc_id", shared.text_order(F.col("text")), "text").select("doc_id", "text", "tail")
 
     def fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = OnePermutation(bins, bits)

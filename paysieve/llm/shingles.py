@@ -24,23 +24,34 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_P, _INVERSE)):
-            row = np.full(size, base, dtype=np.uint64)
-            row[0] = 1
-            _powers[i] = np.multiply.accumulate(row)
-    return _powers[0][:n], _powers[1][:n]
+    """The first n powers and their inverses; those of very long strings are not kept."""
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    made = []
+    for base in (_P, _INVERSE):
+        row = np.full(1 << (n - 1).bit_length(), base, dtype=np.uint64)
+        row[0] = 1
+        made.append(np.multiply.accumulate(row))
+    if n <= 1 << 20:
+        _powers[:] = made
+    return made[0][:n], made[1][:n]
 
 
-def hashed(strings: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each string's bytes."""
+def hashed(strings: pa.Array, most_bytes: int = 1 << 18) -> np.ndarray:
+    """A 64-bit hash of each string's bytes; ``most_bytes`` are worked on at once, or one longer string."""
     if not len(strings):
         return np.zeros(0, dtype=np.uint64)
     edges = np.frombuffer(strings.buffers()[1], dtype=np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
-    first = edges[0]
-    data = np.frombuffer(strings.buffers()[2] or b"", dtype=np.uint8)[first : edges[-1]]
-    edges = edges - first
+    data = np.frombuffer(strings.buffers()[2] or b"", dtype=np.uint8)
+    out, start = [], 0
+    while start < len(strings):
+        end = max(start + 1, int(np.searchsorted(edges, edges[start] + most_bytes, side="right")) - 1)
+        out.append(_hashed(data[edges[start] : edges[end]], edges[start : end + 1] - edges[start]))
+        start = end
+    return np.concatenate(out)
+
+
+def _hashed(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
     up, down = _power(len(data) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64)])
     own = (total[edges[1:]] - total[edges[:-1]]) * down[edges[:-1]]

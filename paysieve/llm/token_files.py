@@ -2,14 +2,14 @@
 
 A file holds segments, one after the other; a segment holds whole documents::
 
-    magic "BPK1" | u32 bits, u32 ids per block, u64 documents, u64 ids, u64 blocks
+    magic "BPK2" | u32 bits, u32 ids per block, u64 bucket, u64 number in the bucket, u64 documents, u64 ids, u64 blocks
     i64 doc_id[documents] | u8 doc_id is null[documents] | u64 ids before[documents + 1]
     u64 byte offset[blocks + 1] | packed ids | "\\n"
 
 All numbers are little-endian.  Id k of a block has bits k * bits onwards of the block,
 lowest bit first, so any block can be unpacked by numpy on its own, and any id range
-through the block offsets.  Documents are in ascending doc_id order within a file and
-across files by name.
+through the block offsets.  Documents are in ascending doc_id order within a segment, and across segments by
+their bucket and their number in it; names of files have no meaning.
 """
 
 from __future__ import annotations
@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paysieve.llm import shared, words
 
-MAGIC, HEAD, BLOCK = b"BPK1", struct.Struct("<4sIIQQQ"), 4096
+MAGIC, HEAD, BLOCK = b"BPK2", struct.Struct("<4sIIQQQQQ"), 4096
 
 
 def bits_for(vocabulary: int) -> int:
@@ -58,8 +59,8 @@ def unpack(data: bytes | memoryview, bits: int, count: int) -> np.ndarray:
     return out
 
 
-def segment(doc_ids: list, counts: np.ndarray, ids: np.ndarray, bits: int) -> bytes:
-    """A segment of whole documents, without the end of line."""
+def segment(doc_ids: list, counts: np.ndarray, ids: np.ndarray, bits: int, place: tuple[int, int] = (0, 0)) -> bytes:
+    """A segment of whole documents, without the end of line; place: its bucket, and its number there."""
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
     blocks = -(-len(ids) // BLOCK)
@@ -67,7 +68,7 @@ def segment(doc_ids: list, counts: np.ndarray, ids: np.ndarray, bits: int) -> by
     offsets = np.minimum(np.arange(blocks + 1, dtype=np.uint64) * np.uint64(BLOCK * bits // 8), np.uint64(len(packed)))
     return b"".join(
         (
-            HEAD.pack(MAGIC, bits, BLOCK, len(doc_ids), len(ids), blocks),
+            HEAD.pack(MAGIC, bits, BLOCK, *place, len(doc_ids), len(ids), blocks),
             np.array([0 if x is None else x for x in doc_ids], dtype="<i8").tobytes(),
             np.array([x is None for x in doc_ids], dtype="u1").tobytes(),
             np.concatenate([[0], np.cumsum(counts)]).astype("<u8").tobytes(),
@@ -81,7 +82,7 @@ class Segment:
     """A segment at a place of a buffer or memory map; ids are unpacked when asked for."""
 
     def __init__(self, data: memoryview, at: int = 0):
-        magic, self.bits, self.block, documents, self.ids, blocks = HEAD.unpack_from(data, at)
+        magic, self.bits, self.block, self.bucket, self.number, documents, self.ids, blocks = HEAD.unpack_from(data, at)
         if magic != MAGIC:
             raise ValueError("not a segment of packed ids")
         at += HEAD.size
@@ -113,27 +114,30 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
     """Encode every text, append ``end_id`` and write packed files under ``path`` in ascending id order.
 
     A null text is empty: its only id is the end id.  A null doc_id sorts first and stays null;
-    rows that repeat a doc_id are all written, next to each other.  An empty table writes no
-    segment.  Texts of any length stay whole.  Other columns are not read.
+    rows that repeat a doc_id are all written, next to each other, in the order of a hash of their texts, by which
+    they are also dealt to several buckets where they are many.  An empty table writes no segment.  Texts of any length stay whole.  Other columns are not read.
     """
     bits = bits_for(max(len(words.vocabulary(tokenizer)), end_id + 1))
     parts = shared.partitions(docs.sparkSession)
-    bounds = shared.ordered_bounds(docs, id_col, parts)
+    bounds = shared.ordered_bounds(docs, id_col, text_col, parts)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = words.encoder(tokenizer)
+        bucket, written = TaskContext.get().partitionId(), 0
         names: list = []
         counts: list[np.ndarray] = []
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            row = segment(names, np.concatenate(counts), np.concatenate(held), bits)
+            nonlocal written
+            row = segment(names, np.concatenate(counts), np.concatenate(held), bits, (bucket, written))
+            written += 1
             for x in (names, counts, held):
                 x.clear()
             return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["segment"])
 
         for batch in batches:
-            for part in shared.slices(batch, "text", 8 << 20):
+            for part in shared.slices(batch, "text", words.SLICE):
                 ids, offsets = encode(part.column("text"))
                 names += part.column("doc_id").to_pylist()
                 counts.append(np.diff(offsets) + 1)
@@ -145,9 +149,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
 
     placed = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .withColumn("_bucket", shared.bucket_of(bounds, F.col("doc_id")))
-        .repartitionById(len(bounds) + 1, F.col("_bucket"))
-        .sortWithinPartitions("doc_id", "text")
+        .withColumn("_bucket", bounds.bucket_of(F.col("doc_id"), F.col("text")))
+        .repartitionById(bounds.buckets, F.col("_bucket"))
+        .sortWithinPartitions("doc_id", shared.text_order(F.col("text")), "text")
         .select("doc_id", "text")
     )
     rows = placed.mapInArrow(segments, "segment binary")
@@ -156,33 +160,36 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, file, place (within the file), n_tokens and ids (u32, little-endian bytes) of every document in the files."""
+    """doc_id, bucket and number (of the segment), place (in it), n_tokens and ids (u32, little-endian bytes) of every document in the files."""
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0), batch.column(1), strict=True):
-                data, at, before = memoryview(content.as_buffer()), 0, 0
+            for content in batch.column(0):
+                data, at = memoryview(content.as_buffer()), 0
                 while at < len(data):
                     own = Segment(data, at)
                     at, n = own.end, len(own.doc_ids)
-                    ids = own.range(0, own.ids).astype("<u4")
-                    size = 4 * own.before
-                    for i in range(0, n, 2000):
-                        j = min(n, i + 2000)
-                        edges = (size[i : j + 1] - size[i]).astype(np.int32)
-                        body = pa.py_buffer(ids[own.before[i] : own.before[j]].tobytes())
-                        packed = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(edges.tobytes()), body])
-                        columns = [pa.array(own.doc_ids[i:j], mask=own.null[i:j]), pa.array([name.as_py()] * (j - i)), pa.array(before + own.before[i:j]), pa.array(np.diff(own.before[i : j + 1])), packed]
-                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "file", "place", "n_tokens", "ids"])
-                    before += own.ids
+                    for i in range(0, n, 500):
+                        j = min(n, i + 500)
+                        ids = own.range(int(own.before[i]), int(own.before[j] - own.before[i])).astype("<u4")
+                        edges = (4 * (own.before[i : j + 1] - own.before[i])).astype(np.int32)
+                        packed = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(ids.tobytes())])
+                        columns = [pa.array(own.doc_ids[i:j], mask=own.null[i:j]), pa.array(np.full(j - i, own.bucket)), pa.array(np.full(j - i, own.number)), pa.array(own.before[i:j]), pa.array(np.diff(own.before[i : j + 1])), packed]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "bucket", "number", "place", "n_tokens", "ids"])
+            pa.default_memory_pool().release_unused()
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(documents, "doc_id long, file string, place long, n_tokens long, ids binary")
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(documents, "doc_id long, bucket long, number long, place long, n_tokens long, ids binary")
 
 
 def token_index(read: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of documents as read from files; start counts the ids of all files before."""
-    own = shared.written(read.select("doc_id", "file", "place", "n_tokens", F.crc32("ids").alias("ids_crc32")), "token-index")
-    totals = own.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # a row a file
-    before = totals.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return own.join(before, "file").select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+    """doc_id, start, n_tokens and ids_crc32 of documents as read from files; start counts the ids of all segments before."""
+    own = shared.written(read.select("doc_id", "bucket", "number", "place", "n_tokens", F.crc32("ids").alias("ids_crc32")), "token-index")
+    of_segment = own.groupBy("bucket", "number").agg(F.sum("n_tokens").alias("n"))
+    before = lambda order: order.rowsBetween(Window.unboundedPreceding, -1)
+    inner = of_segment.select("bucket", "number", F.coalesce(F.sum("n").over(before(Window.partitionBy("bucket").orderBy("number"))), F.lit(0)).alias("inner"))
+    # a row a bucket, of which there are no more than shuffle partitions, whatever the input
+    of_bucket = of_segment.groupBy("bucket").agg(F.sum("n").alias("n"))
+    outer = of_bucket.select("bucket", F.coalesce(F.sum("n").over(before(Window.orderBy("bucket"))), F.lit(0)).alias("outer"))
+    starts = inner.join(outer, "bucket").select("bucket", "number", (F.col("inner") + F.col("outer")).alias("before"))
+    return own.join(starts, ["bucket", "number"]).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Bytes of text that are encoded at once; fewer cost more looks into the dictionary.
+SLICE = 4 << 20
 #: A word of these letters is one unit for the pre-tokenizer, whatever stands around it.
 PLAIN = "^[a-z\\x{df}-\\x{f6}\\x{f8}-\\x{ff}]+$"
 PLAIN_AND_MARK = "^[a-z\\x{df}-\\x{f6}\\x{f8}-\\x{ff}]+[.,;:!?]$"
@@ -49,6 +51,30 @@ def tokenizer(path: str):
     return loaded
 
 
+@functools.lru_cache(maxsize=4)
+def fitting(path: str) -> str:
+    """The path, if the tokenizer's white-space words are independent and case does not count; else a ValueError.
+
+    It has to lower the case, to drop white space before it merges, to end words by a mark, and to have no
+    decoder and no step after the merges: what ``split`` and ``encode_words`` rely on.
+    """
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+
+    def parts(x: dict | None, name: str) -> list[dict]:
+        return [] if x is None else x.get(name, [x])
+
+    lowers = any(x["type"] == "Lowercase" for x in parts(d["normalizer"], "normalizers"))
+    before = parts(d["pre_tokenizer"], "pretokenizers")
+    drops = any(x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"] for x in before) and not any(x.get("add_prefix_space") for x in before)
+    model = d["model"]
+    if not (lowers and drops and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout") and d["decoder"] is None and d["post_processor"] is None):
+        raise ValueError(f"not a lower-casing word tokenizer that drops white space: {path}")
+    return path
+
+
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> list[str]:
     """Pieces by id; an id without a piece has an empty one."""
@@ -96,10 +122,11 @@ def encode_words(path: str, words: pa.Array) -> pa.ListArray:
 
 
 class Encoder:
-    """Ids of texts, with a dictionary of the words met so far that is emptied at ``most`` words."""
+    """Ids of texts, with a dictionary of the words met so far that is emptied at ``most_bytes``."""
 
-    def __init__(self, path: str, most: int = 1_500_000):
-        self.path, self.most = path, most
+    def __init__(self, path: str, most_bytes: int = 16 << 20):
+        fitting(path)
+        self.path, self.most_bytes = path, most_bytes
         self._empty()
 
     def _empty(self) -> None:
@@ -108,7 +135,7 @@ class Encoder:
 
     def _ids_of(self, stems: pa.Array) -> pa.ListArray:
         """Ids of distinct stems."""
-        if len(self.words) > self.most:
+        if self.words.nbytes + self.ids.nbytes > self.most_bytes:
             self._empty()
         at = pc.index_in(stems, self.words)
         if at.null_count:
