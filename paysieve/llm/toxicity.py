@@ -149,7 +149,7 @@ def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int
 
     def first_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text's distinct words, with the words around the first use."""
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, "text")):
             out, around, spelt, labels = [], [], [], []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 plain = _WORD.findall(fold(text))
@@ -185,7 +185,7 @@ def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int
     lexicon = Lexicon({_spelling(w, at): math.log((b + 0.5) / (g + 0.5)) + odds for w, (b, g, at) in kept.items()})
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in shared.slices(whole, "text")):
             x = [lexicon.density(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column("label")], ["x", "y"])
 
@@ -225,16 +225,17 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, *, threshold: float = 0.7, te
     Only the text decides.  Null and empty texts match nothing.  Repeated rows stay; texts of any length are
     scored whole; an empty table gives no rows.  Columns named score or predicted give way to the new ones.
     """
-    fields = [f for f in docs.schema.fields if f.name in (keep or docs.columns) and f.name not in ("score", "predicted")]
+    fields = [f for f in docs.schema.fields if f.name in (keep or docs.columns) and f.name.lower() not in ("score", "predicted")]
     names = [f.name for f in fields]
+    text = shared.new_name("text", docs.columns)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon.automaton()
-        for batch in batches:
-            score = [lexicon.score(lexicon.density(t or "")) for t in batch.column("_text").to_pylist()]
+        for batch in (part for whole in batches for part in shared.slices(whole, text)):
+            score = [lexicon.score(lexicon.density(t or "")) for t in batch.column(text).to_pylist()]
             columns = [*(batch.column(n) for n in names), pa.array(score, pa.float64()), pa.array([int(x >= threshold) for x in score], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "score", "predicted"])
 
     lexicon._automaton = None  # built again in each task
     schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.select(*names, F.col(text_col).alias("_text")).mapInArrow(scored, schema)
+    return docs.select(*names, F.col(text_col).alias(text)).mapInArrow(scored, schema)
