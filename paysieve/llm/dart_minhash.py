@@ -6,8 +6,9 @@ are thrown up to a rank that lets about k ln k + 2k of them in; each falls on on
 coordinates, and the earliest dart of each coordinate is the signature.  Two documents agree on a
 coordinate with the probability of their weighted Jaccard likeness.
 
-Signatures are cut into bands; documents that share a band are compared on their whole
-shingle sets, in blocks, where documents that are linked already are not compared again.
+Signatures are cut into bands, and whole shingle sets decide.  First every text of some bands is compared
+with one text of its band, which joins a large group of copies at the cost of its size.  Then all bands that
+still hold texts of different groups are compared in blocks, where no two texts of one group meet.
 With 32 bands of 4, a pair at likeness 0.8 is missed with probability 5e-8.
 """
 
@@ -27,8 +28,8 @@ _FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class DartMinHash:
-    def __init__(self, k: int = 128, seed: int = 1):
-        self.k, self.seed = k, np.uint64(seed)
+    def __init__(self, k: int = 128, seed: int = 1, most_cells: int = 1 << 18):
+        self.k, self.seed, self.most_cells = k, np.uint64(seed), most_cells
         self.darts = k * np.log(k) + 2 * k
         # a Poisson number of mean 1 from a uniform 32-bit number
         terms = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate([[1.0], np.arange(1.0, 13.0)])))
@@ -43,6 +44,14 @@ class DartMinHash:
         first, last = np.floor(low[rows]).astype(np.int64), np.ceil(high[rows]).astype(np.int64)
         wide = np.ones(len(rows), dtype=np.int64) if weights is None else np.ceil(weights).astype(np.int64)
         times = (last - first) * wide
+        if len(rows) > 1 and times.sum() > self.most_cells:  # in parts: a dart does not depend on the others
+            parts = np.cumsum(times) // self.most_cells
+            edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(rows)]
+            if len(edges) == 2:
+                edges = [0, len(rows) // 2, len(rows)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                self._throw(rows[a:b], elements[a:b], None if weights is None else weights[a:b], low, high, out)
+            return
         at = np.repeat(np.arange(len(rows)), times)
         nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
         column, cell = nth % wide[at], first[at] + nth // wide[at]
@@ -128,17 +137,17 @@ def linked(sets: list[np.ndarray], labels: np.ndarray, least: float) -> list[tup
     return out
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, rows_per_band: int = 4, first_bands: int = 8, block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, rows_per_band: int = 4, star_bands: int = 8, block: int = 1024, block_elements: int = 1 << 19, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id (the least doc_id of its class), keep (one row of each class) and node (the text's hash) of every row of ``docs``.
 
     A class: texts connected by five-word-shingle Jaccard likeness of ``threshold`` or more, and their copies.
-    Texts are told apart by a 64-bit hash.  Two rounds: ``first_bands`` bands link most; the
-    other bands then look only where a band holds documents of different classes.  A band of more
-    than ``block`` distinct texts is compared block by block, each pair of blocks in its own task.
+    Texts are told apart by a 64-bit hash.  A block has ``block`` texts or ``block_elements`` shingles at most, or one
+    longer text; each pair of blocks is compared in a task of its own.
 
     Null texts are empty; texts without words are in a class only with their exact copies.  Rows of
     equal text are one class; the least doc_id is kept, of rows that repeat it one.  A class whose
-    doc_ids are all null has a null class_id.  An empty table gives no rows.  Other columns are not read.
+    doc_ids are all null has a null class_id.  Texts of any length are compared whole.  An empty table gives no
+    rows.  Other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumns({"node": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
@@ -146,63 +155,66 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = DartMinHash(k)
         for batch in batches:
-            for part in shared.slices(batch, "text", 1 << 20):
-                elements, starts = shingles.shingles(part.column("text"))
-                elements, starts = distinct(elements, starts)
+            for part in shared.slices(batch, "text", row_bytes=512):
+                elements, starts = distinct(*shingles.shingles(part.column("text")))
                 keys = minhash.bands(minhash.signatures(elements, starts), rows_per_band).view(np.int64)
-                n = keys.shape[1]
                 full = np.diff(starts) > 0
-                edges = np.concatenate([[0], np.cumsum(np.where(full, n, 0))]).astype(np.int32)
+                edges = np.concatenate([[0], np.cumsum(np.where(full, keys.shape[1], 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(keys[full].ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), part.column("row"), lists], ["doc_id", "node", "row", "bands"])
-
-    signed_rows = shared.written(texts.mapInArrow(signed, "doc_id long, node long, row long, bands array<long>"), "signatures")
-    nodes = signed_rows.groupBy("node").agg(F.min("doc_id").alias("first"))
-    bands = k // rows_per_band
-    # of all rows' bands, those that hold two texts at least
-    placed = signed_rows.select("node", F.posexplode("bands").alias("band", "key"))
-    full = placed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    held = shared.written(placed.join(full, "key").select("node", "band", "key").distinct(), "band-members")
+                columns = [part.column("doc_id"), part.column("node"), part.column("row"), pa.array(np.diff(starts)), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "row", "size", "bands"])
+
+    signed_rows = shared.written(texts.mapInArrow(signed, "doc_id long, node long, row long, size long, bands array<long>"), "signatures")
+    # copies become one row before any band is looked at
+    nodes = shared.written(signed_rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("bands").alias("bands")), "distinct-texts")
+    placed = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
+    full = placed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("b")).where("pivot <> b").select("key", "pivot")
+    held = shared.written(placed.join(full, "key").select("node", "size", "band", "key", "pivot"), "band-members")
     # whole sets of those texts, from one row of each
-    wanted = held.select("node").distinct().join(nodes, "node")
+    wanted = held.select("node").distinct().join(nodes.select("node", "first"), "node")
     chosen = texts.join(wanted, (texts.node == wanted.node) & texts.doc_id.eqNullSafe(wanted["first"])).select(texts.node, "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.slices(batch, "text", 1 << 20):
+            for part in shared.slices(batch, "text"):
                 elements, starts = distinct(*shingles.shingles(part.column("text")))
-                rows = [elements[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(rows, pa.binary())], ["node", "elements"])
-
-    sets = shared.written(chosen.mapInArrow(sets_of, "node long, elements binary").dropDuplicates(["node"]), "shingle-sets")
+                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(elements.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "elements"])
+
+    sets = shared.written(chosen.mapInArrow(sets_of, "node long, elements array<long>").dropDuplicates(["node"]), "shingle-sets")
+
+    stars = held.where((F.col("band") < star_bands) & (F.col("node") != F.col("pivot"))).select("node", "pivot").distinct()
+    met = stars.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("elements").alias("others")), "pivot")
+    common = F.size(F.array_intersect("elements", "others"))
+    near = common >= threshold * (F.size("elements") + F.size("others") - common) - 1e-9
+    first = shared.written(met.where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")), "links")
+
+    labels = components(first)
+    members = held.join(labels, "node", "left").select("node", "size", "key", F.coalesce("component", "node").alias("label"))
+    # a key's largest group, and all others together; the texts of the largest do not meet one another
+    of_label = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    of_key = of_label.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.struct("n", "s", "label")).alias("top")).where("labels > 1")
+    blocks = lambda n, s: F.greatest(F.ceil(n / block), F.ceil(s / block_elements)).cast("int")
+    sizes = of_key.select("key", F.col("top.label").alias("top"), blocks(F.col("top.n"), F.col("top.s")).alias("tops"), blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("rests"))
+    is_top = F.col("label") == F.col("top")
+    share = F.xxhash64("node", "key")
+    own = members.join(sizes, "key").withColumn("own", F.when(is_top, F.col("rests") + F.pmod(share, F.col("tops"))).otherwise(F.pmod(share, F.col("rests"))).cast("int"))
+    others = F.sequence(F.lit(0), F.when(is_top, F.col("rests")).otherwise(F.col("rests") + F.col("tops")) - 1)
+    pairs = F.transform(others, lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
+    dealt = own.select("node", "label", "key", F.explode(pairs).alias("at")).select("node", "label", "key", "at.i", "at.j")
 
     def compared(key, rows):
-        found = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in shared.as_array(rows.column("elements"))]
+        lists = shared.as_array(rows.column("elements"))
+        edges = np.asarray(lists.offsets)
+        values = np.asarray(lists.values)
+        found = [values[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
         node = np.asarray(rows.column("node"))
         pairs = linked(found, np.asarray(rows.column("label")), threshold)
         a, b = (np.array(x, dtype=np.int64) for x in (zip(*pairs, strict=True) if pairs else ((), ())))
         return pa.table([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
 
-    def links(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-        members = members.select("node", "key")
-        if labels is None:
-            members = members.withColumn("label", F.col("node"))
-        else:
-            members = members.join(labels, "node", "left").select("node", "key", F.coalesce("component", "node").alias("label"))
-        sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        blocks = F.ceil(F.col("n") / block).cast("int")
-        own = members.join(sizes, "key").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
-        # a text goes to every pair of blocks that its own block is in
-        pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
-        dealt = own.select("node", "label", "key", F.explode(pairs).alias("at")).select("node", "label", "key", "at.i", "at.j")
-        return dealt.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
-
-    first = links(held.where(F.col("band") < first_bands), None)
-    if bands > first_bands:
-        first = shared.written(first.distinct(), "links")
-        more = links(held.where(F.col("band") >= first_bands), components(first))
-        first = first.union(more)
-    classes = components(first)
+    more = dealt.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
+    classes = components(first.union(more))
     of_node = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("component", "node").alias("class"))
     class_of = of_node.groupBy("class").agg(F.min("first").alias("class_id"))
     named = of_node.join(class_of, "class").select("node", "first", "class", "class_id")
@@ -215,12 +227,13 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
 def kept_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps: one of each class.
 
-    Of rows that repeat the kept doc_id and text one stays, whichever comes.
+    Nulls, empty texts and ties are as there.  Of rows that repeat the kept doc_id and text one stays, whichever comes.
     """
-    kept = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("keep").select(F.col("doc_id").alias("_doc_id"), F.col("node").alias("_node"))
+    of, own = (shared.new_name(n, docs.columns) for n in ("kept_id", "node"))
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("keep").select(F.col("doc_id").alias(of), F.col("node").alias(own))
     node = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_doc_id")) & (node == F.col("_node")))
-    return joined.dropDuplicates([id_col, "_node"]).select(docs.columns)
+    joined = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(of)) & (node == F.col(own)))
+    return joined.dropDuplicates([of, own]).select(docs.columns)
 
 
 def distinct(elements: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
