@@ -10,6 +10,7 @@ the plan says where the piece with that number goes.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,19 +38,42 @@ def combinations(present: np.ndarray, units: int, slack: int) -> list[tuple[int,
     return out
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
-    """x >= 0 with least |a x - b|, by the active-set method."""
-    x, on = np.zeros(a.shape[1]), np.zeros(a.shape[1], dtype=bool)
+def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 3000) -> np.ndarray:
+    """x >= 0 with least |a x - b|, by the active-set method; warns where ``rounds`` end it early.
+
+    Columns of ``a`` have few entries: gradients go through them alone, and each step solves the chosen columns'
+    normal equations.
+    """
+    n, m = a.shape
+    x, on = np.zeros(m), np.zeros(m, dtype=bool)
+    if not m:
+        return x
     tolerance = 1e-7 * max(1.0, float(np.abs(b).max(initial=0)))
+    row, column = np.nonzero(a)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    nth = np.arange(len(row)) - np.searchsorted(column, column)
+    places = np.full((m, int(nth.max(initial=0)) + 1), n)
+    places[column, nth] = row
+    values = np.zeros(places.shape)
+    values[column, nth] = a[row, column]
     for _ in range(rounds):
-        w = a.T @ (b - a @ x)
+        own = np.flatnonzero(on)
+        rest = np.append(b - a[:, own] @ x[own], 0.0)
+        w = (values * rest[places]).sum(axis=1)
         w[on] = -np.inf
-        if not len(w) or w.max() <= tolerance:
-            break
+        if w.max() <= tolerance:
+            return x
         on[int(w.argmax())] = True
         while on.any():
             own = np.flatnonzero(on)
-            s = np.linalg.lstsq(a[:, own], b, rcond=None)[0]
+            chosen = a[:, own]
+            square = chosen.T @ chosen
+            square[np.diag_indices(len(own))] *= 1 + 1e-12
+            try:
+                s = np.linalg.solve(square, chosen.T @ b)
+            except np.linalg.LinAlgError:
+                s = np.linalg.lstsq(chosen, b, rcond=None)[0]
             if (s > 0).all():
                 x[:] = 0
                 x[own] = s
@@ -61,6 +85,7 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
             if not len(drop):
                 drop = own[low][:1]
             x[drop], on[drop] = 0, False
+    warnings.warn(f"least squares stopped after {rounds} rounds", stacklevel=2)
     return x
 
 
@@ -158,7 +183,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, *, window: int
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = words.encoder(tokenizer)
         for batch in batches:
-            for part in shared.slices(batch, "text", 8 << 20):
+            for part in shared.slices(batch, "text", words.SLICE):
                 ids, offsets = encode(part.column("text"))
                 rows = [token_files.pack(np.append(ids[a:b], np.uint32(end_id)), bits) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 columns = [part.column("doc_id"), part.column("_row"), pa.array(np.diff(offsets) + 1), pa.array(rows, pa.binary())]
@@ -203,8 +228,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, *, window: int
     salts = {int(x): int(-(-of_length[x] // group)) for x in np.flatnonzero(of_length > group)}
     share = F.coalesce(F.element_at(F.create_map(*(F.lit(v) for kv in salts.items() for v in kv)), F.col("size")), F.lit(1)) if salts else F.lit(1)
     pieces = pieces.withColumn("size", F.ceil(F.col("length") / unit).cast("int")).withColumn("salt", F.pmod(F.xxhash64("_row", "start"), share.cast("long")))
-    sizes = pieces.groupBy("size", "salt").agg(F.count("*").alias("k"))
-    before = sizes.select("size", "salt", F.coalesce(F.sum("k").over(Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    # the groups' sizes are summed up by a thousand groups, and those once more, so that a length's groups are not one task's
+    far = F.floor(F.col("salt") / 1000).alias("far")
+    sizes = pieces.groupBy("size", "salt").agg(F.count("*").alias("k")).select("size", "salt", far, "k")
+    summed = lambda *keys, by: F.coalesce(F.sum("k").over(Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    above = sizes.groupBy("size", "far").agg(F.sum("k").alias("k")).select("size", "far", summed("size", by="far").alias("above"))
+    before = sizes.select("size", "far", "salt", summed("size", "far", by="salt").alias("inner")).join(above, ["size", "far"]).select("size", "salt", (F.col("above") + F.col("inner")).alias("before"))
     numbered = pieces.withColumn("number", F.row_number().over(Window.partitionBy("size", "salt").orderBy("_row", "start")) - 1).join(before, ["size", "salt"])
 
     @F.pandas_udf("sequence_id long, slot int")
@@ -220,7 +249,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, *, window: int
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own in shared.slices(batch, "packed", 8 << 20):
+            for own in shared.slices(batch, "packed"):
                 rows = []
                 for doc, tokens, packed, held in zip(own.column(0).to_pylist(), own.column(1).to_pylist(), own.column(2), own.column(3).to_pylist(), strict=True):
                     raw = token_files.unpack(memoryview(packed.as_buffer()), bits, tokens).astype("<u4").tobytes()
