@@ -22,13 +22,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    shared.ship_package(spark)
+    shared.prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: Rules for urls: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-BOILERPLATE = {"ratio": 0.1, "min_pages": 5}
+#: A line of two pages at least, which shows that it recurs, on more than 6 % of its site's.
+BOILERPLATE = {"ratio": 0.06, "min_pages": 2}
 
 
 def op1_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
