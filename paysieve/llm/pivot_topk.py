@@ -4,12 +4,14 @@ With one more component, chosen to give every vector the same norm, the highest
 least Euclidean distance.  Each vector is keyed by its nearest pivot and its distance to it;
 a pivot's vectors are cut by distance into annuli, and annuli into blocks of bounded size.  For a query
 at distance D of a pivot, the triangle inequality keeps all of an annulus [r, s] at distance
-max(D - s, r - D) at least.  Queries first look into the blocks nearest by that bound; the k-th
-score found there then rules out the blocks whose bound is beyond it, and the rest is scored.
+max(D - s, r - D) at least.  Each query sorts the annuli by that bound and expands them in rounds: the k-th best
+score so far rules out the annuli beyond it, the nearest of the others are scored next, and the query stops
+when none is left.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 
 from paysieve.llm import shared
 
+_log = logging.getLogger(__name__)
+
 #: Where a vector's square is below, every float64 sum of products is exact; beyond, sums are of 64-bit integers.
 EXACT = 2.0**53
 #: Scores are long: no vector's square may reach this (with room for the rounding of the square).
@@ -80,22 +84,23 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32, annuli: int = 16, block: int = 1024, tile: int = 256, most_blocks: int = 32_768, sample: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32, annuli: int = 16, block: int = 1024, tile: int = 256, first_annuli: int = 2, sample: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k highest inner products of floor(256 x).
 
-    Queries are the rows where ``is_query`` holds; candidates are all rows with another id.  Ties go to
+    Queries are the rows where ``is_query`` holds; candidates are all rows but the query's own.  Ties go to
     the lesser id; with fewer candidates all are given.  Pivots come from ``sample`` rows at most; every row is
-    indexed, and the result is exact.
+    indexed, and the result is exact.  A round expands four times as many annuli as the one before, from
+    ``first_annuli`` on; there are at most pivots x annuli, however many rows there are.
 
     Rows with a null id, a null vector, or a null or non-finite component take no part.  Shorter
-    vectors are as if they ended in zeros.  Rows that repeat an id are separate candidates, and not
-    of each other; a repeated query is answered once.  Components of any size count as they are; where a
+    vectors are as if they ended in zeros.  Rows that repeat an id are separate candidates, of each other too, and
+    separate queries, each with its own k rows.  Components of any size count as they are; where a
     score could be beyond a long the query fails.  An empty table gives no rows.  Other columns are not read.
     """
     spark = vectors.sparkSession
     x = F.col(vector_col)
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    valid = vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & whole).select(F.col(id_col).cast("long").alias("vec_id"), x.cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
+    valid = vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & whole).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("vec_id"), x.cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     size = valid.agg(F.max(F.size("v")).alias("d"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
     dims = size.d
     if dims is None:
@@ -110,9 +115,9 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
         for batch in batches:
             codes = quantised(batch.column("v"), dims)
             rows = [c.tobytes() for c in codes.astype(kind)]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("q"), pa.array(rows, pa.binary()), pa.array((codes * codes).sum(axis=1))], ["vec_id", "q", "code", "square"])
+            yield pa.RecordBatch.from_arrays([*batch.select(["rid", "vec_id", "q"]).columns, pa.array(rows, pa.binary()), pa.array((codes * codes).sum(axis=1))], ["rid", "vec_id", "q", "code", "square"])
 
-    rows = shared.written(valid.mapInArrow(coded, "vec_id long, q boolean, code binary, square double"), "codes")
+    rows = shared.written(valid.mapInArrow(coded, "rid long, vec_id long, q boolean, code binary, square double"), "codes")
 
     def matrix(column, as_type=np.float64) -> np.ndarray:
         data = b"".join(x.as_buffer() for x in column)
@@ -130,101 +135,95 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
         for batch in batches:
             far = index.distances(matrix(batch.column("code")))
             near = far.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(near)), near])], ["vec_id", "q", "code", "pivot", "far"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(near)), near])], ["rid", "vec_id", "q", "code", "pivot", "far"])
 
-    placed = shared.written(rows.mapInArrow(keyed, "vec_id long, q boolean, code binary, pivot int, far double"), "pivot-distances")
+    placed = shared.written(rows.mapInArrow(keyed, "rid long, vec_id long, q boolean, code binary, pivot int, far double"), "pivot-distances")
     # annuli of each pivot by its vectors' distances: `pivots` rows
     cuts = {r.pivot: np.unique(r.cuts) for r in placed.groupBy("pivot").agg(F.percentile_approx("far", [i / annuli for i in range(1, annuli)], 1000).alias("cuts")).collect()}
-    annulus = F.pandas_udf(lambda p, d: _ring(cuts, p, d), "int")
-    ringed = placed.withColumn("ring", annulus("pivot", "far"))
-    rings = ringed.groupBy("pivot", "ring").agg(F.count("*").alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).collect()  # pivots x annuli rows
-    total = sum(r.n for r in rings)
-    size = max(block, -(-total // most_blocks))
-    lows, highs, owners, first = [], [], [], {}
-    for r in sorted(rings, key=lambda r: (r.pivot, r.ring)):
-        parts = -(-r.n // size)
-        first[r.pivot, r.ring] = (len(lows), parts)
-        lows += [r.low] * parts
-        highs += [r.high] * parts
-        owners += [r.pivot] * parts
-    low, high, owner = np.array(lows), np.array(highs), np.array(owners)
-    starts = F.create_map(*(F.lit(v) for (p, a), (b, _) in first.items() for v in (p * 1000 + a, b)))
-    shares = F.create_map(*(F.lit(v) for (p, a), (_, n) in first.items() for v in (p * 1000 + a, n)))
-    name = F.col("pivot") * 1000 + F.col("ring")
-    blocks = ringed.withColumn("block", (F.element_at(starts, name) + F.pmod(F.xxhash64("vec_id"), F.element_at(shares, name))).cast("int")).groupBy("block").agg(F.collect_list(F.struct("vec_id", "code")).alias("rows"))
+    ring_of = F.pandas_udf(lambda p, d: _ring(cuts, p, d), "int")
+    ringed = placed.withColumn("ring", ring_of("pivot", "far"))
+    rings = sorted(ringed.groupBy("pivot", "ring").agg(F.count("*").alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).collect())  # pivots x annuli rows
+    owner, low, high = (np.array([r[c] for r in rings]) for c in ("pivot", "low", "high"))
+    number = F.create_map(*(F.lit(v) for i, r in enumerate(rings) for v in (r.pivot * 1000 + r.ring, i)))
+    parts_of = F.array(*(F.lit(int(-(-r.n // block))) for r in rings))
+    ringed = ringed.withColumn("annulus", number[F.col("pivot") * 1000 + F.col("ring")])
+    part = F.pmod(F.xxhash64("rid"), F.get(parts_of, F.col("annulus"))).cast("int")
+    blocks = ringed.groupBy("annulus", part.alias("part")).agg(F.collect_list(F.struct("rid", "vec_id", "code")).alias("rows"))
 
     # queries in tiles: alike ones together
-    asked = placed.where("q").dropDuplicates(["vec_id"]).select("vec_id", "code", "pivot")
+    asked = placed.where("q").select("rid", "vec_id", "code", "pivot")
     per_pivot = asked.groupBy("pivot").agg(F.ceil(F.count("*") / tile).alias("parts"))
-    tiles = asked.join(per_pivot, "pivot").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).groupBy("pivot", "part").agg(F.collect_list(F.struct("vec_id", "code")).alias("queries")).withColumn("tile", F.concat_ws("-", "pivot", "part"))
+    tiles = asked.join(per_pivot, "pivot").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts"))).groupBy("pivot", "part").agg(F.collect_list(F.struct("rid", "vec_id", "code")).alias("queries")).withColumn("tile", F.concat_ws("-", "pivot", "part"))
     tiles = shared.written(tiles.select("tile", "queries"), "query-tiles")
 
     def bounds(q: np.ndarray) -> np.ndarray:
-        """Least distance that a vector of each block can have to each query; nothing for a zero query."""
+        """Least distance that a vector of each annulus can have to each query; nothing for a zero query."""
         d = index.query_distances(q)[:, owner]
         out = np.maximum(0, np.maximum(d - high, low - d))
         out[(q * q).sum(axis=1) == 0] = 0
         return out
 
-    def near_blocks(q: np.ndarray) -> np.ndarray:
-        """The blocks that a tile looks into first: two that are nearest for each of its queries."""
-        b = bounds(q) + 1e-9 * index.query_distances(q)[:, owner]
-        return np.unique(np.argsort(b, axis=1, kind="stable")[:, :2])
-
-    def parsed(rows, as_type=np.float64) -> tuple[np.ndarray, np.ndarray]:
+    def parsed(rows, as_type=np.float64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         held = rows.values
-        return np.asarray(held.field("vec_id"), dtype=np.int64), matrix(held.field("code"), as_type)
-
-    def first_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                _, q = parsed(batch.column("queries")[i])
-                to = near_blocks(q)
-                own = batch.slice(i, 1).take(pa.array(np.zeros(len(to), dtype=np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), *own.columns], ["block", "tile", "queries"])
-
-    def second_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, q = parsed(batch.column("queries")[i])
-                known = dict(zip(batch.column("ids")[i].as_py() or [], batch.column("least")[i].as_py() or [], strict=True))
-                reach = np.full(len(ids), np.inf)
-                for j, at in enumerate(ids.tolist()):
-                    if at in known:
-                        reach[j] = 2 * index.norm**2 - 2 * index.scaled(q[j : j + 1])[0] * known[at]
-                reach = np.sqrt(np.maximum(reach, 0)) * (1 + 1e-9) + 1e-6 * max(1.0, index.norm)
-                to = np.setdiff1d(np.flatnonzero((bounds(q) <= reach[:, None]).any(axis=0)), near_blocks(q))
-                if len(to):
-                    own = batch.select(["tile", "queries"]).slice(i, 1).take(pa.array(np.zeros(len(to), dtype=np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), *own.columns], ["block", "tile", "queries"])
+        return np.asarray(held.field("rid")), np.asarray(held.field("vec_id")), matrix(held.field("code"), as_type)
+
+    def expanded(width: int):
+        """Of each tile, the annuli that come next: for each query the nearest ``width`` within its reach that are not seen yet."""
+
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                to = []
+                for i in range(batch.num_rows):
+                    rids, _, q = parsed(batch.column("queries")[i])
+                    known = dict(zip(batch.column("rids")[i].as_py() or [], batch.column("least")[i].as_py() or [], strict=True))
+                    least = np.array([known.get(r, -np.inf) for r in rids.tolist()], dtype=np.float64)
+                    reach = 2 * index.norm**2 - 2 * np.where(np.isfinite(least), index.scaled(q) * np.where(np.isfinite(least), least, 0), -np.inf)
+                    reach = np.sqrt(np.maximum(reach, 0)) * (1 + 1e-9) + 1e-6 * max(1.0, index.norm)
+                    bound = bounds(q)
+                    near = np.where(bound <= reach[:, None], bound + 1e-9 * index.query_distances(q)[:, owner], np.inf)
+                    near[:, batch.column("seen")[i].as_py() or []] = np.inf
+                    order = np.argsort(near, axis=1, kind="stable")[:, :width]
+                    to.append(np.unique(order[np.isfinite(np.take_along_axis(near, order, axis=1))]).tolist())
+                yield pa.RecordBatch.from_arrays([batch.column("tile"), pa.array(to, pa.list_(pa.int32()))], ["tile", "to"])
+
+        return of
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                qids, q = parsed(batch.column("queries")[i], summed)
-                ids, v = parsed(batch.column("rows")[i], summed)
-                if k * 4 < len(ids):
-                    scores = q @ v.T
-                else:
-                    scores = np.einsum("ij,kj->ik", q, v)
+                qrids, qids, q = parsed(batch.column("queries")[i], summed)
+                rids, ids, v = parsed(batch.column("rows")[i], summed)
+                scores = q @ v.T
                 out = []
                 for j in range(len(qids)):
-                    other = np.flatnonzero(ids != qids[j])
+                    other = np.flatnonzero(rids != qrids[j])
                     top = other[best(scores[j, other], ids[other], k)]
-                    out.append((np.full(len(top), qids[j]), ids[top], scores[j, top].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+                    out.append((np.full(len(top), qrids[j]), np.full(len(top), qids[j]), rids[top], ids[top], scores[j, top].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query", "query_id", "rid", "vec_id", "score"])
 
-    # the tiles' rows multiply in the looks, which no estimate knows: they are shuffled, never broadcast
-    found = "query_id long, vec_id long, score long"
-    asks = "block int, tile string, queries array<struct<vec_id: long, code: binary>>"
     blocks = shared.written(blocks, "index-blocks")
-    firsts = shared.written(tiles.mapInArrow(first_look, asks).join(blocks.hint("merge"), "block").mapInArrow(scored, found), "first-scores")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    least = firsts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-    of_tile = tiles.select("tile", F.explode("queries.vec_id").alias("query_id")).join(least, "query_id").groupBy("tile").agg(F.collect_list(F.struct("query_id", "least")).alias("m")).select("tile", F.col("m.query_id").alias("ids"), F.col("m.least").alias("least"))
-    seconds = tiles.join(of_tile, "tile", "left").select("tile", "queries", "ids", "least").mapInArrow(second_look, asks).join(blocks.hint("merge"), "block").mapInArrow(scored, found)
-    ranked = firsts.union(seconds).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "rid")
+    tops = spark.createDataFrame([], "query long, query_id long, rid long, vec_id long, score long, rank int")
+    seen = tiles.select("tile", F.array().cast("array<int>").alias("seen"))
+    width, rounds = first_annuli, 0
+    while True:
+        least = tops.where(F.col("rank") == k).select(F.col("query").alias("rid"), F.col("score").alias("least"))
+        of_tile = tiles.select("tile", F.explode("queries.rid").alias("rid")).join(least, "rid").groupBy("tile").agg(F.collect_list(F.struct("rid", "least")).alias("m")).select("tile", F.col("m.rid").alias("rids"), F.col("m.least").alias("least"))
+        state = tiles.join(seen, "tile").join(of_tile, "tile", "left").select("tile", "queries", "seen", "rids", "least")
+        step = shared.written(state.mapInArrow(expanded(width), "tile string, to array<int>").where(F.size("to") > 0), "annuli-asked")
+        if step.isEmpty():
+            break
+        parts = F.sequence(F.lit(0), F.get(parts_of, F.col("annulus")) - 1)
+        pairs = step.select("tile", F.explode("to").alias("annulus")).select("tile", "annulus", F.explode(parts).alias("part"))
+        # a tile's queries multiply in the join, which no estimate knows: they are shuffled, never broadcast
+        met = pairs.join(tiles.hint("merge"), "tile").join(blocks.hint("merge"), ["annulus", "part"]).select("queries", "rows")
+        found = tops.drop("rank").union(met.mapInArrow(scored, "query long, query_id long, rid long, vec_id long, score long"))
+        tops = shared.written(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best-scores")
+        seen = shared.written(seen.join(step, "tile", "left").select("tile", F.array_union("seen", F.coalesce("to", F.array().cast("array<int>"))).alias("seen")), "annuli-seen")
+        width, rounds = 4 * width, rounds + 1
+    looked = seen.agg(F.sum(F.size("seen")).alias("looked"), F.count("*").alias("tiles")).first()
+    _log.info("%d rounds; tiles looked into %d of %d annuli", rounds, looked.looked or 0, looked.tiles * len(rings))
+    return tops.select("query_id", "rank", "vec_id", "score")
 
 
 def _ring(cuts: dict[int, np.ndarray], pivots, distances):
@@ -239,11 +238,11 @@ def _ring(cuts: dict[int, np.ndarray], pivots, distances):
 
 
 SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS c FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-pairs AS (SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2]))::BIGINT AS score
-          FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
+pairs AS (SELECT q.rid AS q, q.vec_id AS query_id, v.vec_id, v.rid, list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2]))::BIGINT AS score
+          FROM v q JOIN v ON q.rid <> v.rid WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, rid) AS r FROM pairs)
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
