@@ -21,6 +21,8 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from paysieve.llm import shared
+
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -32,7 +34,7 @@ class DigestArray:
             head = json.loads(f.readline())
             at = f.tell()
         n = head["rules"]
-        self.path_lengths = head["path_lengths"]
+        self.path_lengths, self.longest_host = head["path_lengths"], head["longest_host"]
         data = np.memmap(path, dtype=np.uint8, mode="r") if n else np.zeros(0, np.uint8)
         self.keys = data[at : at + 8 * n].view("<u8")
         self.edges = data[at + 8 * n : at + 16 * n + 8].view("<u8")
@@ -42,10 +44,10 @@ class DigestArray:
     @staticmethod
     def write(path: str, rules: Iterable[tuple[str, str, str]]) -> None:
         """rules: verdict, host, path.  Of equal rules the last stands."""
-        of = {(host.translate(_LOWER) + where).encode(): (verdict == "block", len(where)) for verdict, host, where in rules}
-        own = sorted((xxhash.xxh64_intdigest(s), s, block) for s, (block, _) in of.items())
+        of = {(host.translate(_LOWER) + where).encode(): (verdict == "block", len(host), len(where)) for verdict, host, where in rules}
+        own = sorted((xxhash.xxh64_intdigest(s), s, block) for s, (block, *_) in of.items())
         with open(path, "wb") as f:
-            head = json.dumps({"rules": len(own), "path_lengths": sorted({k for _, k in of.values()})})
+            head = json.dumps({"rules": len(own), "path_lengths": sorted({k for *_, k in of.values()}), "longest_host": max((h for _, h, _ in of.values()), default=0)})
             size = len(head) + 1
             f.write((head + " " * (-size % 8) + "\n").encode())
             if own:
@@ -85,13 +87,14 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return rest[:end].translate(_LOWER), path[:stop]
 
 
-def candidates(host: str, path: str, path_lengths: list[int]) -> list[str]:
-    """Every string that a rule for this url can have, the longest first."""
+def candidates(host: str, path: str, path_lengths: list[int], longest_host: int) -> list[str]:
+    """Every string that a rule for this url can have, the longest first; no rule's host is longer than ``longest_host``."""
     if not host:
         return []
-    labels = [host[i:] for i in range(len(host)) if i == 0 or host[i - 1] == "."]
+    first = max(0, len(host) - longest_host)
+    labels = [host[i:] for i in range(first, len(host)) if i == 0 or host[i - 1] == "."]
     fit = path_lengths[: bisect.bisect_right(path_lengths, len(path))]
-    return sorted((h + path[:k] for h in labels if h for k in fit), key=lambda s: (-len(s), s))
+    return sorted((h + path[:k] for h in labels for k in fit), key=lambda s: (-len(s), s))
 
 
 def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: str = "allow", url_col: str = "url", keep: tuple[str, ...] = ("page_id",), most_bytes: int = 1 << 30) -> DataFrame:
@@ -100,7 +103,9 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: s
     rules: (block or allow, host, path).  A rule fits its host and all subdomains if the url's path starts
     with the rule's path.  The longest fitting rule wins; of two as long, the first in string order.  Urls
     that no rule fits get ``default``.  A null url, or one without ``://``, has an empty host and path and
-    fits no rule.  Repeated rows stay.  An empty table gives no rows, no rules give ``default`` throughout.
+    fits no rule.  Repeated rows stay.  Urls of any length are read whole: only host endings as long as a rule's
+    are tried.  An empty table gives no rows, no rules give ``default`` throughout.  A column of ``keep`` that has a
+    new one's name gives way to it.
 
     The array is sent to each executor once as a file; a list of over ``most_bytes`` is refused.
     """
@@ -113,11 +118,15 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: s
         raise ValueError(f"the rules take over {most_bytes} bytes")
     spark.sparkContext.addFile(path)
 
+    new = ("host", "path", "rule", "verdict")
+    keep = tuple(k for k in keep if k.lower() not in new)
+    own_url = shared.new_name("own_url", [*keep, *new])
+
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = _opened(name)
-        for batch in batches:
-            parts = [host_and_path(u) for u in batch.column("_url").to_pylist()]
-            tried = [candidates(h, p, array.path_lengths) for h, p in parts]
+        for batch in (part for whole in batches for part in shared.slices(whole, own_url)):
+            parts = [host_and_path(u) for u in batch.column(own_url).to_pylist()]
+            tried = [candidates(h, p, array.path_lengths, array.longest_host) for h, p in parts]
             hits = array.find([s.encode() for own in tried for s in own])
             rules_out, verdicts, at = [], [], 0
             for own in tried:
@@ -131,12 +140,12 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: s
                     verdicts.append(default)
                 at += len(own)
             columns = [pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array(rules_out, pa.string()), pa.array(verdicts, pa.string())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *columns], [*keep, "host", "path", "rule", "verdict"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *columns], [*keep, *new])
 
     from pyspark.sql import types as T
 
-    rows = urls.select(*keep, urls[url_col].alias("_url"))
-    schema = T.StructType([*(urls.schema[k] for k in keep), *(T.StructField(c, T.StringType()) for c in ("host", "path", "rule", "verdict"))])
+    rows = urls.select(*keep, urls[url_col].alias(own_url))
+    schema = T.StructType([*(urls.schema[k] for k in keep), *(T.StructField(c, T.StringType()) for c in new)])
     return rows.mapInArrow(judged, schema)
 
 
