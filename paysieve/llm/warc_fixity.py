@@ -27,12 +27,17 @@ def warc_record(record_id: Column, url: Column, body: Column) -> Column:
     return F.concat(head, content, F.lit("\r\n\r\n"))
 
 
-def leaves(records: DataFrame, *, file_col: str, id_col: str, record_col: str) -> DataFrame:
+def leaves(records: DataFrame, *, file_col: str, id_col: str, record_col: str, unfiled: int = 256) -> DataFrame:
     """file, offset, length, record_id and digest of WARC records; a file's records stand in the order of their ids.
 
-    A file is of bounded size, as archives are; a null file is file -1.  Records with one id, or none, are ordered by digest.
+    A file is of bounded size, as archives are.  Files are counted from 0; records without one, or with a negative
+    one, are dealt by a hash to files -1 to -``unfiled``, since they may be many.  A null record is an empty one, and a
+    record of any length has one digest.  Records with one id, or none, are ordered by digest.
     """
-    own = records.select(F.coalesce(F.col(file_col).cast("long"), F.lit(-1)).alias(FILE), F.col(id_col).cast("long").alias(RECORD), F.octet_length(record_col).cast("long").alias(LENGTH), F.sha2(F.col(record_col).cast("binary"), 256).alias(DIGEST))
+    record = F.coalesce(F.col(record_col).cast("binary"), F.lit(b""))
+    none = -1 - F.pmod(F.xxhash64(F.col(id_col).cast("long"), record), F.lit(unfiled))
+    file = F.col(file_col).cast("long")
+    own = records.select(F.when(file >= 0, file).otherwise(none).alias(FILE), F.col(id_col).cast("long").alias(RECORD), F.length(record).cast("long").alias(LENGTH), F.sha2(record, 256).alias(DIGEST))
     order = Window.partitionBy(FILE).orderBy(F.col(RECORD).asc_nulls_first(), DIGEST)
     before = F.coalesce(F.sum(LENGTH).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return own.withColumn(OFFSET, before).withColumn("nth", F.row_number().over(Window.partitionBy(FILE, RECORD).orderBy(OFFSET)))
@@ -40,8 +45,8 @@ def leaves(records: DataFrame, *, file_col: str, id_col: str, record_col: str) -
 
 def depth(of: list[DataFrame], span: int, fan_out: int) -> tuple[int, int]:
     """Levels above the ranges until every file is one node, and from there until one root, over all replicas."""
-    tops = [x.agg(F.max(OFFSET).alias("o"), F.max(FILE).alias("f")).first() for x in of]
-    within, files = max((t.o or 0) // span for t in tops), max((t.f or 0) + 1 for t in tops)
+    tops = [x.agg(F.max(OFFSET).alias("o"), F.max(_place(F.col(FILE))).alias("f")).first() for x in of]
+    within, files = max((t.o or 0) // span for t in tops), max(t.f or 0 for t in tops)
     up = lambda n: next(k for k in range(64) if n // fan_out**k == 0)
     return up(within), up(files)
 
@@ -70,7 +75,12 @@ def _parent(level: int, levels: tuple[int, int], fan_out: int) -> tuple[Column,
     """The key one level up; files are counted from 0 once their ranges are one node."""
     if level < levels[0]:
         return F.col(FILE), F.floor(F.col("node") / fan_out)
-    return F.floor((F.col(FILE) + (1 if level == levels[0] else 0)) / fan_out), F.lit(0).cast("long")
+    return F.floor((_place(F.col(FILE)) if level == levels[0] else F.col(FILE)) / fan_out), F.lit(0).cast("long")
+
+
+def _place(file: Column) -> Column:
+    """Files in one row from 0 on: 0, -1, 1, -2, 2, ..., so that negative ones meet the others under one root."""
+    return F.when(file >= 0, 2 * file).otherwise(-2 * file - 1)
 
 
 def audit(first: DataFrame, second: DataFrame, *, span: int = 1 << 16, fan_out: int = 16) -> DataFrame:
@@ -107,6 +117,7 @@ def audit(first: DataFrame, second: DataFrame, *, span: int = 1 << 16, fan_out:
 
 def damaged(pages: DataFrame) -> DataFrame:
     """A replica of ``pages`` (page_id, file, url, html) with bit rot, a longer record here and there, and cut-off files."""
+    pages = pages.withColumn("html", F.coalesce("html", F.lit("")))
     rot = F.concat(F.lit("\u0000"), F.substring(F.col("html"), 2, 1 << 30))
     html = F.when((F.col("page_id") % 97 == 5) & (F.length("html") > 0), rot).when(F.col("page_id") % 1009 == 8, F.concat("html", F.lit("\u0000"))).otherwise(F.col("html"))
     return pages.withColumn("html", html).where(~((F.col("file") % 31 == 3) & (F.col("page_id") % 256 >= 250)))
