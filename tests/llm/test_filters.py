@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module", autouse=True)
 def shipped(spark):
-    shared.ship_package(spark)
+    shared.prepare(spark)
 
 
 @pytest.mark.parametrize("name", ["op1_warc_fixity", "op3_line_dedup", "op9_url_filter"])
@@ -50,6 +50,19 @@ def test_audit_of_odd_tables(spark):
     assert {r.status for r in warc_fixity.audit(records(spark, []), records(spark, rows)).collect()} == {"extra"}
 
 
+def test_records_without_a_file_meet_the_others_under_one_root(spark):
+    rows = [(None if i % 2 else i // 10, i, "u", f"body {i}") for i in range(60)] + [(-5, 99, "u", "x"), (3, 100, "u", None)]
+    df = spark.createDataFrame(rows, "file long, id long, url string, body string").withColumn("record", F.when(F.col("id") != 7, F.col("body")))
+    of = lambda x: warc_fixity.leaves(x, file_col="file", id_col="id", record_col="record", unfiled=4)
+    own, other = of(df), of(df.withColumn("record", F.when(F.col("id") == 7, "new").when(F.col("id") != 12, F.col("record"))))
+    assert -4 <= own.agg(F.min("file")).first()[0] < -1
+    levels = warc_fixity.depth([own, other], 64, 3)
+    assert warc_fixity.tree(own, levels, span=64, fan_out=3)[-1].count() == 1
+    found = {(r.record_id, r.status) for r in warc_fixity.audit(own, other, span=64, fan_out=3).collect() if r.status != "moved"}
+    assert {(12, "corrupt")} <= found and {i for i, _ in found} == {7, 12}
+    assert warc_fixity.audit(own, of(df.repartition(3))).count() == 0
+
+
 def test_a_changed_record_changes_every_node_above_it_and_no_other(spark):
     rows = [(f, 10 * f + i, "u", "b" * 40) for f in range(9) for i in range(9)]
     a, b = records(spark, rows), records(spark, [(*r[:3], "c" * 40) if r[1] == 44 else r for r in rows])
@@ -83,10 +96,19 @@ def test_boilerplate_edges(spark):
     assert lines_of(spark, []) == {}
 
 
+def test_line_dedup_of_long_repeated_and_clashing_rows(spark):
+    many = "\n".join(f"line {i}" for i in range(20_000))
+    rows = [(i, "s", many + f"\nown {i}", "h", "l") for i in (1, 1, 2)] + [(9, "t", "x" * 1_000_000, "h", "l")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, host string, known string")
+    out = line_dedup.drop_boilerplate(df, ratio=0.9, min_pages=3)
+    assert out.columns == [*df.columns, "clean_text", "n_dropped"]
+    assert sorted((r.doc_id, r.clean_text[:7], r.n_dropped, r.host, r.known) for r in out.collect()) == [(1, "own 1", 20_000, "h", "l")] * 2 + [(2, "own 2", 20_000, "h", "l"), (9, "x" * 7, 0, "h", "l")]
+
+
 def test_line_dedup_against_sql_where_lines_are_dropped(spark):
     sf = "/root/testdata/sf0.01"
     same_rows(queries.op3_line_dedup(spark, sf), queries.ORACLE_SQL["op3_line_dedup"], sf)
-    assert queries.op3_line_dedup(spark, sf).where("n_dropped > 0").count() == 111
+    assert queries.op3_line_dedup(spark, sf).where("n_dropped > 0").count() == 140
 
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "Example.com", "/de/"), ("allow", "org", "/fr/"), ("block", "b.org", "/f"), ("allow", "b.org", "/f")]
@@ -117,6 +139,14 @@ def test_url_rules(spark, url, want):
     assert tuple(url_filter.judge_urls(df, RULES).first())[1:] == want
 
 
+def test_long_urls_repeated_rows_and_clashing_names(spark):
+    long = "." * 1_000_000
+    rows = [(1, f"http://{long}.example.net/en/" + "x" * 100_000, "a", 1)] * 2 + [(2, "http://" + "a.b" * 300_000 + ".com/", "b", 2), (3, "://" * 100_000, None, 3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, verdict int")
+    got = sorted(url_filter.judge_urls(df, RULES, keep=("page_id", "host", "verdict")).select("page_id", F.length("host"), "rule", "verdict").collect())
+    assert [tuple(r) for r in got] == [(1, 1_000_012, "example.net/en/", "allow")] * 2 + [(2, 900_004, None, "allow"), (3, 1, None, "allow")]
+
+
 def test_no_urls_and_no_rules(spark):
     df = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert url_filter.judge_urls(df, [], default="block").first().verdict == "block"
@@ -170,6 +200,42 @@ def test_disguises_boundaries_and_exceptions(spark, lexicon):
     assert got[0][0] > got[1][0]
 
 
+def naive_density(lexicon, text):
+    """The same score without an automaton: every word and phrase is looked for at every place of every reading."""
+    def places(read, word):
+        at = read.find(word)
+        while at >= 0:
+            if not (at and read[at - 1].isalpha()):
+                yield at, at + len(word)
+            at = read.find(word, at + 1)
+
+    found, spared = {}, []
+    for read in toxicity.readings(text):
+        for word, weight in lexicon.weights.items():
+            own = toxicity.fold(word).replace("l", "i")
+            found |= {(*at, weight): weight for at in places(read, own)}
+        spared += [at for phrase in lexicon.exceptions for at in places(read, toxicity.fold(phrase).replace("l", "i"))]
+    total = sum(w for (a, b, _), w in found.items() if not any(x <= a and b <= y for x, y in spared))
+    return np.log1p(1000 * total / (50 + len(toxicity.fold(text).split())))
+
+
+def test_the_automaton_finds_what_a_naive_search_finds():
+    rng = np.random.default_rng(6)
+    parts = ["trash", "can", "clown", "fish", "tr4sh", "cl0wn", "loser", "1oser", "clo", "wn", "x", "é", "!", "l"]
+    own = toxicity.Lexicon({"trash": 2.0, "clown": 3.0, "loser": 1.5, "closer": 0.5, "fis": 0.25})
+    for _ in range(400):
+        text = "".join(str(rng.choice(parts)) + str(rng.choice(["", " ", "."])) for _ in range(int(rng.integers(0, 30))))
+        assert abs(own.density(text) - naive_density(own, text)) < 1e-9, text
+
+
+def test_toxicity_of_long_repeated_and_clashing_rows(spark, lexicon):
+    rows = [(1, "slimeball ratface", "a")] * 3 + [(2, "venulo " * 200_000, "b"), (3, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, words string, Score string").withColumn("text", F.lit("other"))
+    out = toxicity.score_texts(df, lexicon, text_col="words")
+    assert sorted(out.columns) == ["doc_id", "predicted", "score", "text", "words"]
+    assert sorted((r.doc_id, r.predicted) for r in out.collect()) == [(1, 1)] * 3 + [(2, 0), (3, 0)]
+
+
 def test_each_sign_is_read_as_any_letter_it_stands_for():
     own = toxicity.Lexicon({"loser": 3.0, "idiot": 3.0, "worthless": 3.0, "débile": 3.0, "gangster": 3.0, "bigmouth": 3.0, "zombie": 3.0})
     for text in ("1oser", "!oser loser", "id!ot", "id|ot", "worth1ess", "wor\u0301thless", "wórthless", "z\u0335alg, lo\u0335ser", "débile", "de\u0301bile", "débi1e", "débil\u0301e", "gan9ster", "6igmouth", "bi6mouth", "2ombie", "𝐋oser", "2 idiots", "2idiots", "idiot!loser", "say!idiot"):

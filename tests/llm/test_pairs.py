@@ -13,7 +13,7 @@ from paysieve.llm.components import components
 
 @pytest.fixture(scope="module", autouse=True)
 def shipped(spark):
-    shared.ship_package(spark)
+    shared.prepare(spark)
 
 
 def sets(text):
@@ -172,9 +172,27 @@ def test_top_k_leaves_out_bad_vectors(spark):
     assert pivot_topk.top_k(spark.createDataFrame(bad, "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
-def test_top_k_repeated_ids_are_not_their_own_candidates(spark):
-    df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (5, [2.0]), (5, [2.0])], "vec_id long, embedding array<float>")
-    assert sorted(tuple(r) for r in pivot_topk.top_k(df, F.col("vec_id") == 0).collect()) == [(0, 1, 5, 131072), (0, 2, 5, 131072)]
+def test_top_k_of_rows_that_repeat_an_id(spark):
+    df = spark.createDataFrame([(0, [1.0]), (0, [3.0]), (5, [2.0]), (5, [2.0])], "vec_id long, embedding array<float>")
+    unit = 256 * 256
+    want = [(0, 1, 0, 3), (0, 1, 5, 6), (0, 2, 5, 2), (0, 2, 5, 6), (0, 3, 0, 3), (0, 3, 5, 2)]
+    assert sorted(tuple(r) for r in pivot_topk.top_k(df, F.col("vec_id") == 0).collect()) == [(*r[:3], r[3] * unit) for r in want]
+
+
+def test_the_bound_rules_out_most_annuli_of_clustered_vectors(spark, caplog):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 8)) * 4
+    rows = [(i, [float(x) for x in centres[i % 40] + rng.normal(size=8) * 0.02]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with caplog.at_level("INFO", logger=pivot_topk.__name__):
+        got = pivot_topk.top_k(df, F.col("vec_id") % 200 == 0, pivots=40, tile=4).collect()
+    codes = np.array([[math.floor(256 * x) for x in v] for _, v in rows], dtype=np.int64)
+    for q in range(0, 4000, 200):
+        scores = codes @ codes[q]
+        order = [i for i in np.lexsort((np.arange(4000), -scores)) if i != q][:5]
+        assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [(i, scores[i]) for i in order]
+    looked, of = caplog.records[-1].args[1:]
+    assert looked < 0.5 * of
 
 
 def test_sql_of_top_k(spark):
