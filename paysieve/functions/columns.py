@@ -45,7 +45,7 @@ def whole(c: Column) -> Column:
 
 
 def masked_address(c: Column) -> Column:
-    """``user000012@oksbi`` becomes ``us***@oksbi``; null stays null."""
+    """``meera.rao@bankx`` becomes ``me***@bankx``; null stays null."""
     return F.concat(F.left(F.substring_index(c, "@", 1), F.lit(2)), F.lit("***@"), F.substring_index(c, "@", -1))
 
 

@@ -16,18 +16,29 @@ def _known(key: str, feature: Column, p: Params) -> Column:
 def payer_windows(rows: DataFrame, p: Params) -> DataFrame:
     """``txns_in_window`` and ``distinct_payees_in_window``, over trailing whole seconds, both ends included.
 
-    Both frames share one shuffle and one sort by payer.
+    A payer's history is cut into spans as long as the longer window; a row is also dealt, with its key columns
+    alone, to the span after its own, where it is context only.  So no payer is one task, and both frames share
+    one shuffle and one sort.
     """
-    # rows without a payer have no features, so they need not meet in one task
+    width = max(p.velocity_seconds, p.fanout_seconds)
+    span = F.floor(F.col("event_epoch") / width)
+    at = lambda s, own: F.struct(s.alias("span"), F.lit(own).alias("own"))
+    alone = F.array(at(span, True))
+    # rows without a time meet one another only; those without a payer have no features, and need meet nobody
+    lonely = F.isnull("event_epoch") if p.null_keys == "group" else F.isnull("event_epoch") | F.isnull("payer_key")
+    dealt = rows.withColumn("_at", F.explode(F.when(lonely, alone).otherwise(F.array(at(span, True), at(span + 1, False)))))
+    keys = ("payer_key", "payee_key", "event_epoch")
+    narrow = dealt.select(*keys, *(F.when(F.col("_at.own"), F.col(c)).alias(c) for c in rows.columns if c not in keys), "_at")
     spread = [] if p.null_keys == "group" else [F.when(F.isnull("payer_key"), F.xxhash64("transaction_id"))]
-    by_payer = Window.partitionBy("payer_key", *spread).orderBy("event_epoch")
+    by_payer = Window.partitionBy("payer_key", "_at.span", *spread).orderBy("event_epoch")
     trailing = lambda seconds: by_payer.rangeBetween(-seconds, 0)
-    return rows.withColumns(
+    counted = narrow.withColumns(
         {
             "txns_in_window": _known("payer_key", F.count(F.lit(1)).over(trailing(p.velocity_seconds)), p).cast("long"),
             "distinct_payees_in_window": _known("payer_key", F.size(F.collect_set("payee_key").over(trailing(p.fanout_seconds))), p).cast("int"),
         }
     )
+    return counted.where("_at.own").select(*rows.columns, "txns_in_window", "distinct_payees_in_window")
 
 
 def payers_on_ip(rows: DataFrame, p: Params) -> DataFrame:
@@ -50,16 +61,38 @@ def with_features(rows: DataFrame, p: Params) -> DataFrame:
     return payers_on_ip(payer_windows(timed, p), p)
 
 
+def quantiles(rows: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """One row: for each name the least value that its share of the non-null values does not exceed; null without values.
+
+    Exact.  Values are counted first; a histogram of about a thousandth's width, whose rows do not grow with the
+    input, says which bin holds each rank, and only those bins' values are looked through.
+    """
+    value = F.col("value")
+    bin_of = (F.signum(value) * F.floor(F.log1p(F.abs(value)) * 1000)).cast("long")
+    counts = rows.select(F.col(column).cast("double").alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", bin_of)
+    bins = counts.groupBy("bin").agg(F.sum("n").alias("n"))
+    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    placed = bins.select("bin", F.sum("n").over(upto).alias("upto"), "n", F.sum("n").over(Window.partitionBy()).alias("all"))
+    ranks = F.array(*(F.struct(F.lit(name).alias("name"), F.greatest(F.ceil(F.col("all") * share), F.lit(1)).alias("rank")) for name, share in shares.items()))
+    wanted = placed.select("bin", (F.col("upto") - F.col("n")).alias("before"), "upto", F.explode(ranks).alias("r")).where("before < r.rank and r.rank <= upto").select("bin", "before", "r.name", "r.rank")
+    # a row a share
+    within = counts.join(F.broadcast(wanted), "bin").withColumn("reached", F.col("before") + F.sum("n").over(Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
+    found = within.where("reached >= rank")
+    return found.agg(*(F.min(F.when(F.col("name") == name, value)).alias(name) for name in shares))
+
+
+def amount_quantiles(rows: DataFrame, shares: dict[str, float], p: Params) -> DataFrame:
+    """``quantiles`` of the amounts, exact or in one pass of bounded state, as the parameters say."""
+    if p.exact_fence:
+        return quantiles(rows, "amount", shares)
+    return rows.agg(*(F.percentile_approx("amount", share, p.fence_accuracy).alias(name) for name, share in shares.items()))
+
+
 def threshold(rows: DataFrame, p: Params) -> DataFrame:
     """One row: q1, q3, fence and threshold of successful amounts; the floor where there are none.
 
     Quartiles stay put when a few per cent of the amounts are extreme, so the fence does too.
     """
-    good = rows.where(F.col("status") == "SUCCESS")
-    if p.exact_fence:
-        q1, q3 = (F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY amount)") for share in (0.25, 0.75))
-    else:
-        q1, q3 = (F.percentile_approx("amount", share) for share in (0.25, 0.75))
-    fence = F.col("q3") + p.fence_k * (F.col("q3") - F.col("q1"))
-    found = good.agg(q1.alias("q1"), q3.alias("q3")).withColumn("fence", fence)
-    return found.withColumn("threshold", F.greatest("fence", F.lit(p.fence_floor)))
+    found = amount_quantiles(rows.where(F.col("status") == "SUCCESS"), {"q1": 0.25, "q3": 0.75}, p)
+    fenced = found.withColumn("fence", F.col("q3") + p.fence_k * (F.col("q3") - F.col("q1")))
+    return fenced.withColumn("threshold", F.greatest("fence", F.lit(p.fence_floor)))

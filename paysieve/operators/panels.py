@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.functions import columns as C
@@ -28,14 +28,23 @@ def headline(fact: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
     return own.withColumns({"high_amount_threshold": limit, "true_positives": hits})
 
 
-def funnel(landing: DataFrame, structured: DataFrame, cleansed: DataFrame, fact: DataFrame) -> DataFrame:
-    """stage and rows, in order."""
-    stages = {"landing": landing, "bronze": structured, "silver": cleansed, "gold": fact}
-    rows = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("position"), F.lit(name).alias("stage"), "rows") for i, (name, df) in enumerate(stages.items())]
-    out = rows[0]
-    for other in rows[1:]:
-        out = out.unionByName(other)
-    return out.orderBy("position")
+def funnel(landing: DataFrame, structured: DataFrame, rejects: DataFrame, cleansed: DataFrame, fact: DataFrame) -> DataFrame:
+    """position, step, detail and rows: the layers in order, and beside them where rows went.
+
+    The steps that are no layer: unparseable lines, quarantined rows, one for each reason, and the copies
+    and late rows between what was good and what was kept.
+    """
+    one = lambda at, step, df: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(at).alias("position"), F.lit(step).alias("step"), F.lit(None).cast("string").alias("detail"), "rows")
+    layers = [one(0, "landing", landing), one(1, "bronze", structured), one(4, "silver", cleansed), one(6, "gold", fact)]
+    bad = structured.where(~F.col("is_parseable"))
+    reasons = rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+    all_reasons = reasons.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(F.lit(3), F.lit("quarantined"), F.lit(None).cast("string"), "rows")
+    by_reason = reasons.select(F.lit(3), F.lit("quarantined"), "reject_reason", "rows")
+    base = layers[0].union(layers[1]).union(one(2, "unparseable", bad)).union(all_reasons).union(layers[2])
+    # what is neither quarantined nor kept was collapsed; from the totals alone
+    sign = F.when(F.col("step") == "bronze", 1).when(F.col("step").isin("quarantined", "silver"), -1).otherwise(0)
+    gone = base.agg(F.greatest(F.sum(sign * F.col("rows")), F.lit(0)).alias("rows")).select(F.lit(5), F.lit("deduplicated"), F.lit(None).cast("string"), "rows")
+    return base.union(gone).union(layers[3]).union(by_reason).orderBy("position", F.col("detail").asc_nulls_first())
 
 
 def unparseable(structured: DataFrame) -> DataFrame:
@@ -57,21 +66,17 @@ def combinations(fact: DataFrame, p: Params) -> DataFrame:
     """The most common combinations of rules by band, with the number of rows in all others."""
     named = fact.where(F.size("reasons") > 0).select(F.array_join(F.array_sort("reasons"), " + ").alias("combination"), "risk_band")
     counts = named.groupBy("combination", "risk_band").agg(F.count(F.lit(1)).alias("transactions"))
-    shown = counts.orderBy(F.desc("transactions"), "combination", "risk_band").limit(p.top_combinations)
-    every = named.agg(F.count(F.lit(1))).scalar()
-    seen = shown.agg(F.sum("transactions")).scalar()
-    return shown.withColumn("other", F.greatest(every - seen, F.lit(0)))
+    # the windows are over a row for each combination and band, which the rules bound
+    whole = Window.partitionBy()
+    shown = counts.withColumn("every", F.sum("transactions").over(whole)).orderBy(F.desc("transactions"), "combination", "risk_band").limit(p.top_combinations)
+    return shown.withColumn("other", F.col("every") - F.sum("transactions").over(whole)).drop("every").orderBy(F.desc("transactions"), "combination", "risk_band")
 
 
 def amount_stats(fact: DataFrame, p: Params) -> DataFrame:
     """One row: quartiles, median, 99.5th percentile, maximum, fence, floor and the threshold in use."""
     good = fact.where(kpis.successful())
-    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75, "percentile_995": 0.995}
-    if p.exact_fence:
-        found = {n: F.expr(f"percentile_disc({s}) WITHIN GROUP (ORDER BY amount)") for n, s in shares.items()}
-    else:
-        found = {n: F.percentile_approx("amount", s) for n, s in shares.items()}
-    own = good.agg(*(c.alias(n) for n, c in found.items()), F.max("amount").alias("max"))
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75, "percentile_995": 0.995, "max": 1.0}
+    own = features.amount_quantiles(good, shares, p)
     fence = F.col("q3") + p.fence_k * (F.col("q3") - F.col("q1"))
     floor = F.lit(p.fence_floor)
     return own.withColumns({"tukey_fence": C.rounded(fence, 4), "floor": floor, "applied_threshold": C.rounded(F.greatest(fence, floor), 4)})

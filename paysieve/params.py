@@ -34,5 +34,6 @@ class Params:
     strict_enums: bool = False
     #: null keys have no features ("zero"), or are one group ("group")
     null_keys: str = "zero"
-    #: percentiles of the fence: exact, or approximate in one bounded pass
+    #: percentiles of the fence: exact by counted amounts, or approximate in one pass, to one part in ``fence_accuracy``
     exact_fence: bool = False
+    fence_accuracy: int = 10_000

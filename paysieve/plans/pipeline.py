@@ -21,14 +21,13 @@ STAGES = ("landing", "bronze", "silver", "gold")
 
 def build_gold(spark: SparkSession, store: Store, p: Params, run_id: str) -> dict[str, float]:
     """The scored fact, written once; alerts and metrics from what was written."""
-    store.ensure_namespaces(spark, "gold")
-    cleansed = store.read_or_empty(spark, *stages.SILVER_TABLE, schemas.SILVER)
+    cleansed = store.table(spark, stages.SILVER_TABLE).rows(schemas.SILVER, or_empty=True)
     own = scoring.fact(cleansed, p).withColumns({"scored_at": F.current_timestamp(), "scoring_run_id": F.lit(run_id)})
-    store.write(own, *FACT, partition_by=("event_date",))
-    fact = store.read(spark, *FACT, own.schema)
-    store.write(scoring.alerts(fact), *ALERTS)
-    store.write(kpis.daily(fact), *DAILY)
-    store.write(kpis.by_dimension(fact), *DIMENSION)
+    table = store.table(spark, FACT)
+    table.replace(own, by=("event_date",))
+    fact = table.rows(own.schema)
+    for where, df in ((ALERTS, scoring.alerts(fact)), (DAILY, kpis.daily(fact)), (DIMENSION, kpis.by_dimension(fact))):
+        store.table(spark, where).replace(df)
     counts = fact.agg(F.count(F.lit(1)).alias("scored"), F.count_if(F.col("risk_band") == "HIGH").alias("alerts")).first()
     limit = features.threshold(cleansed, p).first()
     return {"scored": counts.scored, "alerts": counts.alerts, "high_amount_threshold": limit.threshold}
@@ -54,19 +53,18 @@ def run_pipeline(spark: SparkSession, store: Store, p: Params, *, folder: str, s
 
 
 def export_panels(spark: SparkSession, store: Store, p: Params, folder: str, *, labels: DataFrame, environment: str, most_alerts: int | None = None) -> list[str]:
-    """A JSON file for each panel; the fact is cached for the time of the export."""
-    fact = store.read(spark, *FACT).persist()
+    """JSON files of each panel; the fact is cached for the time of the export.  Alerts without a cap are many files."""
+    of = lambda where, schema=None: store.table(spark, where).rows(schema, or_empty=schema is not None)
+    fact = of(FACT).persist()
     try:
-        landing, bronze = (store.read_or_empty(spark, *t, s) for t, s in ((stages.LANDING_TABLE, schemas.LANDING), (stages.BRONZE_TABLE, schemas.BRONZE)))
-        silver = store.read_or_empty(spark, *stages.SILVER_TABLE, schemas.SILVER)
-        rejects = store.read_or_empty(spark, *stages.QUARANTINE_TABLE, schemas.QUARANTINE)
+        bronze, rejects = of(stages.BRONZE_TABLE, schemas.BRONZE), of(stages.QUARANTINE_TABLE, schemas.QUARANTINE)
         out = {
             "headline": panels.headline(fact, labels, p),
-            "funnel": panels.funnel(landing, bronze, silver, fact),
+            "funnel": panels.funnel(of(stages.LANDING_TABLE, schemas.LANDING), bronze, rejects, of(stages.SILVER_TABLE, schemas.SILVER), fact),
             "quarantine": quality.reason_counts(rejects),
             "unparseable": panels.unparseable(bronze),
-            "daily": kpis.with_flagged_share(store.read(spark, *DAILY).orderBy("event_date")),
-            "dimensions": store.read(spark, *DIMENSION).orderBy("dimension", F.desc("total_amount"), "dimension_value"),
+            "daily": kpis.with_flagged_share(of(DAILY).orderBy("event_date")),
+            "dimensions": of(DIMENSION).orderBy("dimension", F.desc("total_amount"), "dimension_value"),
             "bands": quality.band_counts(fact),
             "histogram": panels.score_histogram(fact, p),
             "rules": panels.rule_counts(fact),
@@ -77,7 +75,8 @@ def export_panels(spark: SparkSession, store: Store, p: Params, folder: str, *,
             "alerts": scoring.capped(scoring.alerts(fact), most_alerts),
         }
         for name, df in out.items():
-            tables.write_panel(df, f"{folder}/{name}", environment=environment, engine="Spark", store=store.format)
+            whole = name == "alerts" and most_alerts is None
+            tables.write_panel(df, f"{folder}/{name}", one_file=not whole, environment=environment, engine="Spark", store=store.format)
     finally:
         fact.unpersist()
     return list(out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,14 @@ def _fact(spark: SparkSession, sf_dir: str, p: Params = FEED_PARAMS) -> DataFram
     return scoring.fact(_feed(spark, sf_dir), p)
 
 
+def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact, written once, for queries that aggregate it several times."""
+    own = _fact(spark, sf_dir)
+    path = scratch.new_folder(spark, "fact")
+    own.write.parquet(path)
+    return spark.read.schema(own.schema).parquet(path)
+
+
 def _reasons_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("reasons", F.array_join("reasons", ","))
 
@@ -82,7 +91,7 @@ def quarantine_by_reason(spark, sf_dir):
 
 @query
 def masking(spark, sf_dir):
-    return _standardised(spark, sf_dir).where("is_parseable").select("event_id", "payer_vpa_masked", "payer_phone_masked", "payer_key", "device_hash")
+    return _standardised(spark, sf_dir).select("event_id", "payer_vpa_masked", "payer_phone_masked", "payer_key", "device_hash")
 
 
 @query
@@ -115,6 +124,20 @@ def threshold(spark, sf_dir):
     return features.threshold(_feed(spark, sf_dir), FEED_PARAMS).select("q1", "q3", *(C.rounded(F.col(c), 4).alias(c) for c in ("fence", "threshold")))
 
 
+#: Approximate percentiles, at an accuracy that makes them exact on tables of up to a million rows.
+APPROXIMATE = replace(FEED_PARAMS, exact_fence=False, fence_accuracy=1_000_000)
+
+
+@query
+def threshold_approx(spark, sf_dir):
+    return features.threshold(_feed(spark, sf_dir), APPROXIMATE).select("q1", "q3", *(C.rounded(F.col(c), 4).alias(c) for c in ("fence", "threshold")))
+
+
+@query
+def amount_stats_approx(spark, sf_dir):
+    return panels.amount_stats(_feed(spark, sf_dir), APPROXIMATE)
+
+
 @query
 def threshold_orders(spark, sf_dir):
     p = Params(exact_fence=True)
@@ -130,8 +153,6 @@ def scored(spark, sf_dir):
 @query
 def scored_floor(spark, sf_dir):
     """With the floor of the amount rule, which no event reaches."""
-    from dataclasses import replace
-
     own = _reasons_as_text(_fact(spark, sf_dir, replace(FEED_PARAMS, fence_floor=50_000.0)))
     return own.groupBy("risk_band", "reasons").agg(F.count(F.lit(1)).alias("transactions"))
 
@@ -203,12 +224,16 @@ def top_banks(spark, sf_dir):
     return kpis.top_banks(kpis.by_dimension(_fact(spark, sf_dir)), 3)
 
 
+LABELS_A_FILE = 20_000
+
+
 def _label_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed's labels, written as map files by Spark and read again."""
     own = feeds.labels(_feed(spark, sf_dir))
     folder = scratch.new_folder(spark, "labels")
-    # a file a share of ids; the second run's files name some ids again, and are later
-    share = F.pmod(F.xxhash64("transaction_id"), F.lit(64))
+    # a file for about so many ids; the second run's files name some ids again, and are later
+    shares = own.count() // LABELS_A_FILE + 1
+    share = F.pmod(F.xxhash64("transaction_id"), F.lit(shares))
     packed = lambda df, at: df.groupBy(share.alias("s")).agg(F.map_from_entries(F.collect_list(F.struct("transaction_id", "injected_type"))).alias("labels")).select(F.lit(at).alias("generated_at"), "labels")
     first = packed(own.withColumn("injected_type", F.when(F.col("injected_type") == "odd_hour", "unknown").otherwise(F.col("injected_type"))), "2026-01-01T00:00:00Z")
     second = packed(own.where("injected_type = 'odd_hour'"), "2026-01-02T00:00:00Z")
@@ -248,7 +273,7 @@ def rule_counts(spark, sf_dir):
 
 @query
 def combinations(spark, sf_dir):
-    return panels.combinations(_fact(spark, sf_dir), FEED_PARAMS)
+    return panels.combinations(_stored_fact(spark, sf_dir), FEED_PARAMS)
 
 
 @query
@@ -263,14 +288,16 @@ def amount_hist(spark, sf_dir):
 
 @query
 def headline(spark, sf_dir):
-    return panels.headline(_fact(spark, sf_dir), feeds.labels(_feed(spark, sf_dir)), FEED_PARAMS)
+    return panels.headline(_stored_fact(spark, sf_dir), feeds.labels(_feed(spark, sf_dir)), FEED_PARAMS)
 
 
 @query
 def funnel(spark, sf_dir):
     rows = _standardised(spark, sf_dir)
     good = cleanse.accepted(rows, FEED_PARAMS)
-    return panels.funnel(_structured(spark, sf_dir), rows, good, cleanse.one_per_id(good))
+    lines = feeds.raw_lines(_events(spark, sf_dir))
+    own = cleanse.one_per_id(good)
+    return panels.funnel(lines, rows, cleanse.rejected(rows), own, own)
 
 
 @query
@@ -280,7 +307,7 @@ def unparseable(spark, sf_dir):
 
 @query
 def reconcile(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
+    fact = _stored_fact(spark, sf_dir)
     return quality.reconciliation(fact, kpis.daily(fact), kpis.by_dimension(fact))
 
 
@@ -314,7 +341,18 @@ def _drained(spark: SparkSession, sf_dir: str) -> tables.Store:
 @query
 def stream_landing(spark, sf_dir):
     store = _drained(spark, sf_dir)
-    return store.read(spark, *stages.LANDING_TABLE).select("raw_payload", "landing_run_id")
+    return store.table(spark, stages.LANDING_TABLE).rows().select("raw_payload", "landing_run_id")
+
+
+@query
+def landing_provenance(spark, sf_dir):
+    """Each landed line with the folder of the file that it came in."""
+    folder = scratch.new_folder(spark, "stream")
+    feeds.raw_lines(_events(spark, sf_dir)).select("value", (F.col("event_id") % 2).alias("half")).write.partitionBy("half").text(f"{folder}/raw")
+    store = tables.Store(f"{folder}/store")
+    stages.land(spark, store, f"{folder}/raw", "run-1")
+    own = store.table(spark, stages.LANDING_TABLE).rows()
+    return own.select("raw_payload", F.regexp_extract("source_file", r"/half=(\d)/part-[^/]*$", 1).alias("half"), F.isnotnull("landed_at").alias("timed"))
 
 
 @query
@@ -322,7 +360,52 @@ def stream_silver(spark, sf_dir):
     store = _drained(spark, sf_dir)
     stages.structure(spark, store, "run-1")
     stages.cleanse_new(spark, store, FEED_PARAMS, SALT)
-    return store.read(spark, *stages.SILVER_TABLE).select("transaction_id", F.unix_seconds("event_time").alias("event_epoch"), "amount", "status")
+    return store.table(spark, stages.SILVER_TABLE).rows().select("transaction_id", F.unix_seconds("event_time").alias("event_epoch"), "amount", "status")
+
+
+def _runs(spark: SparkSession, batches: list[DataFrame], dedupe: str) -> DataFrame:
+    """The counts of one run of the streams after each batch of files."""
+    folder = scratch.new_folder(spark, "runs")
+    store, rows = tables.Store(f"{folder}/store"), []
+    for i, lines in enumerate(batches, 1):
+        lines.select("value").write.mode("append").text(f"{folder}/raw")
+        report = pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT, which=pipeline.STAGES[:3], dedupe=dedupe)
+        silver = report["silver"]
+        rows.append((i, report["landing"]["landed"], report["bronze"]["ingested"], silver["cleansed"], silver["cleansed_late"], silver["quarantined"]))
+    return spark.createDataFrame(rows, "run int, landed long, ingested long, cleansed long, late long, quarantined long")
+
+
+@query
+def stream_runs(spark, sf_dir):
+    """A run, a second one over new files that also repeat lines of the first, and one over nothing new."""
+    lines = feeds.raw_lines(_events(spark, sf_dir))
+    return _runs(spark, [lines.where("event_id % 3 <> 0"), lines.where("event_id % 3 = 0 or event_id % 67 = 0"), lines.where("false")], "table")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """The second run's rows are late where they are older than the first run's watermark."""
+    lines = feeds.raw_lines(_events(spark, sf_dir))
+    return _runs(spark, [lines.where("event_id % 2 = 0"), lines.where("event_id % 2 = 1")], "watermark")
+
+
+@query
+def gold_lineage(spark, sf_dir):
+    """The run that scored each row of the fact."""
+    store = tables.Store(scratch.new_folder(spark, "gold"))
+    silver = cleanse.one_per_id(cleanse.accepted(_standardised(spark, sf_dir), FEED_PARAMS))
+    store.table(spark, stages.SILVER_TABLE).replace(silver, by=("event_date",))
+    pipeline.build_gold(spark, store, FEED_PARAMS, "run-7")
+    return store.table(spark, pipeline.FACT).rows().select("transaction_id", "scoring_run_id", F.isnotnull("scored_at").alias("timed"))
+
+
+@query
+def panel_daily(spark, sf_dir):
+    """The daily panel as written to JSON and read back."""
+    own = kpis.with_flagged_share(kpis.daily(_fact(spark, sf_dir)))
+    path = scratch.new_folder(spark, "panel")
+    tables.write_panel(own, path, environment="test", engine="Spark", store="parquet")
+    return tables.read_panel(spark, path, "event_date string, txn_count long, total_amount double, flagged_share double, source struct<environment: string, engine: string>").select("event_date", "txn_count", "total_amount", "flagged_share", "source.environment", "source.engine")
 
 
 @query
@@ -332,4 +415,4 @@ def gold_daily(spark, sf_dir):
     feeds.resent_lines(_events(spark, sf_dir)).select("value").write.text(f"{folder}/raw")
     store = tables.Store(f"{folder}/store")
     pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT)
-    return store.read(spark, *pipeline.DAILY)
+    return store.table(spark, pipeline.DAILY).rows()

@@ -73,12 +73,12 @@ def raw_lines(events: DataFrame) -> DataFrame:
     every = lambda n, r=0: e % n == r
     iso = F.concat(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("_t").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     here = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("_t").cast("timestamp_ntz")) + F.expr(f"INTERVAL {OFFSET_MINUTES} MINUTES"), "dd-MM-yyyy HH:mm:ss")
-    time = F.when(every(127), None).when(every(131), "not a date").when(every(5, 1), (F.col("_t") * 1000).cast("string")).when(every(5, 2), here).otherwise(iso)
+    time = F.when(every(127), None).when(every(131), "yesterday").when(every(5, 1), (F.col("_t") * 1000).cast("string")).when(every(5, 2), here).otherwise(iso)
     plain = F.col("amount").cast("decimal(18,2)")
-    amount = F.when(every(109), None).when(every(137), F.lit("abc")).when(every(101), (-plain).cast("string")).when(every(139), F.lit("0")).when(every(149), F.lit("99999999")).otherwise(plain.cast("string"))
+    amount = F.when(every(109), None).when(every(137), F.lit("abc")).when(every(101), (-plain).cast("string")).when(every(139), F.lit("0")).when(every(149), F.lit("7250000")).otherwise(plain.cast("string"))
     quoted = every(137) | every(3) & ~every(101) & ~every(139) & ~every(149)
     amount_json = F.when(amount.isNull(), "null").when(quoted, F.concat(F.lit('"'), amount, F.lit('"'))).otherwise(amount)
-    status = F.when(every(151), "TELEPORTED").when(every(7), F.concat(F.lit("  "), F.lower("status"), F.lit("  "))).otherwise(F.col("status"))
+    status = F.when(every(151), "ON_HOLD").when(every(7), F.concat(F.lit("  "), F.lower("status"), F.lit("  "))).otherwise(F.col("status"))
     currency = F.when(every(157), "USD").when(every(11), " inr ").otherwise("INR")
     text = {
         "transaction_id": F.when(every(113), None).otherwise(F.col("transaction_id")),

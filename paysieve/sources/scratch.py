@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,11 @@ _OWN: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share, or in a temporary one where none is set."""
+    """A new path in the folder that all executors share; a temporary one only where all tasks run in the driver's process."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _OWN:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="paysieve-"))
         top = _OWN[0]

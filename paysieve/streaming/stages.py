@@ -2,52 +2,27 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from paysieve import schemas
 from paysieve.operators import cleanse, ingest
 from paysieve.params import Params
-from paysieve.sources.tables import Store, text_lines
+from paysieve.sources.tables import Drained, Store, text_lines
 
 LANDING_TABLE, BRONZE_TABLE, SILVER_TABLE, QUARANTINE_TABLE = ("landing", "lines"), ("bronze", "transactions"), ("silver", "transactions"), ("quarantine", "rejects")
 
 
-@dataclass(frozen=True)
-class Drained:
-    """Rows that a run wrote, and rows that its state dropped as too late."""
-
-    rows: int
-    late: int = 0
-
-
-def _progress(query: StreamingQuery) -> Drained:
-    reports = query.recentProgress
-    late = sum(s.numRowsDroppedByWatermark for r in reports for s in r.stateOperators)
-    return Drained(sum(max(0, r.sink.numOutputRows) for r in reports), late)
-
-
-def _all_reports(spark: SparkSession) -> None:
-    """Keep every micro-batch's report, so that counts over a run are whole."""
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
-
-
 def land(spark: SparkSession, store: Store, folder: str, run_id: str, **options: str) -> Drained:
     """New lines of text files, untouched, with their file."""
-    store.ensure_namespaces(spark, LANDING_TABLE[0])
-    _all_reports(spark)
-    return _progress(store.append_stream(ingest.landed(text_lines(spark, folder, **options), run_id), *LANDING_TABLE, stage="landing"))
+    return store.table(spark, LANDING_TABLE).drain(ingest.landed(text_lines(spark, folder, **options), run_id), "landing")
 
 
 def structure(spark: SparkSession, store: Store, run_id: str) -> Drained:
     """New landed lines, parsed; partitioned by ingest date."""
-    store.ensure_namespaces(spark, BRONZE_TABLE[0])
-    _all_reports(spark)
-    rows = ingest.structured(store.read_stream(spark, *LANDING_TABLE, schemas.LANDING), run_id).select(*schemas.BRONZE.names)
-    return _progress(store.append_stream(rows, *BRONZE_TABLE, stage="bronze", partition_by=("ingest_date",)))
+    lines = store.table(spark, LANDING_TABLE).news(schemas.LANDING)
+    rows = ingest.structured(lines, run_id).select(*schemas.BRONZE.names)
+    return store.table(spark, BRONZE_TABLE).drain(rows, "bronze", by=("ingest_date",))
 
 
 def deduplicated(rows: DataFrame, p: Params) -> DataFrame:
@@ -61,34 +36,33 @@ def cleanse_new(spark: SparkSession, store: Store, p: Params, salt: str, *, dedu
     Copies are collapsed after rejection, so that a bad copy never hides a good one.  dedupe: ``watermark``
     keeps bounded state and drops late rows; ``table`` compares with the stored ids and drops none.
     """
-    store.ensure_namespaces(spark, SILVER_TABLE[0], QUARANTINE_TABLE[0])
-    _all_reports(spark)
-    rows = cleanse.standardised(store.read_stream(spark, *BRONZE_TABLE, schemas.BRONZE), p, salt)
+    rows = cleanse.standardised(store.table(spark, BRONZE_TABLE).news(schemas.BRONZE), p, salt)
     good = cleanse.accepted(rows, p)
     if dedupe == "watermark":
-        kept = _progress(store.append_stream(deduplicated(good, p), *SILVER_TABLE, stage="silver", partition_by=("event_date",)))
+        kept = store.table(spark, SILVER_TABLE).drain(deduplicated(good, p), "silver", by=("event_date",))
     elif dedupe == "table":
         kept = _append_unseen(spark, store, good)
     else:
         raise ValueError(f"dedupe: {dedupe}")
-    return {"cleansed": kept, "quarantined": _progress(store.append_stream(cleanse.rejected(rows), *QUARANTINE_TABLE, stage="silver_quarantine"))}
+    return {"cleansed": kept, "quarantined": store.table(spark, QUARANTINE_TABLE).drain(cleanse.rejected(rows), "silver_quarantine")}
 
 
 def _append_unseen(spark: SparkSession, store: Store, good: DataFrame) -> Drained:
     """Append rows whose id is not stored yet.  A batch that is run again first drops what it wrote before."""
     written = 0
+    silver = store.table(spark, SILVER_TABLE)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         nonlocal written
         own = cleanse.one_per_id(batch)
-        if store.exists(spark, *SILVER_TABLE):
-            stored = store.read(spark, *SILVER_TABLE).where(F.col("batch_id") != batch_id)
+        if silver.there():
+            stored = silver.rows().where(F.col("batch_id") != batch_id)
             own = own.join(stored.select("transaction_id"), "transaction_id", "left_anti")
         out = own.select(*schemas.SILVER.names).withColumn("batch_id", F.lit(batch_id))
         # one folder a batch, replaced as a whole: a repeated batch writes the same rows again
-        out.write.format(store.format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").save(store.address(*SILVER_TABLE))
-        written += store.read(spark, *SILVER_TABLE).where(F.col("batch_id") == batch_id).count()
+        out.write.format(store.format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").save(silver.address)
+        written += silver.rows().where(F.col("batch_id") == batch_id).count()
 
-    query = good.writeStream.trigger(availableNow=True).option("checkpointLocation", store.checkpoint("silver")).foreachBatch(append).start()
+    query = good.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{store.root}/checkpoints/silver").foreachBatch(append).start()
     query.awaitTermination()
     return Drained(written)

@@ -120,3 +120,32 @@ def test_detection_precision_and_search(spark):
 def test_latest_label_file_wins(spark):
     files = spark.createDataFrame([("2026-01-02", {"a": "new", "b": "x"}), ("2026-01-01", {"a": "old"})], "generated_at string, labels map<string,string>")
     assert {tuple(r) for r in quality.labels_of(files).collect()} == {("a", "new"), ("b", "x")}
+
+
+@pytest.mark.parametrize("share", [0.0001, 0.25, 0.5, 0.995, 1.0])
+def test_quantiles_are_exact(spark, share):
+    import math
+    import random
+
+    rng = random.Random(int(share * 1000))
+    values = [rng.choice([rng.uniform(-5, 5), rng.lognormvariate(6, 3), 100.0, -1e12, 0.0]) for _ in range(3001)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    assert features.quantiles(df, "x", {"q": share}).first().q == sorted(values)[max(1, math.ceil(share * 3001)) - 1]
+    assert features.quantiles(df.limit(0), "x", {"q": share}).first().q is None
+
+
+def test_a_payers_windows_reach_over_the_spans(spark):
+    import random
+
+    rng = random.Random(3)
+    p = replace(P, velocity_seconds=90, fanout_seconds=200)
+    at = sorted(rng.randrange(2000) for _ in range(300))
+    own = rows(spark, *({"event_time": NOON + timedelta(seconds=t), "payee_key": f"m{t % 7}", "payer_key": f"p{i % 2}" if i % 10 else None} for i, t in enumerate(at)))
+    own = own.withColumn("event_epoch", F.unix_seconds("event_time"))
+    found = {r.transaction_id: r for r in features.payer_windows(own, p).collect()}
+    assert len(found) == 300
+    for i, t in enumerate(at):
+        same = [j for j in range(300) if i % 10 and j % 10 and j % 2 == i % 2]
+        got = found[f"T{i:04}"]
+        assert got.txns_in_window == sum(t - 90 <= at[j] <= t for j in same)
+        assert got.distinct_payees_in_window == len({at[j] % 7 for j in same if t - 200 <= at[j] <= t})

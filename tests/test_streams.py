@@ -6,6 +6,7 @@ import pytest
 
 from paysieve.params import Params
 from paysieve.plans import pipeline
+from paysieve.sources import tables
 from paysieve.sources.tables import Store
 from paysieve.streaming import stages
 
@@ -37,11 +38,13 @@ def test_runs_are_incremental_and_late_rows_are_counted(spark, place):
     assert (first["landing"]["landed"], first["bronze"]["ingested"], first["silver"]["cleansed"], first["silver"]["quarantined"], first["gold"]["scored"]) == (5, 5, 2, 2, 2)
     assert run(spark, place, pipeline.STAGES[:3])["silver"]["cleansed"] == 0
     put("b.txt", line(4), line(5, hours=30))
-    second = run(spark, place)
+    second = run(spark, place, pipeline.STAGES[:3])
     assert (second["silver"]["cleansed"], second["silver"]["cleansed_late"]) == (1, 1)
-    assert sorted(r.transaction_id for r in store.read(spark, *stages.SILVER_TABLE).collect()) == ["T1", "T3", "T4"]
-    assert store.count(spark, *pipeline.FACT) == 3 and store.count(spark, "gold", "nothing") == 0
-    files = {r.source_file.rpartition("/")[2] for r in store.read(spark, *stages.LANDING_TABLE).collect()}
+    assert sorted(r.transaction_id for r in store.table(spark, stages.SILVER_TABLE).rows().collect()) == ["T1", "T3", "T4"]
+    assert store.table(spark, pipeline.FACT).count() == 2 and store.table(spark, ("gold", "nothing")).count() == 0
+    run(spark, place, ("gold",))
+    assert store.table(spark, pipeline.FACT).count() == 3
+    files = {r.source_file.rpartition("/")[2] for r in store.table(spark, stages.LANDING_TABLE).rows().collect()}
     assert files == {"a.txt", "b.txt"}
 
 
@@ -51,7 +54,7 @@ def test_table_dedupe_drops_no_late_row(spark, place):
     run(spark, place, dedupe="table", which=pipeline.STAGES[:3])
     put("b.txt", line(1), line(4), line(5, hours=30))
     assert run(spark, place, dedupe="table", which=pipeline.STAGES[:3])["silver"]["cleansed"] == 2
-    assert sorted(r.transaction_id for r in store.read(spark, *stages.SILVER_TABLE).collect()) == ["T1", "T3", "T4", "T5"]
+    assert sorted(r.transaction_id for r in store.table(spark, stages.SILVER_TABLE).rows().collect()) == ["T1", "T3", "T4", "T5"]
 
 
 def test_panels_are_files_without_nan(spark, place, tmp_path):
@@ -66,6 +69,22 @@ def test_panels_are_files_without_nan(spark, place, tmp_path):
                 assert json.loads(row, parse_constant=lambda x: pytest.fail(x))["source"]["environment"] == "test"
 
 
+def test_a_broken_table_is_an_error_not_an_empty_one(spark, place):
+    store, _, _ = place
+    own = store.table(spark, ("gold", "broken"))
+    assert not own.there() and own.rows("a int", or_empty=True).count() == 0
+    own.replace(spark.range(3))
+    for file in Path(own.address).glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="CANNOT_READ|FAILED_READ|parquet"):
+        own.rows().count() if own.there() else None
+
+
+def test_uncapped_alerts_are_not_one_file(spark, place, tmp_path):
+    tables.write_panel(spark.range(0, 100, 1, 4), str(tmp_path / "p"), one_file=False, environment="e", engine="s", store="f")
+    assert len(list((tmp_path / "p").glob("*.json"))) == 4
+
+
 def test_unknown_stage(spark, place):
     with pytest.raises(ValueError, match="no such stage"):
         run(spark, place, which=("landing", "moon"))
