@@ -98,7 +98,9 @@ def raw_lines(events: DataFrame) -> DataFrame:
     members = [F.concat(F.lit(f'"{n}":'), F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))) for n, c in text.items()]
     members += [F.concat(F.lit('"amount":'), amount_json), F.concat(F.lit('"latency_ms":'), (e % 900).cast("string"))]
     line = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
-    return feed.select(F.when(every(163), F.left(line, F.lit(30))).otherwise(line).alias("value"), "event_id")
+    value = F.when(every(163), F.left(line, F.lit(30))).otherwise(line)
+    # the line is put together once, whatever reads it several times
+    return feed.select(F.inline(F.array(F.struct(value.alias("value"), F.col("event_id")))))
 
 
 def resent_lines(events: DataFrame) -> DataFrame:
