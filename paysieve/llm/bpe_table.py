@@ -106,10 +106,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     their own.  A word of any length is encoded whole.  Other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    words.fitting(tokenizer)
     parts = shared.partitions(docs.sparkSession)
 
     def encoded(batches):
-        encode = words.encoder(tokenizer)
+        encode = words.Encoder(tokenizer)  # of this share alone: its distinct words are met once, as far as they fit
         for batch in batches:
             for own in shared.slices(batch, "words"):
                 lists = pc.ascii_split_whitespace(own.column("words"))

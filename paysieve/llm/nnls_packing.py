@@ -178,7 +178,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, *, window: int
     A null text is empty: its only id is the end id.  Repeated rows and null or repeated
     doc_ids are documents of their own.  An empty table has no pieces.  Other columns are not read.
     """
-    bits = token_files.bits_for(max(len(words.vocabulary(tokenizer)), end_id + 1))
+    bits = token_files.bits_for(max(len(words.vocabulary(words.fitting(tokenizer))), end_id + 1))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = words.encoder(tokenizer)

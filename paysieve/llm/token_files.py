@@ -117,7 +117,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
     rows that repeat a doc_id are all written, next to each other, in the order of a hash of their texts, by which
     they are also dealt to several buckets where they are many.  An empty table writes no segment.  Texts of any length stay whole.  Other columns are not read.
     """
-    bits = bits_for(max(len(words.vocabulary(tokenizer)), end_id + 1))
+    bits = bits_for(max(len(words.vocabulary(words.fitting(tokenizer))), end_id + 1))
     parts = shared.partitions(docs.sparkSession)
     bounds = shared.ordered_bounds(docs, id_col, text_col, parts)
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paysieve.llm import line_dedup, queries, shared, toxicity, url_filter, warc_fixity
+from paysieve.llm import line_dedup, nnls_packing, queries, shared, toxicity, url_filter, warc_fixity
 from tests.compare import same_rows
 
 DATA = "/root/testdata/sf0.001"
@@ -286,3 +286,28 @@ def test_pipeline_stages_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, DATA).count() == 0
+
+
+def test_pipeline_against_a_composed_brute_force(spark):
+    from tests.llm.test_pairs import classes
+    from tests.llm.test_tokens import check_packing
+
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    lexicon = queries.trained_lexicon(spark, DATA, all_rows=True)
+    texts = {i: r.text for i, r in sorted(docs.items()) if lexicon.score(naive_density(lexicon, r.text or "")) < 0.7}
+    pages, having = {}, {}
+    for i, t in texts.items():
+        site = docs[i].source or ""
+        pages[site] = pages.get(site, 0) + 1
+        for line in {x.strip(" ") for x in (t or "").split("\n")} - {""}:
+            having[site, line] = having.get((site, line), 0) + 1
+    gone = {k for k, n in having.items() if n >= 2 and n / pages[k[0]] > queries.BOILERPLATE["ratio"]}
+    texts = {i: t if t is None else "\n".join(x for x in t.split("\n") if (docs[i].source or "", x.strip(" ")) not in gone) for i, t in texts.items()}
+    of = classes(list(texts.values()))
+    kept = {i: t for n, (i, t) in enumerate(texts.items()) if of[n] == n}
+    rows = corpus_pipeline.run(spark, DATA).collect()
+    assert {r.doc_id for r in rows} == set(kept)
+    whole = nnls_packing.pack_documents(spark.createDataFrame(list(kept.items()), "doc_id long, text string"), queries.tokenizer_path(), 1).collect()
+    check_packing(whole, kept)
+    assert {(r.doc_id, r.doc_tokens) for r in rows} == {(r.doc_id, r.doc_tokens) for r in whole}
+    assert sum(r.length for r in rows) == sum(r.length for r in whole)

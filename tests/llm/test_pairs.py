@@ -212,3 +212,58 @@ def test_scores_of_large_components_are_exact(spark, scale, most):
         all_of = sorted((-sum(a * b for a, b in zip(codes[q], codes[i], strict=True)), i) for i in codes if i != q)
         want |= {(q, n, i, -s) for n, (s, i) in enumerate(all_of[:5], 1)}
     assert got == want
+
+
+def test_query_of_fingerprints_against_brute_force(spark):
+    import hashlib
+
+    sf = "/root/testdata/sf0.001"
+    texts = dict(sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()))
+    ids, errors = list(texts), []
+    for r in queries.op4_oph_fingerprints(spark, sf).collect():
+        own, following = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        cut = len(own) // 2
+        changed = own[: len(own) - cut] + following[:cut]
+        assert (r.n_chars, r.edited_sha256) == (len(own), hashlib.sha256(changed.encode()).hexdigest())
+        errors += [r.near_edited - jaccard(own, changed), r.near_next - jaccard(own, following)]
+    assert np.abs(errors).max() < 0.16 and abs(np.mean(errors)) < 0.02
+
+
+def test_near_duplicates_of_the_given_documents_are_those_of_all_pairs(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    shingle = {i: sets(t) for i, t in texts.items()}
+    holders, links = {}, {}
+    for i, s in shingle.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    for i, s in shingle.items():
+        common = {}
+        for x in s:
+            for j in holders[x]:
+                common[j] = common.get(j, 0) + 1
+        links[i] = {j for j, n in common.items() if j != i and n >= 0.8 * (len(s) + len(shingle[j]) - n) - 1e-9}
+    found = {r.doc_id: r.class_id for r in queries.op6_dart_minhash(spark, sf).collect()}
+    pairs = [(i, j) for i, own in links.items() for j in own]
+    assert len(pairs) > 50 and sum(found[i] == found[j] for i, j in pairs) >= 0.9 * len(pairs)
+    root = dict.fromkeys(texts)
+    for i in sorted(texts):
+        stack = [i] if root[i] is None else []
+        while stack:
+            j = stack.pop()
+            if root[j] is None:
+                root[j] = i
+                stack += links[j]
+    # no class holds texts that no chain of links joins, but exact copies without words
+    assert all(root[i] == root[c] or texts[i] == texts[c] for i, c in found.items())
+
+
+def test_eight_bit_fingerprints_of_texts_are_not_taken_for_empty():
+    import pyarrow as pa
+
+    sketch = oph.OnePermutation(64, 8)
+    rng = random.Random(4)
+    texts = [prose(rng, 30) for _ in range(1500)]
+    s = sketch.signatures(pa.array([*texts, ""]))
+    assert (s[:-1, 0] == 255).any() and all(sketch.packed(s)[:-1]) and sketch.packed(s)[-1] == ""
+    assert sketch.likeness(s[:-1], s[:-1]).min() == 1.0

@@ -159,6 +159,75 @@ def test_distinct_word_table_of_odd_tables(spark, docs):
     assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("1", 0), ("1", 2), ("1", 2), ("None", 1)]
 
 
-def test_query_columns(spark):
-    q = queries.op10_bpe_table(spark, "/root/testdata/sf0.001").orderBy("doc_id").first()
-    assert q.ids_sha256 != hashlib.sha256(b"").hexdigest() and len(q.decoded_sha256) == 64
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library(spark):
+    """doc_id and ids of every given text, by the library alone."""
+    return {r.doc_id: (r.text, ids_of(r.text)) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+
+
+def test_query_of_token_files_against_the_library(spark, library):
+    want, start = {}, 0
+    for i in sorted(library):
+        own = [*library[i][1], 2]
+        want[i] = (i, start, len(own), crc(own))
+        start += len(own)
+    assert {r.doc_id: tuple(r)[:4] for r in queries.op2_token_files(spark, DATA).collect()} == want
+
+
+def test_query_of_packing_against_the_library(spark, library):
+    rows = queries.op5_nnls_packing(spark, DATA).collect()
+    for i, (_, ids) in library.items():
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        ids = [*ids, 1]
+        assert [r.start for r in own] == np.cumsum([0, *(r.length for r in own)])[:-1].tolist() and sum(r.length for r in own) == len(ids)
+        assert all(r.ids_crc32 == crc(ids[r.start : r.start + r.length]) and r.doc_tokens == len(ids) for r in own)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in sequences.values():
+        assert [o for o, _ in sorted(own)] == np.cumsum([0, *(n for _, n in sorted(own))])[:-1].tolist() and sum(n for _, n in own) <= 2048
+    assert sum(len(ids) + 1 for _, ids in library.values()) / (2048 * len(sequences)) > 0.97
+
+
+def test_query_of_the_word_table_against_the_library(spark, library):
+    tok = words.tokenizer(PATH)
+    rows = queries.op10_bpe_table(spark, DATA).collect()
+    assert len(rows) == len(library)
+    for r in rows:
+        ids = library[r.doc_id][1]
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_tokenizers_that_do_not_fit_are_refused(spark, docs):
+    other = queries.tokenizer_path("byte_bpe_50k.json")
+    with pytest.raises(ValueError, match="not a lower-casing"):
+        words.fitting(other)
+    with pytest.raises(ValueError, match="not a lower-casing"):
+        bpe_table.encode_documents(docs, other)
+    with pytest.raises(ValueError, match="not a lower-casing"):
+        nnls_packing.pack_documents(docs, other, 1)
+    with pytest.raises(ValueError, match="not a lower-casing"):
+        token_files.write_token_files(docs, shared.new_path(spark, "test"), other, 1)
+
+
+def test_many_rows_of_one_id_are_cut_and_stay_in_order(spark):
+    rows = [(7 if i % 3 else i, f"text {i} the") for i in range(600)] + [(None, f"n{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    bounds = shared.ordered_bounds(docs, "doc_id", "text", 8)
+    sizes = {r[0]: r[1] for r in docs.groupBy(bounds.bucket_of(docs.doc_id, docs.text)).count().collect()}
+    assert len(sizes) >= 7 and max(sizes.values()) < 250
+    path = shared.new_path(spark, "test")
+    token_files.write_token_files(docs, path, PATH, 2, segment_ids=100)
+    found = sorted(token_files.token_index(token_files.read_token_files(spark, path)).collect(), key=lambda r: r.start)
+    keys = [-1 if r.doc_id is None else r.doc_id for r in found]
+    assert keys == sorted(keys) and len(found) == 900
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+
+
+def test_least_squares_that_stop_early_say_so():
+    with pytest.warns(UserWarning, match="stopped"):
+        nnls_packing.nnls(np.eye(5), np.arange(1.0, 6.0), rounds=2)
