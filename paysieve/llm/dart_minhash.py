@@ -137,12 +137,12 @@ def linked(sets: list[np.ndarray], labels: np.ndarray, least: float) -> list[tup
     return out
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, rows_per_band: int = 4, star_bands: int = 8, block: int = 1024, block_elements: int = 1 << 19, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, rows_per_band: int = 4, star_bands: int = 8, block: int = 1024, block_elements: int = 1 << 19, hot_rows: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id (the least doc_id of its class), keep (one row of each class) and node (the text's hash) of every row of ``docs``.
 
     A class: texts connected by five-word-shingle Jaccard likeness of ``threshold`` or more, and their copies.
     Texts are told apart by a 64-bit hash.  A block has ``block`` texts or ``block_elements`` shingles at most, or one
-    longer text; each pair of blocks is compared in a task of its own.
+    longer text; each pair of blocks is compared in a task of its own.  A band's key of over ``hot_rows`` texts is joined in several tasks.
 
     Null texts are empty; texts without words are in a class only with their exact copies.  Rows of
     equal text are one class; the least doc_id is kept, of rows that repeat it one.  A class whose
@@ -168,8 +168,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
     # copies become one row before any band is looked at
     nodes = shared.written(signed_rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("bands").alias("bands")), "distinct-texts")
     placed = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
-    full = placed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("b")).where("pivot <> b").select("key", "pivot")
-    held = shared.written(placed.join(full, "key").select("node", "size", "band", "key", "pivot"), "band-members")
+    full = placed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("b"), F.count("*").alias("rows")).where("pivot <> b").select("key", "pivot", "rows")
+    held = shared.written(shared.joined_by_key(placed, full, "key", "node", hot_rows).select("node", "size", "band", "key", "pivot"), "band-members")
     # whole sets of those texts, from one row of each
     wanted = held.select("node").distinct().join(nodes.select("node", "first"), "node")
     chosen = texts.join(wanted, (texts.node == wanted.node) & texts.doc_id.eqNullSafe(wanted["first"])).select(texts.node, "text")
@@ -189,16 +189,16 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
     near = common >= threshold * (F.size("elements") + F.size("others") - common) - 1e-9
     first = shared.written(met.where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")), "links")
 
-    labels = components(first)
+    labels = components(first, hot_rows=hot_rows)
     members = held.join(labels, "node", "left").select("node", "size", "key", F.coalesce("component", "node").alias("label"))
     # a key's largest group, and all others together; the texts of the largest do not meet one another
     of_label = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     of_key = of_label.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.struct("n", "s", "label")).alias("top")).where("labels > 1")
     blocks = lambda n, s: F.greatest(F.ceil(n / block), F.ceil(s / block_elements)).cast("int")
-    sizes = of_key.select("key", F.col("top.label").alias("top"), blocks(F.col("top.n"), F.col("top.s")).alias("tops"), blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("rests"))
+    sizes = of_key.select("key", F.col("top.label").alias("top"), blocks(F.col("top.n"), F.col("top.s")).alias("tops"), blocks(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("rests"), F.col("n").alias("rows"))
     is_top = F.col("label") == F.col("top")
     share = F.xxhash64("node", "key")
-    own = members.join(sizes, "key").withColumn("own", F.when(is_top, F.col("rests") + F.pmod(share, F.col("tops"))).otherwise(F.pmod(share, F.col("rests"))).cast("int"))
+    own = shared.joined_by_key(members, sizes, "key", "node", hot_rows).withColumn("own", F.when(is_top, F.col("rests") + F.pmod(share, F.col("tops"))).otherwise(F.pmod(share, F.col("rests"))).cast("int"))
     others = F.sequence(F.lit(0), F.when(is_top, F.col("rests")).otherwise(F.col("rests") + F.col("tops")) - 1)
     pairs = F.transform(others, lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
     dealt = own.select("node", "label", "key", F.explode(pairs).alias("at")).select("node", "label", "key", "at.i", "at.j")
@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 128, ro
         return pa.table([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
 
     more = dealt.join(sets, "node").groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
-    classes = components(first.union(more))
+    classes = components(first.union(more), hot_rows=hot_rows)
     of_node = nodes.join(classes, "node", "left").select("node", "first", F.coalesce("component", "node").alias("class"))
     class_of = of_node.groupBy("class").agg(F.min("first").alias("class_id"))
     named = of_node.join(class_of, "class").select("node", "first", "class", "class_id")

@@ -53,6 +53,20 @@ def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined_by_key(many: DataFrame, few: DataFrame, key: str, by: str, most: int = 1 << 20) -> DataFrame:
+    """``many`` joined with ``few``, which has one row a ``key`` and in ``rows`` how many rows of ``many`` have it.
+
+    A key of over ``most`` rows is dealt to several tasks by a hash of ``by``, and its row of ``few`` is repeated for each.
+    Such keys are broadcast: there are at most (rows of ``many``) / ``most``, 100,000 short rows for 10^11.  Null keys
+    are joined with nothing.
+    """
+    shares = F.ceil(F.col("rows") / F.lit(most)).cast("int")
+    hot = few.where(F.col("rows") > most).select(key, shares.alias("_shares"))
+    dealt = many.join(F.broadcast(hot), key, "left").withColumn("_share", F.coalesce(F.pmod(F.xxhash64(by), F.col("_shares")).cast("int"), F.lit(0))).drop("_shares")
+    repeated = few.withColumn("_share", F.explode(F.sequence(F.lit(0), F.greatest(shares, F.lit(1)) - 1))).drop("rows")
+    return dealt.join(repeated, [key, "_share"]).drop("_share")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -59,10 +59,10 @@ def classes(texts):
     return of
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_duplicates_are_the_brute_force_classes(spark, corpus, block):
+@pytest.mark.parametrize("block, hot_rows", [(1024, 1 << 20), (8, 7)])
+def test_near_duplicates_are_the_brute_force_classes(spark, corpus, block, hot_rows):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(corpus)], "doc_id long, text string, class_id string").repartition(5)
-    found = dart_minhash.near_duplicates(docs, block=block).collect()
+    found = dart_minhash.near_duplicates(docs, block=block, hot_rows=hot_rows).collect()
     assert {r.doc_id: r.class_id for r in found} == dict(enumerate(classes(corpus)))
     assert sorted(r.doc_id for r in found if r.keep) == sorted({r.class_id for r in found})
     kept = dart_minhash.kept_documents(docs)
@@ -94,15 +94,27 @@ def test_dart_signatures_estimate_weighted_jaccard():
         assert abs(np.mean(e)) < 0.015 and np.std(e) < 0.06
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot_rows", [1 << 20, 10])
+def test_components(spark, hot_rows):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100), (200, 201), (201, 202), (202, 200)] + [(300, 300 + rng.randrange(1, 40)) for _ in range(50)]
-    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), hot_rows=hot_rows).collect()}
     assert {found[i] for i in range(61)} == {0} and found[202] == 200 and 100 not in found
     assert {v for k, v in found.items() if k >= 300} == {300}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hot_keys_are_joined_in_several_tasks(spark):
+    many = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 0), (3, 1), (None, 2)], "key int, node int")
+    few = spark.createDataFrame([(1, 500, "a"), (2, 1, "b"), (4, 0, "d")], "key int, rows long, name string")
+    joined = shared.joined_by_key(many, few, "key", "node", most=50)
+    rows = joined.withColumn("task", F.spark_partition_id()).collect()
+    assert joined.columns == ["key", "node", "name"]
+    assert sorted((r.key, r.node, r.name) for r in rows) == [(1, i, "a") for i in range(500)] + [(2, 0, "b")]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_share" in plan and plan.count("Join") == 2
+
+
 def test_fingerprints_of_edits(spark, corpus):
     docs = spark.createDataFrame([(i * 2, t, 0.5) for i, t in enumerate(corpus)], "doc_id long, text string, near_next double").repartition(6)
     rows = sorted(oph.fingerprint_edits(docs).collect(), key=lambda r: r.doc_id)
