@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import bpe_table, dart_minhash, line_dedup, nnls_packing, oph, pivot_topk, shared, token_files, toxicity, url_filter, warc_fixity
+from paysieve.llm import bpe_table, collocations, dart_minhash, line_dedup, nnls_packing, oph, periodic_runs, pivot_topk, shared, token_files, toxicity, url_filter, warc_fixity
 
 #: A vocabulary file of the public_tokenizers package.
 TOKENIZER = "word_bpe_49k.json"
@@ -102,6 +102,27 @@ def op10_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
+    best = out.withColumns({"best": periodic_runs.strongest(F.col("runs")), "lines": periodic_runs.runs_text(F.col("runs"))})
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+#: Phrases of 30 occurrences at least, and the first 2000 of each language.
+PHRASES = {"least": 30, "most": 2000}
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), **PHRASES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,6 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_url_filter,
         op10_bpe_table,
+        op12_periodic_runs,
+        op13_collocations,
     )
 }
 
@@ -123,4 +146,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL.format(**BOILERPLATE),
     "op7_pivot_topk": pivot_topk.SQL,
     "op9_url_filter": url_filter.SQL,
+    "op13_collocations": collocations.SQL.format(**PHRASES),
 }
