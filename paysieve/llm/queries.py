@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import bpe_table, collocations, dart_minhash, line_dedup, nnls_packing, oph, periodic_runs, pivot_topk, shared, token_files, toxicity, url_filter, warc_fixity
+from paysieve.llm import bpe_table, collocations, dart_minhash, line_dedup, nnls_packing, oph, periodic_runs, pivot_topk, secret_crf, shared, token_files, toxicity, url_filter, warc_fixity
 
 #: A vocabulary file of the public_tokenizers package.
 TOKENIZER = "word_bpe_49k.json"
@@ -102,6 +102,20 @@ def op10_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_crf.scan(docs, secret_crf.learn(docs))
+    named = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"] != secret_crf.FIELD)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in secret_crf.KINDS),
+        F.sha2(named(base).cast("binary"), 256).alias("base_sha256"),
+        named(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = periodic_runs.find_runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
     best = out.withColumns({"best": periodic_runs.strongest(F.col("runs")), "lines": periodic_runs.runs_text(F.col("runs"))})
@@ -136,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_url_filter,
         op10_bpe_table,
+        op11_secret_crf,
         op12_periodic_runs,
         op13_collocations,
     )
