@@ -15,6 +15,8 @@ the same word of a second one; ids follow each other by (group, falling count, w
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -75,31 +77,51 @@ def _spread_out(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
 
 
-def _texts_in_blocks(batches, most_bytes: int):
-    """Texts and groups of about ``most_bytes`` each; a longer text comes alone."""
-    texts, groups, size = [], [], 0
+@dataclass(frozen=True)
+class _Words:
+    """Words of texts, the group and the piece of each."""
+
+    words: pa.Array
+    groups: pa.Array
+    pieces: np.ndarray
+
+
+def _words_in_blocks(batches, most_bytes: int) -> Iterator[list[_Words]]:
+    """The words of about ``most_bytes`` of text at a time; a longer text comes alone."""
+    block, size = [], 0
     for batch in batches:
         for own in shared.slices(batch, "text", most_bytes=1 << 20):
-            texts.append(shared.as_array(own.column("text")))
-            groups.append(shared.as_array(own.column("group")))
-            size += texts[-1].nbytes
+            found = cuts.cut(pc.ascii_lower(shared.as_array(own.column("text"))), SIGNS)
+            groups = shared.as_array(own.column("group")).dictionary_encode()
+            of_word = pa.DictionaryArray.from_arrays(pa.array(np.repeat(np.asarray(groups.indices), np.diff(found.offsets)), pa.int32()), groups.dictionary)
+            block.append(_Words(found.words, of_word, found.pieces.astype(np.int32)))
+            size += own.nbytes
             if size >= most_bytes:
-                yield pa.concat_arrays(texts), pa.concat_arrays(groups)
-                texts, groups, size = [], [], 0
-    if texts:
-        yield pa.concat_arrays(texts), pa.concat_arrays(groups)
+                yield block
+                block, size = [], 0
+    if block:
+        yield block
+
 
+def _coded(arrays: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct values of all arrays, and the number of each value."""
+    whole = pa.chunked_array(arrays)
+    if not pa.types.is_dictionary(whole.type):
+        whole = whole.dictionary_encode()
+    whole = whole.unify_dictionaries().combine_chunks()
+    one = shared.as_array(whole)
+    return one.dictionary, np.asarray(one.indices, dtype=np.int64)
 
-def _words_of_block(texts: pa.Array, groups: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+
+def _words_of_block(block: list[_Words]) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
     """Group and word of each distinct (group, word), how often it occurs, and the numbers of the words in order, with breaks."""
-    own = cuts.cut(pc.ascii_lower(texts), SIGNS)
-    coded = own.words.dictionary_encode()
-    of_group = groups.dictionary_encode()
-    n_words = max(1, len(coded.dictionary))
-    group = np.repeat(np.asarray(of_group.indices, dtype=np.int64), np.diff(own.offsets))
-    flat = group * n_words + np.asarray(coded.indices, dtype=np.int64)
+    words, code = _coded([x.words for x in block])
+    groups, group = _coded([x.groups for x in block])
+    n_words = max(1, len(words))
+    flat = group * n_words + code
+    ends = np.flatnonzero(np.concatenate([np.append(np.diff(x.pieces) != 0, True)[: len(x.pieces)] for x in block])) + 1
     # numbers by direct addressing, where that is no larger than the words
-    if len(of_group.dictionary) * n_words <= 4 * len(flat) + 1024:
+    if len(groups) * n_words <= 4 * len(flat) + 1024:
         counts = np.bincount(flat, minlength=1)
         full = np.flatnonzero(counts)
         number = np.zeros(len(counts), dtype=np.int64)
@@ -107,15 +129,7 @@ def _words_of_block(texts: pa.Array, groups: pa.Array) -> tuple[pa.Array, pa.Arr
         codes, counts = number[flat], counts[full]
     else:
         full, codes, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    return of_group.dictionary.take(pa.array(full // n_words)), coded.dictionary.take(pa.array(full % n_words)), counts, _with_breaks(codes, own.pieces)
-
-
-def _with_breaks(codes: np.ndarray, pieces: np.ndarray) -> np.ndarray:
-    """The codes with a break between pieces."""
-    if not len(codes):
-        return codes
-    ends = np.flatnonzero(np.diff(pieces)) + 1
-    return np.insert(codes, ends, _BREAK)
+    return groups.take(pa.array(full // n_words)), words.take(pa.array(full % n_words)), counts, np.insert(codes, ends, _BREAK)
 
 
 def _block_id(n: int) -> int:
@@ -138,8 +152,9 @@ def _rows(block: int, key: pa.Array, counts: np.ndarray, codes: np.ndarray | Non
 
 def _word_rows(batches, most_bytes: int):
     """The key of a word is its group, a space and the word; that of all words of a group is the group and a space."""
-    for i, (texts, groups) in enumerate(_texts_in_blocks(batches, most_bytes)):
-        group, word, counts, codes = _words_of_block(texts, groups)
+    for i, block in enumerate(_words_in_blocks(batches, most_bytes)):
+        group, word, counts, codes = _words_of_block(block)
+        del block
         yield from _rows(_block_id(i), pc.binary_join_element_wise(group, word, " "), counts, codes)
         of_group = group.dictionary_encode()
         sums = np.bincount(np.asarray(of_group.indices, dtype=np.int64), weights=counts, minlength=0).astype(np.int64)
@@ -207,7 +222,7 @@ def _frequent(keyed: DataFrame, least: int, name: str) -> DataFrame:
     return shared.written(own.where(F.col("f") >= least), name)
 
 
-def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str = "text", least: int = 30, block_bytes: int = 24 << 20) -> tuple[DataFrame, list[DataFrame]]:
+def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str = "text", least: int = 30, block_bytes: int = 16 << 20) -> tuple[DataFrame, list[DataFrame]]:
     """(group, n), all words of each group; and for one to four words the table of the phrases that occur ``least`` times or more.
 
     A table has group, phrase, f (occurrences), ``id``, for more than one word ``a`` and ``b`` (the ids, one size
@@ -243,7 +258,7 @@ def _cut(k: Column, f: Column, left: Column, right: Column) -> Column:
     return F.struct(score.cast("long").alias("score"), k.alias("k"), left.alias("l"), right.alias("r"))
 
 
-def collocations(docs: DataFrame, *, group_col: str = "lang", text_col: str = "text", least: int = 30, most: int = 2000, share: tuple[int, int] = (4, 5), block_bytes: int = 24 << 20) -> DataFrame:
+def collocations(docs: DataFrame, *, group_col: str = "lang", text_col: str = "text", least: int = 30, most: int = 2000, share: tuple[int, int] = (4, 5), block_bytes: int = 16 << 20) -> DataFrame:
     """The ``most`` best phrases of two to four words of each group: lang, rank, phrase, a, l, r, n, score.
 
     ASCII letters are folded.  Pieces end at ``.,;:!?``, line ends, vertical tabs and form feeds; words at spaces and

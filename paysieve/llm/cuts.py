@@ -25,6 +25,12 @@ class Signs:
         return cls(kinds)
 
 
+def _running(flags: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(flags) + 1, dtype=np.int32)  # a text array has less than 2^31 bytes
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 @dataclass(frozen=True)
 class Cut:
     """All words of all texts, where each text's words start, and the number of the piece that each word is in."""
@@ -50,10 +56,10 @@ def cut(texts: pa.Array, signs: Signs) -> Cut:
     inner = edges[:-1][edges[:-1] < len(data)]
     first[inner] = inside[inner]  # a text's first byte starts a word of its own
     starts = np.flatnonzero(first)
-    breaks = np.concatenate([[0], np.cumsum(kinds == _BREAK)])
+    breaks = _running(kinds == _BREAK)
     of_text = np.searchsorted(starts, edges)
     # word bytes alone, one word after the other
-    kept = np.concatenate([[0], np.cumsum(inside)])
+    kept = _running(inside)
     ends = np.append(kept[starts], kept[-1]).astype(np.int32)
     words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])])
     pieces = breaks[starts] + np.repeat(np.arange(n), np.diff(of_text))
