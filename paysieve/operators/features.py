@@ -9,36 +9,72 @@ from paysieve.functions import columns as C
 from paysieve.params import Params
 
 
-def _known(key: str, feature: Column, p: Params) -> Column:
-    return feature if p.null_keys == "group" else F.when(F.isnotnull(key), feature).otherwise(0)
+#: Windows are worked on in buckets of time of so many times the longer window.
+_BUCKET = 8
+
+
+def bucket_seconds(p: Params) -> int:
+    """Seconds of a bucket: no window of the sweep has more rows than this and one, whatever a payer does."""
+    return _BUCKET * (max(p.velocity_seconds, p.fanout_seconds) + 1)
+
+
+def moments(keys: DataFrame, p: Params) -> DataFrame:
+    """A row for each payer and second at which a count changes: _payer, _bucket, _at, payments, and what both counts change by.
+
+    A payment counts for its payer from its second on and no more after the window.  For distinct payees it counts as long as it
+    is the latest of its payer to its payee; the next one to the same payee takes over.  So both counts are the
+    sum of changes up to a second.  A payment that counts across the end of a bucket is counted anew at the start of the next, so that
+    buckets are independent of one another.
+    """
+    size = bucket_seconds(p)
+    at = F.col("event_epoch")
+    bucket = F.floor(at / size)
+    seconds = keys.where(F.isnotnull(at)).groupBy("payer_key", "payee_key", at).agg(F.count(F.lit(1)).alias("n"))
+    # a payee's first seconds in a bucket may take over from the bucket before
+    early = F.isnotnull("payee_key") & (at - bucket * size <= p.fanout_seconds)
+    dealt = seconds.withColumn("_bucket", F.explode(F.when(early, F.array(bucket, bucket - 1)).otherwise(F.array(bucket))))
+    after = F.lead(at).over(Window.partitionBy("payer_key", "payee_key", "_bucket").orderBy("event_epoch"))
+    own = dealt.withColumn("_next", after).where(F.col("_bucket") == bucket)
+    n, one, none = F.col("n"), F.isnotnull("payee_key").cast("long"), F.lit(0).cast("long")
+    start = (F.col("_bucket") + 1) * size
+    paid = at + (p.velocity_seconds + 1)
+    met = F.least(at + (p.fanout_seconds + 1), F.col("_next"))
+    change = lambda when, here, v, f: F.struct(when.cast("long").alias("_at"), here.alias("payments"), v.alias("dv"), f.alias("df"))
+    changes = F.array_compact(
+        F.array(
+            change(at, n, n, one),
+            change(paid, none, -n, none),
+            F.when(one > 0, change(met, none, none, -one)),
+            F.when(paid > start, change(start, none, n, none)),
+            F.when((one > 0) & (met > start), change(start, none, none, one)),
+        )
+    )
+    events = own.select(F.col("payer_key").alias("_payer"), F.inline(changes)).withColumn("_bucket", F.floor(F.col("_at") / size))
+    return events.groupBy("_payer", "_bucket", "_at").agg(*(F.sum(c).alias(c) for c in ("payments", "dv", "df")))
+
+
+def payer_counts(keys: DataFrame, p: Params) -> DataFrame:
+    """_payer, _at, txns_in_window, distinct_payees_in_window: for each payer and second with a payment; a null second meets null seconds only."""
+    upto = Window.partitionBy("_payer", "_bucket").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    swept = moments(keys, p).withColumns({"txns_in_window": F.sum("dv").over(upto), "distinct_payees_in_window": F.sum("df").over(upto).cast("int")})
+    timed = swept.where("payments > 0").select("_payer", "_at", "txns_in_window", "distinct_payees_in_window")
+    untimed = keys.where(F.isnull("event_epoch")).groupBy(F.col("payer_key").alias("_payer")).agg(F.count(F.lit(1)).alias("txns_in_window"), F.count_distinct("payee_key").cast("int").alias("distinct_payees_in_window"))
+    return timed.unionByName(untimed.withColumn("_at", F.lit(None).cast("long")))
 
 
 def payer_windows(rows: DataFrame, p: Params) -> DataFrame:
     """``txns_in_window`` and ``distinct_payees_in_window``, over trailing whole seconds, both ends included.
 
-    A payer's history is cut into spans as long as the longer window; a row is also dealt, with its key columns
-    alone, to the span after its own, where it is context only.  So no payer is one task, and both frames share
-    one shuffle and one sort.
+    A sweep over changes (``moments``) instead of a frame for each row: payments are counted by payer and second before any
+    window, so a busy payer's window has a row a second at most, and no row carries a set.  Counts come back by payer and second.
     """
-    width = max(p.velocity_seconds, p.fanout_seconds)
-    span = F.floor(F.col("event_epoch") / width)
-    at = lambda s, own: F.struct(s.alias("span"), F.lit(own).alias("own"))
-    alone = F.array(at(span, True))
-    # rows without a time meet one another only; those without a payer have no features, and need meet nobody
-    lonely = F.isnull("event_epoch") if p.null_keys == "group" else F.isnull("event_epoch") | F.isnull("payer_key")
-    dealt = rows.withColumn("_at", F.explode(F.when(lonely, alone).otherwise(F.array(at(span, True), at(span + 1, False)))))
-    keys = ("payer_key", "payee_key", "event_epoch")
-    narrow = dealt.select(*keys, *(F.when(F.col("_at.own"), F.col(c)).alias(c) for c in rows.columns if c not in keys), "_at")
-    spread = [] if p.null_keys == "group" else [F.when(F.isnull("payer_key"), F.xxhash64("transaction_id"))]
-    by_payer = Window.partitionBy("payer_key", "_at.span", *spread).orderBy("event_epoch")
-    trailing = lambda seconds: by_payer.rangeBetween(-seconds, 0)
-    counted = narrow.withColumns(
-        {
-            "txns_in_window": _known("payer_key", F.count(F.lit(1)).over(trailing(p.velocity_seconds)), p).cast("long"),
-            "distinct_payees_in_window": _known("payer_key", F.size(F.collect_set("payee_key").over(trailing(p.fanout_seconds))), p).cast("int"),
-        }
-    )
-    return counted.where("_at.own").select(*rows.columns, "txns_in_window", "distinct_payees_in_window")
+    keys = rows.select("payer_key", "payee_key", F.col("event_epoch").cast("long").alias("event_epoch"))
+    grouped = p.null_keys == "group"
+    counts = payer_counts(keys if grouped else keys.where(F.isnotnull("payer_key")), p)
+    payer = rows["payer_key"].eqNullSafe(counts["_payer"]) if grouped else rows["payer_key"] == counts["_payer"]
+    joined = rows.join(counts, payer & rows["event_epoch"].eqNullSafe(counts["_at"]), "left")
+    zero = {"txns_in_window": F.lit(0).cast("long"), "distinct_payees_in_window": F.lit(0)}
+    return joined.select(*(rows[c] for c in rows.columns), *(F.coalesce(c, z).alias(c) for c, z in zero.items()))
 
 
 def payers_on_ip(rows: DataFrame, p: Params) -> DataFrame:
