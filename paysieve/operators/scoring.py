@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve import schemas
@@ -49,8 +49,11 @@ def alerts(fact_rows: DataFrame) -> DataFrame:
 
 
 def capped(ordered: DataFrame, most: int | None) -> DataFrame:
-    """The first ``most`` alerts, each with whether more were left out."""
+    """The first ``most`` alerts, each with whether more were left out: one pass, which takes one alert more."""
     if most is None:
         return ordered.withColumn("truncated", F.lit(False))
-    more = ordered.agg(F.count(F.lit(1)) > most).scalar()
-    return ordered.limit(most).withColumn("truncated", more)
+    some = ordered.limit(most + 1)
+    rank = F.struct(-F.col("fraud_score"), -F.col("amount"), "transaction_id")
+    place = Window.partitionBy()  # over most + 1 rows
+    numbered = some.withColumns({"_at": F.row_number().over(place.orderBy(rank)), "_all": F.count(F.lit(1)).over(place)})
+    return numbered.where(F.col("_at") <= most).withColumn("truncated", F.col("_all") > most).drop("_at", "_all").orderBy(F.desc("fraud_score"), F.desc("amount"), "transaction_id")

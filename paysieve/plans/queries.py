@@ -320,7 +320,7 @@ def accounting(spark, sf_dir):
 @query
 def disclosure_scan(spark, sf_dir):
     """Raw identifiers in the cleansed layer: none."""
-    return quality.disclosures(cleanse.accepted(_standardised(spark, sf_dir), FEED_PARAMS).drop("source_file"))
+    return quality.disclosures(cleanse.accepted(_standardised(spark, sf_dir), FEED_PARAMS))
 
 
 @query

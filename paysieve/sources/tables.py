@@ -105,7 +105,8 @@ def text_lines(spark: SparkSession, folder: str, **options: str) -> DataFrame:
 
 
 def label_files(spark: SparkSession, pattern: str) -> DataFrame:
-    return spark.read.schema(schemas.LABEL_FILE).json(pattern, multiLine=True)
+    """generated_at, labels (a map) and the file's path."""
+    return spark.read.schema(schemas.LABEL_FILE).json(pattern, multiLine=True).withColumn("file", F.col("_metadata.file_path"))
 
 
 def panel(df: DataFrame, *, environment: str, engine: str, store: str, digits: int = 4) -> DataFrame:
