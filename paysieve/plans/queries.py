@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paysieve import schemas
 from paysieve.functions import columns as C
 from paysieve.operators import alerts as A
 from paysieve.operators import cleanse, features, ingest, kpis, panels, quality, scoring
@@ -363,30 +364,100 @@ def stream_silver(spark, sf_dir):
     return store.table(spark, stages.SILVER_TABLE).rows().select("transaction_id", F.unix_seconds("event_time").alias("event_epoch"), "amount", "status")
 
 
-def _runs(spark: SparkSession, batches: list[DataFrame], dedupe: str) -> DataFrame:
-    """The counts of one run of the streams after each batch of files."""
+def _store(spark: SparkSession, folder: str, *, catalog: bool = False) -> tables.Store:
+    """A store below the folder, or in a catalog whose schemas no other run uses."""
+    return tables.Store(f"{folder}/store", catalog="spark_catalog", prefix=f"run_{folder.rpartition('-')[2]}_") if catalog else tables.Store(f"{folder}/store")
+
+
+def _run_all(spark: SparkSession, batches: list[DataFrame], dedupe: str, *, catalog: bool = False) -> tuple[tables.Store, list[dict]]:
+    """A store after one run of the streams for each batch of files, and the runs' reports."""
     folder = scratch.new_folder(spark, "runs")
-    store, rows = tables.Store(f"{folder}/store"), []
-    for i, lines in enumerate(batches, 1):
+    store, reports = _store(spark, folder, catalog=catalog), []
+    for lines in batches:
         lines.select("value").write.mode("append").text(f"{folder}/raw")
-        report = pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT, which=pipeline.STAGES[:3], dedupe=dedupe)
-        silver = report["silver"]
-        rows.append((i, report["landing"]["landed"], report["bronze"]["ingested"], silver["cleansed"], silver["cleansed_late"], silver["quarantined"]))
+        reports.append(pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT, which=pipeline.STAGES[:3], dedupe=dedupe))
+    return store, reports
+
+
+def _run_counts(spark: SparkSession, reports: list[dict]) -> DataFrame:
+    rows = [(i, r["landing"]["landed"], r["bronze"]["ingested"], r["silver"]["cleansed"], r["silver"]["cleansed_late"], r["silver"]["quarantined"]) for i, r in enumerate(reports, 1)]
     return spark.createDataFrame(rows, "run int, landed long, ingested long, cleansed long, late long, quarantined long")
 
 
-@query
-def stream_runs(spark, sf_dir):
+def _three_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """A run, a second one over new files that also repeat lines of the first, and one over nothing new."""
     lines = feeds.raw_lines(_events(spark, sf_dir))
-    return _runs(spark, [lines.where("event_id % 3 <> 0"), lines.where("event_id % 3 = 0 or event_id % 67 = 0"), lines.where("false")], "table")
+    return [lines.where("event_id % 3 <> 0"), lines.where("event_id % 3 = 0 or event_id % 67 = 0"), lines.where("false")]
+
+
+def _even_then_odd(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The second run's rows are late where they are older than the first run's watermark."""
+    lines = feeds.raw_lines(_events(spark, sf_dir))
+    return [lines.where("event_id % 2 = 0"), lines.where("event_id % 2 = 1")]
+
+
+@query
+def stream_runs(spark, sf_dir):
+    return _run_counts(spark, _run_all(spark, _three_batches(spark, sf_dir), "table")[1])
+
+
+@query
+def stream_runs_catalog(spark, sf_dir):
+    """The same with tables in a catalog's schemas."""
+    return _run_counts(spark, _run_all(spark, _three_batches(spark, sf_dir), "table", catalog=True)[1])
+
+
+@query
+def stream_ids(spark, sf_dir):
+    """The ids that the exact collapsing of copies has stored, with the run that brought each."""
+    store, _ = _run_all(spark, _three_batches(spark, sf_dir), "table")
+    return store.table(spark, stages.IDS_TABLE).rows(schemas.IDS).select("transaction_id", (F.col("batch_id") + 1).cast("int").alias("run"))
 
 
 @query
 def stream_late_rows(spark, sf_dir):
-    """The second run's rows are late where they are older than the first run's watermark."""
+    return _run_counts(spark, _run_all(spark, _even_then_odd(spark, sf_dir), "watermark")[1])
+
+
+@query
+def late_rows(spark, sf_dir):
+    """The rows that were kept out as late, themselves."""
+    store, _ = _run_all(spark, _even_then_odd(spark, sf_dir), "watermark")
+    return store.table(spark, stages.LATE_TABLE).rows(schemas.LATE).select("transaction_id", F.unix_seconds("event_time").alias("event_epoch"), "amount", "status", "payer_key")
+
+
+@query
+def stream_accounting(spark, sf_dir):
+    """Every structured row is cleansed, quarantined, late or a copy, with rows that repeat and rows that are late."""
     lines = feeds.raw_lines(_events(spark, sf_dir))
-    return _runs(spark, [lines.where("event_id % 2 = 0"), lines.where("event_id % 2 = 1")], "watermark")
+    store, _ = _run_all(spark, [lines.where("event_id % 2 = 0"), lines.where("event_id % 2 = 1 or event_id % 67 = 0")], "watermark")
+    of = lambda where, schema: store.table(spark, where).rows(schema)
+    return quality.accounting(of(stages.BRONZE_TABLE, schemas.BRONZE), of(stages.SILVER_TABLE, schemas.SILVER), of(stages.QUARANTINE_TABLE, schemas.QUARANTINE), late=of(stages.LATE_TABLE, schemas.LATE))
+
+
+@query
+def layer_lineage(spark, sf_dir):
+    """The run and the times that each layer's rows carry, counted."""
+    folder = scratch.new_folder(spark, "lineage")
+    store = _store(spark, folder)
+    feeds.raw_lines(_events(spark, sf_dir)).select("value").write.text(f"{folder}/raw")
+    pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT, which=pipeline.STAGES[:3], run_id="run-5")
+    counted = lambda layer, where, schema, run, at: store.table(spark, where).rows(schema).groupBy(F.lit(layer).alias("layer"), run.alias("run_id"), F.isnotnull(at).alias("timed")).agg(F.count(F.lit(1)).alias("rows"))
+    none = F.lit(None).cast("string")
+    return (
+        counted("bronze", stages.BRONZE_TABLE, schemas.BRONZE, F.col("ingest_run_id"), "ingested_at")
+        .union(counted("silver", stages.SILVER_TABLE, schemas.SILVER, none, "cleansed_at"))
+        .union(counted("quarantine", stages.QUARANTINE_TABLE, schemas.QUARANTINE, none, "rejected_at"))
+    )
+
+
+@query
+def tables_there(spark, sf_dir):
+    """Which tables of a store exist after the streams, and their rows; 0 of those that do not."""
+    store, _ = _run_all(spark, _three_batches(spark, sf_dir)[:1], "table")
+    names = {"landing": stages.LANDING_TABLE, "bronze": stages.BRONZE_TABLE, "silver": stages.SILVER_TABLE, "late": stages.LATE_TABLE, "fact": pipeline.FACT}
+    found = [(name, (t := store.table(spark, where)).there(), t.count()) for name, where in names.items()]
+    return spark.createDataFrame(found, "name string, there boolean, rows long")
 
 
 @query

@@ -33,6 +33,10 @@ SILVER = _struct(
     "payer_key string, payee_key string, device_hash string, ip_hash string, ingested_at timestamp, cleansed_at timestamp, source_file string"
 )
 QUARANTINE = _struct("transaction_id string, event_time string, amount string, status string, currency string, reject_reason string, rejected_at timestamp, raw_payload string, source_file string, ingested_at timestamp")
+#: Ids of the cleansed rows, by hash bucket, with the micro-batch that brought them.
+IDS = _struct("id_bucket int, transaction_id string, batch_id bigint")
+#: Rows that the watermark kept out of the cleansed layer.
+LATE = _struct(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SILVER.fields) + ", late_batch bigint")
 ALERTS = _struct("transaction_id string, event_time timestamp, event_date string, amount double, status string, payer_vpa_masked string, payee_vpa_masked string, payer_bank string, app string, city string, ip_hash string, fraud_score int, reasons array<string>")
 KPI_DAILY = _struct("event_date string, txn_count bigint, total_amount double, success_count bigint, success_rate double, avg_ticket double, distinct_payers bigint, flagged_count bigint, flagged_amount double")
 KPI_DIMENSION = _struct("dimension string, dimension_value string, txn_count bigint, total_amount double, avg_ticket double, success_rate double, flagged_count bigint")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import threading
+from collections import defaultdict
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from paysieve import schemas
 
@@ -17,26 +21,77 @@ ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "
 
 @dataclass(frozen=True)
 class Drained:
-    """Rows that a stream's run wrote, and rows that its state dropped as too late."""
+    """Rows that a stream's run wrote, rows that its state dropped as too late, and its last watermark, if it had one."""
 
     rows: int
     late: int = 0
+    watermark: str | None = None
+
+
+@dataclass
+class _Report:
+    rows: int = 0
+    late: int = 0
+    watermark: str | None = None
+    ended: threading.Event = field(default_factory=threading.Event)
+
+
+class _Reports(StreamingQueryListener):
+    """Adds up every micro-batch's report of the queries that run meanwhile, whatever their number."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, _Report] = defaultdict(_Report)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p, own = event.progress, self.of[str(event.progress.runId)]
+        if "written" in p.observedMetrics:
+            own.rows += p.observedMetrics["written"]["rows"]
+        own.late += sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        own.watermark = max(filter(None, (own.watermark, p.eventTime.get("watermark"))), default=None)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.of[str(event.runId)].ended.set()
+
+
+def _finished(spark: SparkSession, start: Callable[[], StreamingQuery]) -> _Report:
+    """Waits for the end of the query that ``start`` starts, and for its last report."""
+    reports = _Reports()
+    spark.streams.addListener(reports)
+    try:
+        run = start()
+        run.awaitTermination()
+        own = reports.of[str(run.runId)]
+        if not own.ended.wait(timeout=60):
+            raise TimeoutError("the stream's reports have not come")
+        return own
+    finally:
+        spark.streams.removeListener(reports)
 
 
 @dataclass(frozen=True)
 class Store:
-    """Where tables and checkpoints are: below ``root``, or in a catalog's schemas when ``catalog`` is set."""
+    """Where tables and checkpoints are: below ``root``, or in a catalog's schemas when ``catalog`` is set.
+
+    In a catalog a zone's schema is ``prefix`` and the zone; checkpoints are below ``root`` all the same.
+    """
 
     root: str
     format: str = "parquet"
     catalog: str | None = None
+    prefix: str = ""
 
     def table(self, spark: SparkSession, where: tuple[str, str]) -> Table:
         """The table of a (zone, name); the zone's schema is made where a catalog has none."""
         zone, name = where
         if self.catalog:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.catalog}.{zone}")
-        return Table(spark, self, f"{self.catalog}.{zone}.{name}" if self.catalog else f"{self.root}/{zone}/{name}")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.catalog}.{self.prefix}{zone}")
+        return Table(spark, self, f"{self.catalog}.{self.prefix}{zone}.{name}" if self.catalog else f"{self.root}/{zone}/{name}")
 
 
 @dataclass(frozen=True)
@@ -62,6 +117,7 @@ class Table:
         if or_empty and not self.there():
             return self.spark.createDataFrame([], schema)
         if self.store.catalog:
+            self.spark.catalog.refreshTable(self.address)  # a stream's batches write in a session of their own
             return self.spark.table(self.address)
         source = self.spark.read.format(self.store.format)
         return (source if schema is None else source.schema(schema)).load(self.address)
@@ -82,21 +138,39 @@ class Table:
             sink = sink.option("overwriteSchema", "true")
         sink.saveAsTable(self.address) if self.store.catalog else sink.save(self.address)
 
+    def append(self, df: DataFrame, *, by: tuple[str, ...] = ()) -> int:
+        """More rows, by a batch; how many.  Never to a table that a stream writes."""
+        seen = Observation("appended")
+        sink = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(self.store.format).mode("append").partitionBy(*by)
+        sink.saveAsTable(self.address) if self.store.catalog else sink.save(self.address)
+        return seen.get["rows"]
+
+    def replace_parts(self, df: DataFrame, *, by: tuple[str, ...]) -> None:
+        """The partitions that ``df`` has rows of, anew; the others stay."""
+        if not self.there():
+            self.replace(df, by=by)
+        elif self.store.catalog:
+            own = df.select(*self.rows().columns)
+            own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.address)
+        else:
+            df.write.format(self.store.format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(self.address)
+
     def drain(self, df: DataFrame, stage: str, *, by: tuple[str, ...] = ()) -> Drained:
         """Append what is new in the stream ``df``, exactly once by the stage's checkpoint, and wait for the end.
 
         Rows are counted where they are written: file sinks report no number of their own.
         """
-        # every micro-batch's report is kept, so that a run's counts are whole
-        self.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
-        counted = df.observe("written", F.count(F.lit(1)).alias("rows"))
-        sink = counted.writeStream.format(self.store.format).outputMode("append").partitionBy(*by)
-        sink = sink.option("checkpointLocation", f"{self.store.root}/checkpoints/{stage}").trigger(availableNow=True)
-        run = sink.toTable(self.address) if self.store.catalog else sink.start(self.address)
-        run.awaitTermination()
-        reports = run.recentProgress
-        rows = sum(r.observedMetrics["written"]["rows"] for r in reports if "written" in r.observedMetrics)
-        return Drained(rows, sum(s.numRowsDroppedByWatermark for r in reports for s in r.stateOperators))
+        sink = df.observe("written", F.count(F.lit(1)).alias("rows")).writeStream.format(self.store.format).outputMode("append").partitionBy(*by)
+        sink = self._at(sink, stage)
+        own = _finished(self.spark, lambda: sink.toTable(self.address) if self.store.catalog else sink.start(self.address))
+        return Drained(own.rows, own.late, own.watermark)
+
+    def drain_batches(self, df: DataFrame, stage: str, write: Callable[[DataFrame, int], None]) -> None:
+        """Hand what is new in the stream ``df`` to ``write``, batch by batch; a batch comes again if it failed midway."""
+        _finished(self.spark, self._at(df.writeStream.foreachBatch(write), stage).start)
+
+    def _at(self, sink, stage: str):
+        return sink.option("checkpointLocation", f"{self.store.root}/checkpoints/{stage}").trigger(availableNow=True)
 
 
 def text_lines(spark: SparkSession, folder: str, **options: str) -> DataFrame:

@@ -2,8 +2,11 @@ import json
 from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from paysieve import schemas
 from paysieve.params import Params
 from paysieve.plans import pipeline
 from paysieve.sources import tables
@@ -88,3 +91,93 @@ def test_uncapped_alerts_are_not_one_file(spark, place, tmp_path):
 def test_unknown_stage(spark, place):
     with pytest.raises(ValueError, match="no such stage"):
         run(spark, place, which=("landing", "moon"))
+
+
+def ids(spark, store, where=stages.SILVER_TABLE):
+    return sorted(r.transaction_id for r in store.table(spark, where).rows().collect())
+
+
+@pytest.mark.parametrize("catalog", [None, "spark_catalog"])
+@pytest.mark.parametrize("dedupe", ["watermark", "table"])
+def test_both_ways_in_a_folder_and_in_a_catalog(spark, place, catalog, dedupe):
+    store = Store(place[0].root, catalog=catalog, prefix=f"t_{dedupe}_")
+    here = (store, *place[1:])
+    place[2]("a.txt", line(1), line(1), line(2, amount=-1), line(3))
+    run(spark, here, dedupe=dedupe)
+    place[2]("b.txt", line(1), line(4), line(5, hours=30))
+    second = run(spark, here, dedupe=dedupe)["silver"]
+    late = dedupe == "watermark"
+    assert (second["cleansed"], second["cleansed_late"]) == ((1, 1) if late else (2, 0))
+    assert ids(spark, store) == ["T1", "T3", "T4"] + ["T5"] * (not late)
+    assert store.table(spark, stages.LATE_TABLE).there() == late
+    assert set(store.table(spark, stages.SILVER_TABLE).rows().columns) == set(schemas.SILVER.names)
+    assert store.table(spark, pipeline.FACT).count() == len(ids(spark, store))
+
+
+def test_a_store_keeps_its_way(spark, place):
+    place[2]("a.txt", line(1))
+    run(spark, place, pipeline.STAGES[:3], dedupe="table")
+    with pytest.raises(ValueError, match="collapses copies by 'table'"):
+        run(spark, place, pipeline.STAGES[:3], dedupe="watermark")
+    with pytest.raises(ValueError, match="dedupe: never"):
+        run(spark, place, pipeline.STAGES[:3], dedupe="never")
+
+
+def test_a_batch_reads_the_folders_of_its_own_ids(spark, place):
+    store = place[0]
+    place[2]("a.txt", *(line(i) for i in range(200)))
+    run(spark, place, pipeline.STAGES[:3], dedupe="table")
+    folders = list(Path(store.root, "silver", "transaction_ids").glob("id_bucket=*"))
+    assert len(folders) > 50
+    one = spark.createDataFrame([("T7",)], "transaction_id string").select(stages.id_bucket(64)).first()[0]
+    for folder in folders:  # a batch of one id must not look into the other folders
+        if folder.name != f"id_bucket={one}":
+            for file in folder.glob("*.parquet"):
+                pq.write_table(pa.table({"transaction_id": [1.5]}), file)  # fails when its rows are read
+                file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    place[2]("b.txt", line(7))
+    assert run(spark, place, pipeline.STAGES[:3], dedupe="table")["silver"]["cleansed"] == 0
+
+
+@pytest.mark.parametrize("fails_at", [stages.IDS_TABLE, stages.SILVER_TABLE])
+def test_a_batch_that_failed_midway_is_made_good(spark, place, monkeypatch, fails_at):
+    store = place[0]
+    place[2]("a.txt", line(1), line(2))
+    run(spark, place, pipeline.STAGES[:3], dedupe="table")
+    place[2]("b.txt", line(2), line(3), line(4))
+    address, append = store.table(spark, fails_at).address, tables.Table.append
+
+    def failing(self, df, **options):
+        if self.address == address:
+            raise OSError("the executor's folder is gone")
+        return append(self, df, **options)
+
+    monkeypatch.setattr(tables.Table, "append", failing)
+    with pytest.raises(Exception, match="folder is gone"):
+        run(spark, place, pipeline.STAGES[:3], dedupe="table")
+    assert ids(spark, store) == ["T1", "T2"]
+    monkeypatch.undo()
+    assert run(spark, place, pipeline.STAGES[:3], dedupe="table")["silver"]["cleansed"] == 2
+    assert ids(spark, store) == ["T1", "T2", "T3", "T4"]
+    # and once more, as if the rows had been written and the end not been noted
+    for name in ("commits/1",):
+        Path(store.root, "checkpoints", "silver", name).unlink()
+        Path(store.root, "checkpoints", "silver", "commits", ".1.crc").unlink(missing_ok=True)
+    assert run(spark, place, pipeline.STAGES[:3], dedupe="table")["silver"]["cleansed"] == 0
+    assert ids(spark, store) == ["T1", "T2", "T3", "T4"]
+
+
+def test_late_rows_of_a_run_that_failed_come_with_the_next(spark, place, monkeypatch):
+    store = place[0]
+    place[2]("a.txt", line(1), line(9, hours=1))
+    run(spark, place, pipeline.STAGES[:3])
+    place[2]("b.txt", line(2, hours=30), line(2, hours=30), line(1), line(3, hours=31))
+    with monkeypatch.context() as m:
+        m.setattr(stages, "_append_late", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            run(spark, place, pipeline.STAGES[:3])
+    assert run(spark, place, pipeline.STAGES[:3])["silver"]["cleansed"] == 0
+    assert ids(spark, store, stages.LATE_TABLE) == ["T2", "T3"]
+    place[2]("c.txt", line(4, hours=50))
+    run(spark, place, pipeline.STAGES[:3])
+    assert ids(spark, store, stages.LATE_TABLE) == ["T2", "T3", "T4"] and ids(spark, store) == ["T1", "T9"]
