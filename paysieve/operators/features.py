@@ -77,13 +77,13 @@ def payer_windows(rows: DataFrame, p: Params) -> DataFrame:
     return joined.select(*(rows[c] for c in rows.columns), *(F.coalesce(c, z).alias(c) for c, z in zero.items()))
 
 
-def payers_on_ip(rows: DataFrame, p: Params) -> DataFrame:
-    """``payers_on_ip``: distinct payers of each address over all rows.
+def payers_on_ip(rows: DataFrame, p: Params, links: DataFrame | None = None) -> DataFrame:
+    """``payers_on_ip``: distinct payers of each address over all rows, or over ``links`` of addresses and payers.
 
     Counted in two phases and joined back, so that no row carries a set and a busy address is
     not gathered in one task.
     """
-    counts = rows.groupBy("ip_hash").agg(F.count_distinct("payer_key").alias("payers_on_ip"))
+    counts = (rows if links is None else links).groupBy("ip_hash").agg(F.count_distinct("payer_key").alias("payers_on_ip"))
     if p.null_keys == "group":
         same = rows["ip_hash"].eqNullSafe(F.col("_ip"))
         return rows.join(counts.withColumnRenamed("ip_hash", "_ip"), same, "left").drop("_ip")
@@ -91,10 +91,10 @@ def payers_on_ip(rows: DataFrame, p: Params) -> DataFrame:
     return joined.withColumn("payers_on_ip", F.coalesce("payers_on_ip", F.lit(0)))
 
 
-def with_features(rows: DataFrame, p: Params) -> DataFrame:
-    """All features, and the epoch second and local hour of the event."""
+def with_features(rows: DataFrame, p: Params, links: DataFrame | None = None) -> DataFrame:
+    """All features, and the epoch second and local hour of the event; payers behind addresses are those of ``links``, if given."""
     timed = rows.withColumns({"event_epoch": F.unix_seconds("event_time"), "event_hour": C.local_hour(F.col("event_time"), p.tz)})
-    return payers_on_ip(payer_windows(timed, p), p)
+    return payers_on_ip(payer_windows(timed, p), p, links)
 
 
 def quantiles(rows: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
@@ -103,9 +103,14 @@ def quantiles(rows: DataFrame, column: str, shares: dict[str, float]) -> DataFra
     Exact.  Values are counted first; a histogram of about a thousandth's width, whose rows do not grow with the
     input, says which bin holds each rank, and only those bins' values are looked through.
     """
+    return counted_quantiles(rows.select(F.col(column).cast("double").alias("value"), F.lit(1).alias("n")), shares)
+
+
+def counted_quantiles(rows: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """``quantiles`` of values (``value``) that occur ``n`` times."""
     value = F.col("value")
     bin_of = (F.signum(value) * F.floor(F.log1p(F.abs(value)) * 1000)).cast("long")
-    counts = rows.select(F.col(column).cast("double").alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", bin_of)
+    counts = rows.where("value is not null and n > 0").groupBy("value").agg(F.sum("n").alias("n")).withColumn("bin", bin_of)
     bins = counts.groupBy("bin").agg(F.sum("n").alias("n"))
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     placed = bins.select("bin", F.sum("n").over(upto).alias("upto"), "n", F.sum("n").over(Window.partitionBy()).alias("all"))
@@ -129,6 +134,44 @@ def threshold(rows: DataFrame, p: Params) -> DataFrame:
 
     Quartiles stay put when a few per cent of the amounts are extreme, so the fence does too.
     """
-    found = amount_quantiles(rows.where(F.col("status") == "SUCCESS"), {"q1": 0.25, "q3": 0.75}, p)
+    return fence(amount_quantiles(rows.where(F.col("status") == "SUCCESS"), {"q1": 0.25, "q3": 0.75}, p), p)
+
+
+def fence(found: DataFrame, p: Params) -> DataFrame:
+    """Of q1 and q3: q1, q3, fence and threshold."""
     fenced = found.withColumn("fence", F.col("q3") + p.fence_k * (F.col("q3") - F.col("q1")))
     return fenced.withColumn("threshold", F.greatest("fence", F.lit(p.fence_floor)))
+
+
+def day_amounts(rows: DataFrame) -> DataFrame:
+    """event_date, value and n: how often each amount of a successful payment occurs in a day.  Days add up exactly."""
+    good = rows.where(F.col("status") == "SUCCESS")
+    return good.groupBy("event_date", F.col("amount").cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def day_amount_sketches(rows: DataFrame, k: int = 2000) -> DataFrame:
+    """event_date and amounts: a mergeable sketch (KLL) of a day's successful amounts; ranks are within about 2.3 / k ** 0.9 of their own."""
+    good = rows.where((F.col("status") == "SUCCESS") & F.isnotnull("amount"))
+    return good.groupBy("event_date").agg(F.kll_sketch_agg_double(F.col("amount").cast("double"), k).alias("amounts"))
+
+
+def merged_quantiles(sketches: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """One row: the quantiles of all days' sketches together; null where there are none."""
+    whole = sketches.agg(F.kll_merge_agg_double("amounts").alias("all"), F.count(F.lit(1)).alias("days"))
+    return whole.select(*(F.when(F.col("days") > 0, F.kll_sketch_get_quantile_double("all", F.lit(share))).alias(name) for name, share in shares.items()))
+
+
+def merged_threshold(parts: DataFrame, p: Params) -> DataFrame:
+    """``threshold`` of days' counted amounts (``day_amounts``) or of their sketches (``day_amount_sketches``)."""
+    shares = {"q1": 0.25, "q3": 0.75}
+    return fence(counted_quantiles(parts, shares) if "n" in parts.columns else merged_quantiles(parts, shares), p)
+
+
+def payer_sketches(rows: DataFrame, *by: str, lg_k: int = 12) -> DataFrame:
+    """The columns ``by`` and payers: a mergeable sketch (HLL) of each group's distinct payers; relative errors of about 1.04 / 2 ** (lg_k / 2)."""
+    return rows.where(F.isnotnull("payer_key")).groupBy(*by).agg(F.hll_sketch_agg("payer_key", lg_k).alias("payers"))
+
+
+def merged_payers(sketches: DataFrame, *by: str) -> DataFrame:
+    """The columns ``by`` and payers: the distinct payers that the sketches together estimate."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("payers")).alias("payers"))

@@ -274,7 +274,7 @@ def rule_counts(spark, sf_dir):
 
 @query
 def combinations(spark, sf_dir):
-    return panels.combinations(_stored_fact(spark, sf_dir), FEED_PARAMS)
+    return panels.combinations(_fact(spark, sf_dir), FEED_PARAMS)
 
 
 @query
@@ -369,13 +369,13 @@ def _store(spark: SparkSession, folder: str, *, catalog: bool = False) -> tables
     return tables.Store(f"{folder}/store", catalog="spark_catalog", prefix=f"run_{folder.rpartition('-')[2]}_") if catalog else tables.Store(f"{folder}/store")
 
 
-def _run_all(spark: SparkSession, batches: list[DataFrame], dedupe: str, *, catalog: bool = False) -> tuple[tables.Store, list[dict]]:
-    """A store after one run of the streams for each batch of files, and the runs' reports."""
+def _run_all(spark: SparkSession, batches: list[DataFrame], dedupe: str, *, catalog: bool = False, gold: bool = False) -> tuple[tables.Store, list[dict]]:
+    """A store after one run of the streams (and of incremental gold) for each batch of files, and the runs' reports."""
     folder = scratch.new_folder(spark, "runs")
     store, reports = _store(spark, folder, catalog=catalog), []
     for lines in batches:
         lines.select("value").write.mode("append").text(f"{folder}/raw")
-        reports.append(pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT, which=pipeline.STAGES[:3], dedupe=dedupe))
+        reports.append(pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT, which=pipeline.STAGES[: 3 + gold], dedupe=dedupe, incremental=gold))
     return store, reports
 
 
@@ -487,3 +487,51 @@ def gold_daily(spark, sf_dir):
     store = tables.Store(f"{folder}/store")
     pipeline.run_pipeline(spark, store, FEED_PARAMS, folder=f"{folder}/raw", salt=SALT)
     return store.table(spark, pipeline.DAILY).rows()
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """The days' metrics after two runs, of which the second scores only what it changes: those of one run over everything."""
+    store, _ = _run_all(spark, _even_then_odd(spark, sf_dir), "table", gold=True)
+    return store.table(spark, pipeline.DAILY).rows(schemas.KPI_DAILY)
+
+
+@query
+def gold_incremental_dimensions(spark, sf_dir):
+    store, _ = _run_all(spark, _even_then_odd(spark, sf_dir), "table", gold=True)
+    return store.table(spark, pipeline.DIMENSION).rows(schemas.KPI_DIMENSION)
+
+
+#: Shares that the sketches of amounts are asked for, and how far the rank of what they answer may be off.
+SKETCHED, RANK_ERROR = {"q1": 0.25, "median": 0.5, "q3": 0.75, "percentile_995": 0.995}, 0.005
+
+
+@query
+def quantile_sketches(spark, sf_dir):
+    """For each share: whether the days' sketches together answer within the error, and the rows behind them."""
+    feed = _feed(spark, sf_dir)
+    found = features.merged_quantiles(features.day_amount_sketches(feed), SKETCHED).first()  # one row
+    counts = {n: F.struct(F.lit(n).alias("name"), F.lit(s).alias("share"), F.count_if(F.col("amount") < found[n]).alias("below"), F.count_if(F.col("amount") <= found[n]).alias("upto")) for n, s in SKETCHED.items()}
+    each = feed.where("status = 'SUCCESS'").agg(F.count(F.lit(1)).alias("rows"), F.array(*counts.values()).alias("each")).select("rows", F.inline("each"))
+    rank = F.col("share") * F.col("rows")
+    most = RANK_ERROR * F.col("rows") + 1
+    return each.select("name", "rows", ((F.col("below") <= rank + most) & (F.col("upto") >= rank - most)).alias("within"))
+
+
+@query
+def payer_sketches(spark, sf_dir):
+    """Each address's distinct payers, exactly, and whether its days' sketches together say so to 5 %."""
+    feed = _feed(spark, sf_dir)
+    exact = feed.groupBy("ip_hash").agg(F.count_distinct("payer_key").alias("payers"))
+    found = features.merged_payers(features.payer_sketches(feed, "ip_hash", "event_date"), "ip_hash").withColumnRenamed("payers", "estimate")
+    return exact.join(found, "ip_hash").select("ip_hash", "payers", (F.abs(F.col("estimate") - F.col("payers")) <= 0.05 * F.col("payers")).alias("within"))
+
+
+@query
+def payer_sketches_daily(spark, sf_dir):
+    """The same of each day, and of all days."""
+    feed = _feed(spark, sf_dir)
+    exact = feed.groupBy("event_date").agg(F.count_distinct("payer_key").alias("payers")).union(feed.agg(F.lit("all"), F.count_distinct("payer_key")))
+    days = features.payer_sketches(feed, "event_date")
+    found = features.merged_payers(days, "event_date").union(features.merged_payers(days.select(F.lit("all").alias("event_date"), "payers"), "event_date")).withColumnRenamed("payers", "estimate")
+    return exact.join(found, "event_date").select("event_date", "payers", (F.abs(F.col("estimate") - F.col("payers")) <= 0.05 * F.col("payers")).alias("within"))

@@ -14,7 +14,7 @@ CORRUPT = "_corrupt_record"
 
 _TYPES = {
     "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(), "timestamp": T.TimestampType(), "date": T.DateType(), "boolean": T.BooleanType(),
-    "array<string>": T.ArrayType(T.StringType()), "map<string;string>": T.MapType(T.StringType(), T.StringType()),
+    "decimal(38;2)": T.DecimalType(38, 2), "binary": T.BinaryType(), "array<string>": T.ArrayType(T.StringType()), "map<string;string>": T.MapType(T.StringType(), T.StringType()),
 }
 
 
@@ -40,4 +40,11 @@ LATE = _struct(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SILVER
 ALERTS = _struct("transaction_id string, event_time timestamp, event_date string, amount double, status string, payer_vpa_masked string, payee_vpa_masked string, payer_bank string, app string, city string, ip_hash string, fraud_score int, reasons array<string>")
 KPI_DAILY = _struct("event_date string, txn_count bigint, total_amount double, success_count bigint, success_rate double, avg_ticket double, distinct_payers bigint, flagged_count bigint, flagged_amount double")
 KPI_DIMENSION = _struct("dimension string, dimension_value string, txn_count bigint, total_amount double, avg_ticket double, success_rate double, flagged_count bigint")
+#: What gold keeps to go on from: by day the sums of dimensions and the amounts (counted, or as a sketch), by
+#: hash bucket the payers and days of each address, and the amount threshold after each batch.
+DIMENSION_DAYS = _struct("event_date string, dimension string, dimension_value string, txn_count bigint, success_count bigint, success_amount decimal(38;2), flagged_count bigint")
+DAY_AMOUNTS = _struct("event_date string, value double, n bigint")
+DAY_SKETCHES = _struct("event_date string, amounts binary")
+LINKS = _struct("ip_bucket int, ip_hash string, payer_key string, event_date string, batch_id bigint")
+LIMITS = _struct("batch_id bigint, threshold double")
 LABEL_FILE = _struct("generated_at string, labels map<string;string>")

@@ -155,6 +155,18 @@ class Table:
         else:
             df.write.format(self.store.format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(self.address)
 
+    def drop_parts(self, column: str, values: list[str]) -> None:
+        """The partitions of these values go, if they are there."""
+        if not values or not self.there():
+            return
+        if self.store.catalog:
+            self.spark.sql(f"ALTER TABLE {self.address} DROP IF EXISTS " + ", ".join(f"PARTITION ({column} = '{v}')" for v in values))
+            return
+        jvm = self.spark._jvm
+        for v in values:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.address}/{column}={v}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def drain(self, df: DataFrame, stage: str, *, by: tuple[str, ...] = ()) -> Drained:
         """Append what is new in the stream ``df``, exactly once by the stage's checkpoint, and wait for the end.
 

@@ -1,14 +1,17 @@
 import json
+import random
+from dataclasses import replace
 from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from paysieve import schemas
 from paysieve.params import Params
-from paysieve.plans import pipeline
+from paysieve.plans import increments, pipeline
 from paysieve.sources import tables
 from paysieve.sources.tables import Store
 from paysieve.streaming import stages
@@ -181,3 +184,53 @@ def test_late_rows_of_a_run_that_failed_come_with_the_next(spark, place, monkeyp
     place[2]("c.txt", line(4, hours=50))
     run(spark, place, pipeline.STAGES[:3])
     assert ids(spark, store, stages.LATE_TABLE) == ["T2", "T3", "T4"] and ids(spark, store) == ["T1", "T9"]
+
+
+def gold_rows(spark, store, where, schema=None):
+    drop = {"scored_at", "scoring_run_id"}
+    df = store.table(spark, where).rows(schema)
+    df = df.select(*(F.col(c).cast("string").alias(c) for c in sorted(set(df.columns) - drop)))
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_incremental_gold_is_the_whole_runs(spark, tmp_path, exact):
+    """Runs that move windows, addresses' payers and the threshold of days before."""
+    rng = random.Random(5)
+    p = replace(Params(), fence_floor=0.0, exact_fence=exact, velocity_most=2, fanout_most=2, ip_payers=3)
+
+    def silver(n, days):
+        rows = []
+        for i in range(n):
+            at = AT + timedelta(days=rng.choice(days), seconds=rng.choice([0, 30, 43_000, rng.randrange(86_400)]))
+            local = (at + timedelta(minutes=330)).strftime("%Y-%m-%d")
+            rows.append((f"R{rng.random()}", at, local, float(rng.choice([5, 10, 20, 900, 4000])), rng.choice(["SUCCESS", "FAILED"]), rng.choice(["p1", "p2", "p3", "p4", None]), rng.choice(["m1", "m2", "m3", "m4"]), rng.choice(["i1", "i2", None, f"i{n}"])))
+        own = spark.createDataFrame(rows, "transaction_id string, event_time timestamp, event_date string, amount double, status string, payer_key string, payee_key string, ip_hash string")
+        return own.select(*(F.col(c) if c in own.columns else F.lit("x" if f == "string" else None).cast(f).alias(c) for c, f in ((x.name, x.dataType.simpleString()) for x in schemas.SILVER.fields)))
+
+    store, whole = Store(str(tmp_path / "a")), Store(str(tmp_path / "b"))
+    for n, days in ((60, range(0, 10)), (20, range(8, 12)), (1, [30]), (15, range(-3, 2))):
+        new = silver(n, list(days)).cache()
+        for s in (store, whole):
+            s.table(spark, stages.SILVER_TABLE).append(new, by=("event_date",))
+        done = increments.refresh_gold(spark, store, p, "r")
+        pipeline.build_gold(spark, whole, p, "r")
+        if exact:
+            for where, schema in ((pipeline.FACT, None), (pipeline.ALERTS, None), (pipeline.DAILY, schemas.KPI_DAILY), (pipeline.DIMENSION, None)):
+                assert gold_rows(spark, store, where, schema) == gold_rows(spark, whole, where, schema), (where, n)
+        else:
+            assert store.table(spark, pipeline.FACT).count() == whole.table(spark, pipeline.FACT).count()
+    assert done["days"] > 0 and increments.refresh_gold(spark, store, p, "r")["scored"] == 0
+
+
+def test_incremental_gold_reads_few_days(spark, place):
+    place[2]("a.txt", *(line(i, hours=24 * i, ip_address=f"10.0.0.{i}") for i in range(40)))
+    run(spark, place, dedupe="table", incremental=True)
+    place[2]("b.txt", line(100, hours=24 * 20, ip_address="10.0.1.1"))
+    gold = run(spark, place, dedupe="table", incremental=True)["gold"]
+    assert gold["days"] <= 4 and gold["days_read"] <= 6 and gold["scored"] <= 4
+    assert place[0].table(spark, pipeline.FACT).count() == 41
+    place[2]("c.txt", line(101, hours=24 * 5, ip_address="10.0.0.30"))  # another payer on an address of an earlier day
+    assert run(spark, place, dedupe="table", incremental=True)["gold"]["days"] <= 8
+    counts = {r.transaction_id: r.payers_on_ip for r in place[0].table(spark, pipeline.FACT).rows().collect()}
+    assert counts["T30"] == counts["T101"] == 2 and counts["T29"] == 1
