@@ -176,8 +176,8 @@ def learn(labelled: DataFrame, *, most_rows: int | None = 20_000, shortest: int
     counts = shared.written(counts.where(share > base).select("part", "bad", "n", "spelt", ratio.alias("ratio")), "toxicity-counts")
     candidates = counts.count()
     kept: dict[str, tuple[int, int, int]] = {}
-    # as many as are beyond chance, which follows the language, not the rows: the best first, of equals the longest
-    best = counts.where((F.col("ratio") > math.log(max(1, candidates)) + 2) & (F.col("bad") > 0.8 * F.col("n"))).orderBy(F.desc("ratio"), F.desc(F.length("part")), "part").limit(20_000)
+    # all that are beyond chance; they are beginnings of words of the bounded sample.  The best first, of equals the longest
+    best = counts.where((F.col("ratio") > math.log(max(1, candidates)) + 2) & (F.col("bad") > 0.8 * F.col("n"))).orderBy(F.desc("ratio"), F.desc(F.length("part")), "part")
     for r in best.collect():
         if not any(r.part[:k] in kept for k in range(shortest, len(r.part) + 1)) and not any(k.startswith(r.part) for k in kept):
             kept[r.part] = (r.bad, r.n - r.bad, r.spelt)
