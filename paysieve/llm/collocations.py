@@ -133,21 +133,23 @@ def _words_of_block(block: list[_Words]) -> tuple[pa.Array, pa.Array, np.ndarray
 
 
 def _block_id(n: int) -> int:
-    return (TaskContext.get().partitionId() << 32) + n
+    """Of a task's n-th block; a task has less than 2^11, of which each is of megabytes."""
+    if n >= 1 << 11:
+        raise ValueError("a partition has too many blocks: use larger blocks or smaller partitions")
+    return (TaskContext.get().partitionId() << 11) + n
 
 
-#: Rows of a block: one for each distinct key, and one that has the keys' codes in order.
-_ROW = ["key", "block", "code", "n", "codes"]
+#: Rows of a block: one for each distinct key, at its place (block * 2^32 + code), and one at -1 - block that has the keys' codes in order.
+_ROW = ["key", "place", "n", "codes"]
 
 
 def _rows(block: int, key: pa.Array, counts: np.ndarray, codes: np.ndarray | None, at_once: int = 1 << 16):
-    """The keys have the codes 0, 1, ...; a key at or after ``len(counts)`` codes has none."""
     n = len(key)
-    whole = pa.RecordBatch.from_arrays([key, pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(counts, pa.int64()), pa.nulls(n, pa.binary())], _ROW)
+    whole = pa.RecordBatch.from_arrays([key, pa.array((block << 32) + np.arange(n)), pa.array(counts, pa.int64()), pa.nulls(n, pa.binary())], _ROW)
     for a in range(0, n, at_once):
         yield whole.slice(a, at_once)
     if codes is not None:
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, key.type), pa.array([block]), pa.nulls(1, pa.int32()), pa.array([n], pa.int64()), pa.array([_squeezed(codes)], pa.binary())], _ROW)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, key.type), pa.array([-1 - block]), pa.array([n], pa.int64()), pa.array([_squeezed(codes)], pa.binary())], _ROW)
 
 
 def _word_rows(batches, most_bytes: int):
@@ -185,30 +187,42 @@ def _put(codes: np.ndarray, number: np.ndarray, id_of: np.ndarray, n_codes: int)
     return ids[~gone]
 
 
-def _pairs_of_blocks(keyed: DataFrame, table: DataFrame, *, with_codes: bool) -> DataFrame:
+def _found_often(keyed: DataFrame, least: int, name: str) -> DataFrame:
+    """key, place and f of the keys that occur ``least`` times or more, written.
+
+    One shuffle by key serves the count and the way back to the places.  A key has a row a block at most.
+    """
+    rows = keyed.where("place >= 0").select("key", "place", "n").repartition("key")
+    often = rows.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    return shared.written(rows.select("key", "place").join(often.hint("shuffle_hash"), "key"), name, **_PACKED)
+
+
+def _pairs_of_blocks(keyed: DataFrame, places: DataFrame, table: DataFrame, *, with_codes: bool) -> DataFrame:
     """Rows of neighbouring ids, where the blocks' keys are replaced by their ids of ``table``; other keys are breaks."""
-    found = shared.joined_by_key(keyed.where("code is not null").select("key", "block", "code"), table.select("key", "id", "rows"), "key", "block").select("block", "code", "id")
-    blocks = keyed.where("codes is not null").select(F.col("block").alias("own_block"), F.col("n").alias("n_codes"), "codes")
+    found = places.select("key", "place").join(table.select("key", "id"), "key").select(F.shiftright("place", 32).alias("block"), F.col("place").bitwiseAND((1 << 32) - 1).alias("code"), "id")
+    blocks = keyed.where("place < 0").select((-1 - F.col("place")).alias("own_block"), F.col("n").alias("n_codes"), "codes")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows != 1:
             raise ValueError("a block is not written once")
         codes = _spread_out(left.column("codes")[0].as_py())
-        number, id_of = right.column("code").to_numpy().astype(np.int64), right.column("id").to_numpy()
-        ids = _put(codes, number, id_of, left.column("n_codes")[0].as_py())
+        ids = _put(codes, right.column("code").to_numpy(), right.column("id").to_numpy(), left.column("n_codes")[0].as_py())
         out = pa.Table.from_batches(_pair_rows(left.column("own_block")[0].as_py(), ids, with_codes=with_codes), schema=_PAIR_SCHEMA)
         pa.default_memory_pool().release_unused()
         return out
 
     # a block has no more codes than words, so a group is bounded by the block
-    return blocks.groupBy("own_block").cogroup(found.groupBy("block")).applyInArrow(joined, "key long, block long, code int, n long, codes binary")
+    return blocks.groupBy("own_block").cogroup(found.groupBy("block")).applyInArrow(joined, "key long, place long, n long, codes binary")
 
 
-_PAIR_SCHEMA = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("code", pa.int32()), ("n", pa.int64()), ("codes", pa.binary())])
+_PAIR_SCHEMA = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("n", pa.int64()), ("codes", pa.binary())])
+#: Ascending numbers are stored as small differences.
+_PACKED = {"compression": "zstd", "parquet.writer.version": "v2"}
 
 
 def ranked(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
     """``df`` with ``id`` 0, 1, ... in this order, written; no task has more than a range of the rows."""
+    df = shared.written(df, f"{name}-unordered")  # range partitioning reads it twice
     rows = shared.written(df.repartitionByRange(shared.partitions(df.sparkSession), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), name)
     part = F.shiftright("_at", 33)
     sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
@@ -217,11 +231,6 @@ def ranked(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
     return rows.join(F.broadcast(before), part == F.col("_part")).withColumn("id", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_before")
 
 
-def _frequent(keyed: DataFrame, least: int, name: str) -> DataFrame:
-    own = keyed.where("code is not null").groupBy("key").agg(F.sum("n").alias("f"), F.count(F.lit(1)).alias("rows"))
-    return shared.written(own.where(F.col("f") >= least), name)
-
-
 def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str = "text", least: int = 30, block_bytes: int = 16 << 20) -> tuple[DataFrame, list[DataFrame]]:
     """(group, n), all words of each group; and for one to four words the table of the phrases that occur ``least`` times or more.
 
@@ -230,18 +239,24 @@ def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str
     of the other words, for k = 1, 2, ...
     """
     texts = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("group"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    keyed = shared.written(texts.mapInArrow(lambda b: _word_rows(b, block_bytes), "key string, block long, code int, n long, codes binary"), "words")
+    keyed = shared.written(texts.mapInArrow(lambda b: _word_rows(b, block_bytes), "key string, place long, n long, codes binary"), "words", **_PACKED)
     word = F.substring_index("key", " ", -1)
     group = F.expr("left(key, length(key) - length(substring_index(key, ' ', -1)) - 1)")
     totals = keyed.where("key like '% '").groupBy(group.alias("group")).agg(F.sum("n").alias("n"))
     keyed = keyed.where("key is null or key not like '% '")
-    named = _frequent(keyed, least, "frequent-1").select("key", "f", "rows", group.alias("group"), word.alias("phrase"))
+    places = _found_often(keyed, least, "places-1")
+    named = places.groupBy("key").agg(F.first("f").alias("f")).select("key", "f", group.alias("group"), word.alias("phrase"))
     none = F.array().cast("array<long>")
     table = ranked(named, "phrases-1", [F.col("group"), F.desc("f"), F.col("phrase")]).withColumns({"heads": none, "tails": none})
     tables = [table]
     for size in range(2, LONGEST + 1):
-        keyed = shared.written(_pairs_of_blocks(keyed, table, with_codes=size < LONGEST), f"pairs-{size}")
-        pairs = _frequent(keyed, least, f"frequent-{size}").withColumns({"a": F.shiftright("key", 31), "b": F.col("key").bitwiseAND(_MOST - 1)})
+        keyed = shared.written(_pairs_of_blocks(keyed, places, table, with_codes=size < LONGEST), f"pairs-{size}", **_PACKED)
+        if size < LONGEST:
+            places = _found_often(keyed, least, f"places-{size}")
+            pairs = places.groupBy("key").agg(F.first("f").alias("f"))
+        else:
+            pairs = keyed.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        pairs = pairs.withColumns({"a": F.shiftright("key", 31), "b": F.col("key").bitwiseAND(_MOST - 1)})
         first = table.select("group", F.col("phrase").alias("_first"), F.col("id").alias("a"), F.array_append("heads", F.col("f")).alias("heads"))
         second = table.select(F.substring_index("phrase", " ", -1).alias("_last"), F.col("id").alias("b"), F.array_prepend("tails", F.col("f")).alias("tails"))
         whole = pairs.join(first, "a").join(second, "b").withColumn("phrase", F.concat_ws(" ", "_first", "_last")).drop("_first", "_last")

@@ -45,10 +45,10 @@ def new_name(name: str, taken: list[str]) -> str:
     return name
 
 
-def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, by: list[str] | None = None, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe when executors are lost."""
     path = new_path(df.sparkSession, name)
-    writer = df.write.partitionBy(*by) if by else df.write
+    writer = (df.write.partitionBy(*by) if by else df.write).options(**options)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
