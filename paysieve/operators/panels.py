@@ -87,3 +87,42 @@ def amount_histogram(fact: DataFrame) -> DataFrame:
     step = F.floor(2 * F.log10("amount")) / 2
     own = fact.where(kpis.successful()).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("transactions"))
     return own.select(C.rounded(F.pow(F.lit(10.0), F.col("step")), 4).alias("bucket"), "transactions").orderBy("bucket")
+
+
+COUNTED = ("bands", "histogram", "rules", "combinations", "amount_histogram")
+
+
+def counted(fact: DataFrame, p: Params) -> DataFrame:
+    """The counts of all panels that count rows, in one scan and one aggregate: panel, key, risk_band, transactions, in_alerts.
+
+    A row counts in each panel that it belongs to: in that of its band, its score's bucket, each rule that fired, its combination
+    of rules, and its amount's half decade.  Keys are text.  The rules and buckets bound the result.
+    """
+    bucket = (F.floor(F.col("fraud_score") / p.score_bucket) * p.score_bucket).cast("long")
+    half = F.floor(2 * F.log10("amount"))
+    combination = F.array_join(F.array_sort("reasons"), " + ")
+    entry = lambda panel, key, band=None: F.struct(F.lit(panel).alias("panel"), key.cast("string").alias("key"), (F.lit(None).cast("string") if band is None else band).alias("band"))
+    own = F.array(
+        entry("bands", F.col("risk_band")),
+        entry("histogram", bucket),
+        F.when(F.size("reasons") > 0, entry("combinations", combination, F.col("risk_band"))),
+        F.when(kpis.successful(), entry("amount_histogram", half)),
+    )
+    every = F.concat(F.array_compact(own), F.transform("reasons", lambda r: entry("rules", r)))
+    each = fact.select((F.col("risk_band") == HIGH).alias("_alert"), F.explode(every).alias("_e"))
+    return each.groupBy("_e.panel", "_e.key", F.col("_e.band").alias("risk_band")).agg(F.count(F.lit(1)).alias("transactions"), F.count_if("_alert").alias("in_alerts"))
+
+
+def of_counted(counts: DataFrame, p: Params) -> dict[str, DataFrame]:
+    """The panels ``COUNTED`` from ``counted``, as each would be on its own."""
+    of = lambda panel: counts.where(F.col("panel") == panel)
+    whole = Window.partitionBy()  # over a row for each combination and band
+    pairs = of("combinations").select(F.col("key").alias("combination"), "risk_band", "transactions")
+    shown = pairs.withColumn("every", F.sum("transactions").over(whole)).orderBy(F.desc("transactions"), "combination", "risk_band").limit(p.top_combinations)
+    return {
+        "bands": of("bands").select(F.col("key").alias("risk_band"), "transactions").orderBy("risk_band"),
+        "histogram": of("histogram").select(F.col("key").cast("long").alias("bucket"), "transactions").orderBy("bucket"),
+        "rules": of("rules").select(F.col("key").alias("rule"), F.col("transactions").alias("fired"), "in_alerts").orderBy(F.desc("fired"), "rule"),
+        "combinations": shown.withColumn("other", F.col("every") - F.sum("transactions").over(whole)).drop("every").orderBy(F.desc("transactions"), "combination", "risk_band"),
+        "amount_histogram": of("amount_histogram").select(C.rounded(F.pow(F.lit(10.0), F.col("key").cast("long") / 2), 4).alias("bucket"), "transactions").orderBy("bucket"),
+    }

@@ -535,3 +535,51 @@ def payer_sketches_daily(spark, sf_dir):
     days = features.payer_sketches(feed, "event_date")
     found = features.merged_payers(days, "event_date").union(features.merged_payers(days.select(F.lit("all").alias("event_date"), "payers"), "event_date")).withColumnRenamed("payers", "estimate")
     return exact.join(found, "event_date").select("event_date", "payers", (F.abs(F.col("estimate") - F.col("payers")) <= 0.05 * F.col("payers")).alias("within"))
+
+
+def _stored_alerts(spark: SparkSession, sf_dir: str) -> tables.Store:
+    """Alerts by day, their search index and its counts, in a store."""
+    store = tables.Store(scratch.new_folder(spark, "alerts"))
+    store.table(spark, pipeline.ALERTS).replace(scoring.alerts(_fact(spark, sf_dir)), by=("event_date",))
+    pipeline.index_alerts(spark, store)
+    return store
+
+
+@query
+def alert_search_indexed(spark, sf_dir):
+    """A search by the index of grams."""
+    return _reasons_as_text(pipeline.search_alerts(spark, _stored_alerts(spark, sf_dir), text=" 0042")).select(*ALERT)
+
+
+@query
+def alert_grams(spark, sf_dir):
+    """How many alerts have each run of three letters."""
+    store = _stored_alerts(spark, sf_dir)
+    return store.table(spark, pipeline.GRAM_COUNTS).rows()
+
+
+@query
+def alert_page_after(spark, sf_dir):
+    """The second page of the latest alerts, from the last row of the first."""
+    own = scoring.alerts(_fact(spark, sf_dir))
+    first = A.page_after(own, sort="event_time").collect()  # a page
+    return _reasons_as_text(A.page_after(own, first[-1] if first else None, sort="event_time")).select(*ALERT)
+
+
+@query
+def panels_at_once(spark, sf_dir):
+    """The counts of five panels by one scan."""
+    return panels.counted(_fact(spark, sf_dir), FEED_PARAMS)
+
+
+@query
+def panels_exported(spark, sf_dir):
+    """Panels of a whole export, as read back from their files."""
+    store = tables.Store(scratch.new_folder(spark, "export"))
+    fact = _fact(spark, sf_dir)
+    for where, df in ((pipeline.FACT, fact), (pipeline.DAILY, kpis.daily(fact)), (pipeline.DIMENSION, kpis.by_dimension(fact))):
+        store.table(spark, where).replace(df)
+    folder = scratch.new_folder(spark, "panels")
+    pipeline.export_panels(spark, store, FEED_PARAMS, folder, labels=feeds.labels(_feed(spark, sf_dir)), environment="test", most_alerts=15)
+    read = lambda name, key, of: tables.read_panel(spark, f"{folder}/{name}", f"{key} string, {of} long").select(F.lit(name).alias("panel"), F.col(key).alias("key"), F.col(of).alias("rows"))
+    return read("bands", "risk_band", "transactions").union(read("histogram", "bucket", "transactions")).union(read("rules", "rule", "fired")).union(read("daily", "event_date", "txn_count")).union(read("dimensions", "dimension_value", "txn_count")).union(read("detection", "injected_type", "injected")).union(read("alerts", "transaction_id", "fraud_score"))

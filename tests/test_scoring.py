@@ -149,3 +149,90 @@ def test_a_payers_windows_reach_over_the_spans(spark):
         got = found[f"T{i:04}"]
         assert got.txns_in_window == sum(t - 90 <= at[j] <= t for j in same)
         assert got.distinct_payees_in_window == len({at[j] % 7 for j in same if t - 200 <= at[j] <= t})
+
+
+def many_alerts(spark, n=300):
+    import random
+
+    rng = random.Random(11)
+    own = [(f"T{rng.randrange(200):03}", f"2026-08-{rng.randrange(1, 9):02}", float(rng.choice([5, 7, 9])), rng.choice([50, 60, None]), NOON + timedelta(hours=rng.randrange(4)), rng.choice(["Pune", "Paris", None]), rng.choice(["PayQ", "", "ab"]), rng.choice([["fanout"], ["velocity"]])) for _ in range(n)]
+    return spark.createDataFrame(own, "transaction_id string, event_date string, amount double, fraud_score int, event_time timestamp, city string, app string, reasons array<string>").dropDuplicates(["transaction_id"])
+
+
+def test_indexed_search_finds_what_a_scan_finds(spark):
+    found = many_alerts(spark).cache()
+    index = alerts.grams(found).cache()
+    counts = alerts.gram_counts(index).cache()
+    for text in ["t01", "T0", " pune", "paris payq", "une a", "zzz", "", None, "e", "199 pune", "%", "payq\\"]:
+        want = sorted(r.transaction_id for r in alerts.search(found, text=text).collect())
+        assert sorted(r.transaction_id for r in alerts.indexed_search(found, index, counts, text=text).collect()) == want, text
+    assert alerts.indexed_search(found, index, counts, text="pune", rules=["fanout"]).count() == alerts.search(found, text="pune", rules=["fanout"]).count()
+
+
+def test_search_reads_few_folders_of_a_stored_index(spark, tmp_path):
+    from paysieve.plans import pipeline
+    from paysieve.sources.tables import Store
+
+    store = Store(str(tmp_path))
+    fact = scoring.fact(rows(spark, *({"event_time": NOON + timedelta(seconds=i), "payee_key": f"m{i}", "amount": 60_000.0} for i in range(40))), P)
+    store.table(spark, pipeline.ALERTS).replace(scoring.alerts(fact), by=("event_date",))
+    pipeline.index_alerts(spark, store)
+    found = pipeline.search_alerts(spark, store, text="t0039")
+    assert [r.transaction_id for r in found.collect()] == ["T0039"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[-1] + plan
+    assert pipeline.search_alerts(spark, store, text="nothing").count() == 0
+
+
+@pytest.mark.parametrize("sort", ["fraud_score", "amount", "event_time"])
+def test_pages_after_one_another_are_the_whole_order(spark, sort):
+    found = many_alerts(spark).cache()
+    keys = alerts.ORDERS[sort]
+    want = [r.transaction_id for r in found.orderBy(*map(F.desc, keys), "transaction_id").collect()]
+    got, last = [], None
+    while page := alerts.page_after(found, last, sort=sort, size=37).collect():
+        got += [r.transaction_id for r in page]
+        last = page[-1]
+    assert got == want and len(set(r.amount for r in found.collect())) < 4
+
+
+def test_panels_of_one_scan_are_each_panels_own(spark):
+    burst = [{"event_time": NOON + timedelta(seconds=i), "payee_key": f"m{i}", "amount": 60_000.0 if i % 3 else 0.5, "status": "FAILED" if i % 5 == 0 else "SUCCESS"} for i in range(40)]
+    fact = scoring.fact(rows(spark, *burst, *({"payer_key": f"p{i}"} for i in range(9))), P).cache()
+    found = panels.of_counted(panels.counted(fact, P), P)
+    own = {"bands": quality.band_counts(fact), "histogram": panels.score_histogram(fact, P), "rules": panels.rule_counts(fact), "combinations": panels.combinations(fact, P), "amount_histogram": panels.amount_histogram(fact)}
+    assert set(found) == set(own) == set(panels.COUNTED)
+    for name, df in own.items():
+        assert found[name].columns == df.columns and [tuple(r) for r in found[name].collect()] == [tuple(r) for r in df.collect()], name
+
+
+def test_a_busy_payer_has_a_row_a_second(spark):
+    """Half the rows are one payer's: no window has more rows than a bucket has seconds, and both counts are right."""
+    import time
+
+    n = 40_000
+    hot = spark.range(n).select(F.lit("p").alias("payer_key"), (F.col("id") * 7919 % 30_000).cast("string").alias("payee_key"), F.floor(F.col("id") * 3600 / n).alias("event_epoch"), F.col("id").cast("string").alias("transaction_id"))
+    most = features.moments(hot, P).groupBy("_payer", "_bucket").count().agg(F.max("count")).first()[0]
+    assert most <= min(features.bucket_seconds(P) + 1, 3 * 3600)
+    features.payer_windows(hot, P).count()
+    began = time.monotonic()
+    got = features.payer_windows(hot, P).where("event_epoch = 3599").select("txns_in_window", "distinct_payees_in_window").distinct().collect()
+    assert time.monotonic() - began < 15  # a fraction of this on an idle machine; a set for each row takes minutes
+    at = [i * 3600 // n for i in range(n)]
+    assert [tuple(r) for r in got] == [(sum(3299 <= t for t in at), len({i * 7919 % 30_000 for i in range(n)}))]
+
+
+def test_sketches_of_days_add_up(spark):
+    own = rows(spark, *({"amount": float(i), "event_time": NOON + timedelta(days=i % 5), "payer_key": f"p{i % 700}"} for i in range(3000)))
+    found = features.merged_quantiles(features.day_amount_sketches(own), {"a": 0.25, "b": 0.995}).first()
+    assert abs(found.a - 750) <= 15 and abs(found.b - 2985) <= 15
+    assert features.merged_quantiles(features.day_amount_sketches(own.limit(0)), {"a": 0.25}).first().a is None
+    assert features.merged_threshold(features.day_amounts(own), replace(P, fence_floor=0.0)).first().threshold == features.threshold(own, replace(P, fence_floor=0.0, exact_fence=True)).first().threshold
+    assert features.merged_threshold(features.day_amount_sketches(own.limit(0)), P).first().threshold == 50_000
+    assert abs(features.merged_payers(features.payer_sketches(own, "event_date")).first().payers - 700) <= 35
+
+
+def test_label_files_of_one_time_are_told_apart_by_name(spark):
+    files = spark.createDataFrame([("2026", "b.json", {"x": "late"}), ("2026", "a.json", {"x": "early"}), ("2025", "c.json", {"x": "old"})], "generated_at string, file string, labels map<string,string>")
+    assert [tuple(r) for r in quality.labels_of(files).collect()] == [("x", "late")]
+    assert [tuple(r) for r in quality.labels_of(files.drop("file")).collect()] == [("x", "late")]
