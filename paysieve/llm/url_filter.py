@@ -97,6 +97,28 @@ def candidates(host: str, path: str, path_lengths: list[int], longest_host: int)
     return sorted((h + path[:k] for h in labels for k in fit), key=lambda s: (-len(s), s))
 
 
+def _verdicts(array: DigestArray, parts: list[tuple[str, str]], default: str, at_once: int = 1 << 15) -> Iterator[tuple[str | None, str]]:
+    """Rule and verdict of each host and path; about ``at_once`` strings are probed together, whatever the rules' path lengths."""
+    waiting: list[list[str]] = []
+
+    def settled() -> Iterator[tuple[str | None, str]]:
+        hits, at = array.find([s.encode() for own in waiting for s in own]), 0
+        for own in waiting:
+            found = np.flatnonzero(hits[at : at + len(own)] >= 0)
+            yield (own[found[0]], "block" if array.block[hits[at + found[0]]] else "allow") if len(found) else (None, default)
+            at += len(own)
+        waiting.clear()
+
+    strings = 0
+    for host, path in parts:
+        waiting.append(candidates(host, path, array.path_lengths, array.longest_host))
+        strings += len(waiting[-1])
+        if strings >= at_once:
+            yield from settled()
+            strings = 0
+    yield from settled()
+
+
 def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: str = "allow", url_col: str = "url", keep: tuple[str, ...] = ("page_id",), most_bytes: int = 1 << 30) -> DataFrame:
     """host, path, rule and verdict of every url, beside the columns of ``keep``.
 
@@ -107,9 +129,12 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: s
     are tried.  An empty table gives no rows, no rules give ``default`` throughout.  A column of ``keep`` that has a
     new one's name gives way to it.
 
-    The array is sent to each executor once as a file; a list of over ``most_bytes`` is refused.
+    The array is sent to each executor once as a file; a list of over ``most_bytes`` is refused, and so is a rule without a
+    host or a path.
     """
     spark = urls.sparkSession
+    if any(host is None or where is None for _, host, where in rules):
+        raise ValueError("a rule has no host or no path")
     folder = tempfile.mkdtemp(prefix="paysieve-")
     name = f"rules-{uuid.uuid4().hex}.bin"
     path = os.path.join(folder, name)
@@ -126,19 +151,7 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]], *, default: s
         array = _opened(name)
         for batch in (part for whole in batches for part in shared.slices(whole, own_url)):
             parts = [host_and_path(u) for u in batch.column(own_url).to_pylist()]
-            tried = [candidates(h, p, array.path_lengths, array.longest_host) for h, p in parts]
-            hits = array.find([s.encode() for own in tried for s in own])
-            rules_out, verdicts, at = [], [], 0
-            for own in tried:
-                found = hits[at : at + len(own)]
-                first = int(np.argmax(found >= 0)) if len(own) else 0
-                if len(own) and found[first] >= 0:
-                    rules_out.append(own[first])
-                    verdicts.append("block" if array.block[found[first]] else "allow")
-                else:
-                    rules_out.append(None)
-                    verdicts.append(default)
-                at += len(own)
+            rules_out, verdicts = zip(*_verdicts(array, parts, default), strict=True)
             columns = [pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array(rules_out, pa.string()), pa.array(verdicts, pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *columns], [*keep, *new])
 

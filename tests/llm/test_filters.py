@@ -311,3 +311,25 @@ def test_pipeline_against_a_composed_brute_force(spark):
     check_packing(whole, kept)
     assert {(r.doc_id, r.doc_tokens) for r in rows} == {(r.doc_id, r.doc_tokens) for r in whole}
     assert sum(r.length for r in rows) == sum(r.length for r in whole)
+
+
+def test_many_path_lengths_are_probed_a_few_strings_at_a_time(tmp_path):
+    """80 lengths of rules' paths and 8000 urls: 2.6 million strings, of which 32,768 are there at once."""
+    import tracemalloc
+
+    path = str(tmp_path / "rules.bin")
+    rules = [("block", "example.com", "/" + "a" * k) for k in range(80)]
+    url_filter.DigestArray.write(path, rules)
+    parts = [(f"w{i}.x.y.example.com", "/" + "a" * (i % 90) + "b" * 10) for i in range(8000)]
+    tracemalloc.start()
+    found = list(url_filter._verdicts(url_filter.DigestArray(path), parts, "allow"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+    for (_, p), (rule, verdict) in list(zip(parts, found, strict=True))[::97]:
+        assert verdict == "block" and rule == "example.com" + p[: min(80, len(p.rstrip("b")))]
+
+
+def test_a_rule_without_a_host_is_refused(spark):
+    with pytest.raises(ValueError, match="no host"):
+        url_filter.judge_urls(spark.createDataFrame([(1, "http://a/")], "page_id long, url string"), [("block", None, "/")])
