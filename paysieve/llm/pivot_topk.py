@@ -4,9 +4,9 @@ With one more component, chosen to give every vector the same norm, the highest
 least Euclidean distance.  Each vector is keyed by its nearest pivot and its distance to it;
 a pivot's vectors are cut by distance into annuli, and annuli into blocks of bounded size.  For a query
 at distance D of a pivot, the triangle inequality keeps all of an annulus [r, s] at distance
-max(D - s, r - D) at least.  Each query sorts the annuli by that bound and expands them in rounds: the k-th best
-score so far rules out the annuli beyond it, the nearest of the others are scored next, and the query stops
-when none is left.
+max(D - s, r - D) at least.  Each query sorts the annuli by that bound and expands them in two looks: the nearest ones
+first; the k-th best score in them then rules out the annuli beyond it, by that bound and by the largest norm of
+an annulus, and all others are scored.
 """
 
 from __future__ import annotations
@@ -84,13 +84,13 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32, annuli: int = 16, block: int = 1024, tile: int = 256, first_annuli: int = 2, sample: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32, annuli: int = 16, annulus_rows: int = 256, block_bytes: int = 4 << 20, tile: int = 256, first_annuli: int = 2, sample: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k highest inner products of floor(256 x).
 
     Queries are the rows where ``is_query`` holds; candidates are all rows but the query's own.  Ties go to
     the lesser id; with fewer candidates all are given.  Pivots come from ``sample`` rows at most; every row is
-    indexed, and the result is exact.  A round expands four times as many annuli as the one before, from
-    ``first_annuli`` on; there are at most pivots x annuli, however many rows there are.
+    indexed, and the result is exact.  A pivot has at most ``annuli`` annuli, of about ``annulus_rows`` rows at least; a query's first
+    look is at ``first_annuli``.  Queries go to blocks of about ``block_bytes`` of codes, in tiles of ``tile``.
 
     Rows with a null id, a null vector, or a null or non-finite component take no part.  Shorter
     vectors are as if they ended in zeros.  Rows that repeat an id are separate candidates, of each other too, and
@@ -125,7 +125,10 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
 
     some = rows.orderBy(F.xxhash64("vec_id"), "code").limit(sample).select("code").collect()
     points = farthest_first(np.unique(np.array([np.frombuffer(bytes(r.code), kind) for r in some], dtype=np.float64).reshape(-1, dims), axis=0), pivots)
-    square = rows.agg(F.max("square")).first()[0]
+    extent = rows.agg(F.max("square").alias("square"), F.count("*").alias("n")).first()
+    square = extent.square
+    annuli = min(annuli, -(-extent.n // (len(points) * annulus_rows)))
+    block = max(1, block_bytes // (dims * np.dtype(kind).itemsize))
     if square >= MOST:
         raise ValueError("a vector is so long that scores do not fit a long")
     summed = np.float64 if square < EXACT else np.int64
@@ -135,26 +138,32 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
         for batch in batches:
             far = index.distances(matrix(batch.column("code")))
             near = far.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(near)), near])], ["rid", "vec_id", "q", "code", "pivot", "far"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(near)), near])], ["rid", "vec_id", "q", "code", "square", "pivot", "far"])
 
-    placed = shared.written(rows.mapInArrow(keyed, "rid long, vec_id long, q boolean, code binary, pivot int, far double"), "pivot-distances")
+    placed = shared.written(rows.mapInArrow(keyed, "rid long, vec_id long, q boolean, code binary, square double, pivot int, far double"), "pivot-distances")
     # annuli of each pivot by its vectors' distances: `pivots` rows
-    cuts = {r.pivot: np.unique(r.cuts) for r in placed.groupBy("pivot").agg(F.percentile_approx("far", [i / annuli for i in range(1, annuli)], 1000).alias("cuts")).collect()}
+    cuts = {p: np.zeros(0) for p in range(len(points))} if annuli < 2 else {r.pivot: np.unique(r.cuts) for r in placed.groupBy("pivot").agg(F.percentile_approx("far", [i / annuli for i in range(1, annuli)], 1000).alias("cuts")).collect()}
     ring_of = F.pandas_udf(lambda p, d: _ring(cuts, p, d), "int")
     ringed = placed.withColumn("ring", ring_of("pivot", "far"))
-    rings = sorted(ringed.groupBy("pivot", "ring").agg(F.count("*").alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).collect())  # pivots x annuli rows
-    owner, low, high = (np.array([r[c] for r in rings]) for c in ("pivot", "low", "high"))
+    rings = sorted(ringed.groupBy("pivot", "ring").agg(F.count("*").alias("n"), F.min("far").alias("low"), F.max("far").alias("high"), F.sqrt(F.max("square")).alias("norm")).collect())  # pivots x annuli rows
+    owner, low, high, norms = (np.array([r[c] for r in rings]) for c in ("pivot", "low", "high", "norm"))
     number = F.create_map(*(F.lit(v) for i, r in enumerate(rings) for v in (r.pivot * 1000 + r.ring, i)))
     parts_of = F.array(*(F.lit(int(-(-r.n // block))) for r in rings))
     ringed = ringed.withColumn("annulus", number[F.col("pivot") * 1000 + F.col("ring")])
     part = F.pmod(F.xxhash64("rid"), F.get(parts_of, F.col("annulus"))).cast("int")
     blocks = ringed.groupBy("annulus", part.alias("part")).agg(F.collect_list(F.struct("rid", "vec_id", "code")).alias("rows"))
 
-    # queries in tiles: alike ones together
+    # queries in tiles: alike ones together, few ones of several pivots in one
     asked = placed.where("q").select("rid", "vec_id", "code", "pivot")
-    per_pivot = asked.groupBy("pivot").agg(F.ceil(F.count("*") / tile).alias("parts"))
-    tiles = asked.join(per_pivot, "pivot").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts"))).groupBy("pivot", "part").agg(F.collect_list(F.struct("rid", "vec_id", "code")).alias("queries")).withColumn("tile", F.concat_ws("-", "pivot", "part"))
-    tiles = shared.written(tiles.select("tile", "queries"), "query-tiles")
+    first, shares, filled = {}, {}, 0
+    for r in asked.groupBy("pivot").agg(F.count("*").alias("n")).orderBy("pivot").collect():  # `pivots` rows
+        first[r.pivot], shares[r.pivot] = filled // tile, -(-r.n // tile)
+        filled += r.n
+    if not filled:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    of_pivot = lambda d: F.create_map(*(F.lit(int(x)) for kv in d.items() for x in kv))[F.col("pivot")]
+    tiles = asked.withColumn("tile", of_pivot(first) + F.pmod(F.xxhash64("rid"), of_pivot(shares))).groupBy("tile").agg(F.collect_list(F.struct("rid", "vec_id", "code")).alias("queries"))
+    tiles = shared.written(tiles, "query-tiles")
 
     def bounds(q: np.ndarray) -> np.ndarray:
         """Least distance that a vector of each annulus can have to each query; nothing for a zero query."""
@@ -181,6 +190,9 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
                     reach = np.sqrt(np.maximum(reach, 0)) * (1 + 1e-9) + 1e-6 * max(1.0, index.norm)
                     bound = bounds(q)
                     near = np.where(bound <= reach[:, None], bound + 1e-9 * index.query_distances(q)[:, owner], np.inf)
+                    # no product is larger than that of the norms
+                    norm = np.sqrt((q * q).sum(axis=1))
+                    near[norm[:, None] * norms[None, :] * (1 + 1e-9) < least[:, None]] = np.inf
                     near[:, batch.column("seen")[i].as_py() or []] = np.inf
                     order = np.argsort(near, axis=1, kind="stable")[:, :width]
                     to.append(np.unique(order[np.isfinite(np.take_along_axis(near, order, axis=1))]).tolist())
@@ -205,12 +217,11 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "rid")
     tops = spark.createDataFrame([], "query long, query_id long, rid long, vec_id long, score long, rank int")
     seen = tiles.select("tile", F.array().cast("array<int>").alias("seen"))
-    width, rounds = first_annuli, 0
-    while True:
+    for width in (first_annuli, len(rings)):
         least = tops.where(F.col("rank") == k).select(F.col("query").alias("rid"), F.col("score").alias("least"))
         of_tile = tiles.select("tile", F.explode("queries.rid").alias("rid")).join(least, "rid").groupBy("tile").agg(F.collect_list(F.struct("rid", "least")).alias("m")).select("tile", F.col("m.rid").alias("rids"), F.col("m.least").alias("least"))
         state = tiles.join(seen, "tile").join(of_tile, "tile", "left").select("tile", "queries", "seen", "rids", "least")
-        step = shared.written(state.mapInArrow(expanded(width), "tile string, to array<int>").where(F.size("to") > 0), "annuli-asked")
+        step = shared.written(state.mapInArrow(expanded(width), "tile long, to array<int>").where(F.size("to") > 0), "annuli-asked")
         if step.isEmpty():
             break
         parts = F.sequence(F.lit(0), F.get(parts_of, F.col("annulus")) - 1)
@@ -220,9 +231,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, pivots: int = 32,
         found = tops.drop("rank").union(met.mapInArrow(scored, "query long, query_id long, rid long, vec_id long, score long"))
         tops = shared.written(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best-scores")
         seen = shared.written(seen.join(step, "tile", "left").select("tile", F.array_union("seen", F.coalesce("to", F.array().cast("array<int>"))).alias("seen")), "annuli-seen")
-        width, rounds = 4 * width, rounds + 1
     looked = seen.agg(F.sum(F.size("seen")).alias("looked"), F.count("*").alias("tiles")).first()
-    _log.info("%d rounds; tiles looked into %d of %d annuli", rounds, looked.looked or 0, looked.tiles * len(rings))
+    _log.info("tiles looked into %d of %d annuli", looked.looked or 0, looked.tiles * len(rings))
     return tops.select("query_id", "rank", "vec_id", "score")
 
 
