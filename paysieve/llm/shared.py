@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_FOLDER: list[str] = []
+_MADE: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,7 +35,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables that this process has written so far; how many there were.  Results that still read them fail afterwards."""
+    gone = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def new_name(name: str, taken: list[str]) -> str:

@@ -226,7 +226,7 @@ def test_pairs_are_counted_in_dense_and_sparse_tiles():
     assert len(collocations.counted_pairs(first[:0], second[:0])[0]) == 0
 
 
-@pytest.mark.parametrize("block_bytes", [16 << 20, 20_000])
+@pytest.mark.parametrize("block_bytes", [8 << 20, 20_000])
 def test_collocations_against_sql(spark, block_bytes):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     same_rows(collocations.collocations(docs, least=10, most=300, block_bytes=block_bytes), collocations.SQL.format(least=10, most=300), DATA)
@@ -245,3 +245,12 @@ def test_collocations_of_odd_tables(spark):
     assert collocations.collocations(odd(spark), least=1).count() == 2  # "a b", and the long word with "x"
     assert collocations.collocations(odd(spark).limit(0), least=1).count() == 0
     assert collocations.collocations(odd(spark).selectExpr("doc_id", "text", "cast(null as string) as lang"), least=1).select("lang").distinct().collect()[0].lang == "und"
+
+
+def test_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    shared.clear(spark)
+    made = shared.written(spark.range(3), "x")
+    folder = Path(made.inputFiles()[0].removeprefix("file://")).parent
+    assert made.count() == 3 and shared.clear(spark) == 1 and not folder.exists()
