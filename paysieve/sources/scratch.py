@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _OWN: list[str] = []
+_MADE: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -20,4 +21,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
         if not _OWN:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="paysieve-"))
         top = _OWN[0]
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the folders that this process has named so far; how many there were.  What still reads them fails afterwards."""
+    gone = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

@@ -49,3 +49,14 @@ def test_keys_are_stable_and_salted(spark):
     assert key == hashlib.sha256(b"suser@ok").hexdigest()[:16]
     assert one(spark, "user@ok", lambda c: C.keyed(c, "t")) != key
     assert one(spark, None, lambda c: C.keyed(c, "s")) is None
+
+
+def test_scratch_folders_can_be_cleared(spark):
+    from pathlib import Path
+
+    from paysieve.sources import scratch
+
+    folder = scratch.new_folder(spark, "x")
+    spark.range(3).write.parquet(folder)
+    assert Path(folder.removeprefix("file://")).exists() and scratch.clear(spark) >= 1
+    assert not Path(folder.removeprefix("file://")).exists() and scratch.clear(spark) == 0
