@@ -188,13 +188,20 @@ def _put(codes: np.ndarray, number: np.ndarray, id_of: np.ndarray, n_codes: int)
 
 
 def _found_often(keyed: DataFrame, least: int, name: str) -> DataFrame:
-    """key, place and f of the keys that occur ``least`` times or more, written.
+    """place, n and key of the keys that occur ``least`` times or more, and f at the first place of each, written.
 
     One shuffle by key serves the count and the way back to the places.  A key has a row a block at most.
     """
-    rows = keyed.where("place >= 0").select("key", "place", "n").repartition("key")
-    often = rows.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return shared.written(rows.select("key", "place").join(often.hint("shuffle_hash"), "key"), name, **_PACKED)
+    # both ways read all three columns; were one left out, Spark would shuffle the rows once for each
+    rows = keyed.where("place >= 0 and key is not null").select("key", "place", "n").repartition("key")
+    often = rows.groupBy("key").agg(F.sum("n").alias("f"), F.min("place").alias("_first")).where(F.col("f") >= least)
+    found = rows.join(often.hint("shuffle_hash"), "key").select("key", "place", "n", F.when(F.col("place") == F.col("_first"), F.col("f")).alias("f"))
+    return shared.written(found, name, **_PACKED)
+
+
+def _counts(places: DataFrame) -> DataFrame:
+    """key and f of each key."""
+    return places.where(F.isnotnull("f")).select("key", "f")
 
 
 def _pairs_of_blocks(keyed: DataFrame, places: DataFrame, table: DataFrame, *, with_codes: bool) -> DataFrame:
@@ -245,7 +252,7 @@ def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str
     totals = keyed.where("key like '% '").groupBy(group.alias("group")).agg(F.sum("n").alias("n"))
     keyed = keyed.where("key is null or key not like '% '")
     places = _found_often(keyed, least, "places-1")
-    named = places.groupBy("key").agg(F.first("f").alias("f")).select("key", "f", group.alias("group"), word.alias("phrase"))
+    named = _counts(places).select("key", "f", group.alias("group"), word.alias("phrase"))
     none = F.array().cast("array<long>")
     table = ranked(named, "phrases-1", [F.col("group"), F.desc("f"), F.col("phrase")]).withColumns({"heads": none, "tails": none})
     tables = [table]
@@ -253,7 +260,7 @@ def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str
         keyed = shared.written(_pairs_of_blocks(keyed, places, table, with_codes=size < LONGEST), f"pairs-{size}", **_PACKED)
         if size < LONGEST:
             places = _found_often(keyed, least, f"places-{size}")
-            pairs = places.groupBy("key").agg(F.first("f").alias("f"))
+            pairs = _counts(places)
         else:
             pairs = keyed.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         pairs = pairs.withColumns({"a": F.shiftright("key", 31), "b": F.col("key").bitwiseAND(_MOST - 1)})
