@@ -139,13 +139,14 @@ def _block_id(n: int) -> int:
     return (TaskContext.get().partitionId() << 11) + n
 
 
-#: Rows of a block: one for each distinct key, at its place (block * 2^32 + code), and one at -1 - block that has the keys' codes in order.
+#: Rows of a block: one for each distinct key, at its place (block * 2^32, for words with the word's code added), and one at -1 - block
+#: that has the words' codes, or the ids of which the pairs are made, in order.
 _ROW = ["key", "place", "n", "codes"]
 
 
-def _rows(block: int, key: pa.Array, counts: np.ndarray, codes: np.ndarray | None, at_once: int = 1 << 16):
+def _rows(block: int, key: pa.Array, counts: np.ndarray, codes: np.ndarray | None, *, numbered: bool = True, at_once: int = 1 << 16):
     n = len(key)
-    whole = pa.RecordBatch.from_arrays([key, pa.array((block << 32) + np.arange(n)), pa.array(counts, pa.int64()), pa.nulls(n, pa.binary())], _ROW)
+    whole = pa.RecordBatch.from_arrays([key, pa.array((block << 32) + np.arange(n) * numbered), pa.array(counts, pa.int64()), pa.nulls(n, pa.binary())], _ROW)
     for a in range(0, n, at_once):
         yield whole.slice(a, at_once)
     if codes is not None:
@@ -164,29 +165,49 @@ def _word_rows(batches, most_bytes: int):
         pa.default_memory_pool().release_unused()
 
 
-def _pair_rows(block: int, ids: np.ndarray, *, with_codes: bool):
-    """The key of a pair is first * 2^31 + second."""
-    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-    keys, counts = counted_pairs(ids[at], ids[at + 1])
+def _pair_rows(block: int, ids: np.ndarray, *, with_ids: bool):
+    """The key of a pair is first * 2^31 + second; its place is that of its block, whose last row has the ids themselves."""
+    keys, counts = counted_pairs(*_neighbours(ids)[1:])
     order = np.argsort(keys)
-    keys, codes = keys[order], None
-    if with_codes:
-        codes = np.full(len(ids), _BREAK, dtype=np.int64)
-        codes[at] = np.searchsorted(keys, ids[at] * _MOST + ids[at + 1])
-    yield from _rows(block, pa.array(keys, pa.int64()), counts[order], codes)
+    keys = pa.array(keys[order], pa.int64())
+    yield from _rows(block, keys, counts[order], ids if with_ids else None, numbered=False)
 
 
-def _put(codes: np.ndarray, number: np.ndarray, id_of: np.ndarray, n_codes: int) -> np.ndarray:
-    """The ids of the codes; a code without an id is a break, and breaks in a row are one."""
-    table = np.full(n_codes + 1, _BREAK, dtype=np.int64)
-    table[number] = id_of
-    ids = table[codes]  # a break's code, -1, is the last entry
+def _neighbours(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where an id and the next one are no breaks, and both."""
+    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+    return at, ids[at], ids[at + 1]
+
+
+def _one_break(ids: np.ndarray) -> np.ndarray:
+    """Breaks in a row become one."""
     gone = ids < 0
     gone[1:] &= gone[:-1].copy()
     gone[:1] = False
     return ids[~gone]
 
 
+def _ids_of_words(codes: np.ndarray, number: np.ndarray, id_of: np.ndarray) -> np.ndarray:
+    """The ids of the codes; a code without an id is a break."""
+    table = np.full(max(codes.max(initial=0), number.max(initial=0)) + 2, _BREAK, dtype=np.int64)
+    table[number] = id_of
+    return _one_break(table[codes])  # a break's code, -1, is the last entry
+
+
+def _ids_of_pairs(ids: np.ndarray, keys: np.ndarray, id_of: np.ndarray) -> np.ndarray:
+    """The ids of neighbours, at the place of the first; a pair without an id is a break."""
+    out = np.full(len(ids), _BREAK, dtype=np.int64)
+    if len(keys):
+        order = np.argsort(keys)
+        keys, id_of = keys[order], id_of[order]
+        at, first, second = _neighbours(ids)
+        wanted = first * _MOST + second
+        near = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        hit = keys[near] == wanted
+        out[at[hit]] = id_of[near[hit]]
+    return _one_break(out)
+
+
 def _found_often(keyed: DataFrame, least: int, name: str) -> DataFrame:
     """place, n and key of the keys that occur ``least`` times or more, and f at the first place of each, written.
 
@@ -204,21 +225,22 @@ def _counts(places: DataFrame) -> DataFrame:
     return places.where(F.isnotnull("f")).select("key", "f")
 
 
-def _pairs_of_blocks(keyed: DataFrame, places: DataFrame, table: DataFrame, *, with_codes: bool) -> DataFrame:
-    """Rows of neighbouring ids, where the blocks' keys are replaced by their ids of ``table``; other keys are breaks."""
-    found = places.select("key", "place").join(table.select("key", "id"), "key").select(F.shiftright("place", 32).alias("block"), F.col("place").bitwiseAND((1 << 32) - 1).alias("code"), "id")
-    blocks = keyed.where("place < 0").select((-1 - F.col("place")).alias("own_block"), F.col("n").alias("n_codes"), "codes")
+def _pairs_of_blocks(keyed: DataFrame, places: DataFrame, table: DataFrame, *, of_words: bool, with_ids: bool) -> DataFrame:
+    """Rows of neighbouring ids, where the blocks' words (or pairs) are replaced by their ids of ``table``; others are breaks."""
+    number = F.col("place").bitwiseAND((1 << 32) - 1) if of_words else F.col("key")
+    found = places.select("key", "place").join(table.select("key", "id"), "key").select(F.shiftright("place", 32).alias("block"), number.alias("number"), "id")
+    blocks = keyed.where("place < 0").select((-1 - F.col("place")).alias("own_block"), "codes")
+    replaced = _ids_of_words if of_words else _ids_of_pairs
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows != 1:
             raise ValueError("a block is not written once")
-        codes = _spread_out(left.column("codes")[0].as_py())
-        ids = _put(codes, right.column("code").to_numpy(), right.column("id").to_numpy(), left.column("n_codes")[0].as_py())
-        out = pa.Table.from_batches(_pair_rows(left.column("own_block")[0].as_py(), ids, with_codes=with_codes), schema=_PAIR_SCHEMA)
+        ids = replaced(_spread_out(left.column("codes")[0].as_py()), right.column("number").to_numpy(), right.column("id").to_numpy())
+        out = pa.Table.from_batches(_pair_rows(left.column("own_block")[0].as_py(), ids, with_ids=with_ids), schema=_PAIR_SCHEMA)
         pa.default_memory_pool().release_unused()
         return out
 
-    # a block has no more codes than words, so a group is bounded by the block
+    # a block has no more numbers than words, so a group is bounded by the block
     return blocks.groupBy("own_block").cogroup(found.groupBy("block")).applyInArrow(joined, "key long, place long, n long, codes binary")
 
 
@@ -246,20 +268,25 @@ def frequent_phrases(docs: DataFrame, *, group_col: str = "lang", text_col: str
     of the other words, for k = 1, 2, ...
     """
     texts = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("group"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    keyed = shared.written(texts.mapInArrow(lambda b: _word_rows(b, block_bytes), "key string, place long, n long, codes binary"), "words", **_PACKED)
+    spark = docs.sparkSession
+    paths = [shared.new_path(spark, "words"), shared.new_path(spark, "places-1")]
+    keyed = shared.written(texts.mapInArrow(lambda b: _word_rows(b, block_bytes), "key string, place long, n long, codes binary"), paths[0], **_PACKED)
     word = F.substring_index("key", " ", -1)
     group = F.expr("left(key, length(key) - length(substring_index(key, ' ', -1)) - 1)")
-    totals = keyed.where("key like '% '").groupBy(group.alias("group")).agg(F.sum("n").alias("n"))
+    totals = shared.written(keyed.where("key like '% '").groupBy(group.alias("group")).agg(F.sum("n").alias("n")), "totals")
     keyed = keyed.where("key is null or key not like '% '")
-    places = _found_often(keyed, least, "places-1")
+    places = _found_often(keyed, least, paths[1])
     named = _counts(places).select("key", "f", group.alias("group"), word.alias("phrase"))
     none = F.array().cast("array<long>")
     table = ranked(named, "phrases-1", [F.col("group"), F.desc("f"), F.col("phrase")]).withColumns({"heads": none, "tails": none})
     tables = [table]
     for size in range(2, LONGEST + 1):
-        keyed = shared.written(_pairs_of_blocks(keyed, places, table, with_codes=size < LONGEST), f"pairs-{size}", **_PACKED)
+        read, paths = paths, [shared.new_path(spark, f"pairs-{size}"), shared.new_path(spark, f"places-{size}")]
+        keyed = shared.written(_pairs_of_blocks(keyed, places, table, of_words=size == 2, with_ids=size < LONGEST), paths[0], **_PACKED)
+        # nothing reads the blocks of the size below again
+        shared.delete(spark, read)
         if size < LONGEST:
-            places = _found_often(keyed, least, f"places-{size}")
+            places = _found_often(keyed, least, paths[1])
             pairs = _counts(places)
         else:
             pairs = keyed.groupBy("key").agg(F.sum("n").alias("f")).where(F.col("f") >= least)

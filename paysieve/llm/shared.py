@@ -39,15 +39,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return _MADE[-1]
 
 
-def clear(spark: SparkSession) -> int:
-    """Deletes the tables that this process has written so far; how many there were.  Results that still read them fail afterwards."""
+def delete(spark: SparkSession, paths: list[str]) -> int:
+    """Deletes tables that nothing reads any more; how many there were."""
     gone = 0
-    while _MADE:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return gone
 
 
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables that this process has written so far; how many there were.  Results that still read them fail afterwards."""
+    paths = list(_MADE)
+    _MADE.clear()
+    return delete(spark, paths)
+
+
 def new_name(name: str, taken: list[str]) -> str:
     """A column name that none of ``taken`` is, whatever their case."""
     known = {t.lower() for t in taken}
@@ -57,8 +64,8 @@ def new_name(name: str, taken: list[str]) -> str:
 
 
 def written(df: DataFrame, name: str, by: list[str] | None = None, **options: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and safe when executors are lost."""
-    path = new_path(df.sparkSession, name)
+    """``df`` as a table in the shared folder: computed once, and safe when executors are lost.  A name with a slash is a whole path."""
+    path = name if "/" in name else new_path(df.sparkSession, name)
     writer = (df.write.partitionBy(*by) if by else df.write).options(**options)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
