@@ -14,7 +14,6 @@ the same word of a second one; ids follow each other by (group, falling count, w
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,14 +66,14 @@ def counted_pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _squeezed(numbers: np.ndarray) -> bytes:
-    """Small signed numbers, the like bytes of all together, compressed."""
-    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T)
-    return zlib.compress(planes.tobytes(), 1)
+    """Numbers from -1 (a break) on, the like bytes of all together, compressed; a break becomes 0, so that high bytes are mostly 0."""
+    planes = np.ascontiguousarray((numbers - _BREAK).astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _spread_out(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
+def _spread_out(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64) + _BREAK
 
 
 @dataclass(frozen=True)
@@ -150,7 +149,7 @@ def _rows(block: int, key: pa.Array, counts: np.ndarray, codes: np.ndarray | Non
     for a in range(0, n, at_once):
         yield whole.slice(a, at_once)
     if codes is not None:
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, key.type), pa.array([-1 - block]), pa.array([n], pa.int64()), pa.array([_squeezed(codes)], pa.binary())], _ROW)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, key.type), pa.array([-1 - block]), pa.array([len(codes)], pa.int64()), pa.array([_squeezed(codes)], pa.binary())], _ROW)
 
 
 def _word_rows(batches, most_bytes: int):
@@ -229,13 +228,13 @@ def _pairs_of_blocks(keyed: DataFrame, places: DataFrame, table: DataFrame, *, o
     """Rows of neighbouring ids, where the blocks' words (or pairs) are replaced by their ids of ``table``; others are breaks."""
     number = F.col("place").bitwiseAND((1 << 32) - 1) if of_words else F.col("key")
     found = places.select("key", "place").join(table.select("key", "id"), "key").select(F.shiftright("place", 32).alias("block"), number.alias("number"), "id")
-    blocks = keyed.where("place < 0").select((-1 - F.col("place")).alias("own_block"), "codes")
+    blocks = keyed.where("place < 0").select((-1 - F.col("place")).alias("own_block"), "n", "codes")
     replaced = _ids_of_words if of_words else _ids_of_pairs
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows != 1:
             raise ValueError("a block is not written once")
-        ids = replaced(_spread_out(left.column("codes")[0].as_py()), right.column("number").to_numpy(), right.column("id").to_numpy())
+        ids = replaced(_spread_out(left.column("codes")[0].as_py(), left.column("n")[0].as_py()), right.column("number").to_numpy(), right.column("id").to_numpy())
         out = pa.Table.from_batches(_pair_rows(left.column("own_block")[0].as_py(), ids, with_ids=with_ids), schema=_PAIR_SCHEMA)
         pa.default_memory_pool().release_unused()
         return out
