@@ -232,6 +232,20 @@ def test_collocations_against_sql(spark, block_bytes):
     same_rows(collocations.collocations(docs, least=10, most=300, block_bytes=block_bytes), collocations.SQL.format(least=10, most=300), DATA)
 
 
+@pytest.mark.parametrize("numbers", [[], [-1], [0, 5, -1, 2**31 - 2, 70000]])
+def test_numbers_of_a_block_are_stored_whole(numbers):
+    whole = np.array(numbers, dtype=np.int64)
+    assert collocations._spread_out(collocations._squeezed(whole), len(whole)).tolist() == numbers
+
+
+def test_ids_of_pairs():
+    ids = np.array([4, 7, -1, 4, 7, 9, 4, 4], dtype=np.int64)
+    keys = np.array([7 << 31 | 9, 4 << 31 | 7, 4 << 31 | 5], dtype=np.int64)
+    assert collocations._ids_of_pairs(ids, keys, np.array([20, 10, 30])).tolist() == [10, -1, 10, 20, -1]
+    assert collocations._ids_of_pairs(ids, keys[:0], keys[:0]).tolist() == [-1]
+    assert collocations._ids_of_pairs(ids[:0], keys, keys).tolist() == []
+
+
 def test_collocations_by_hand(spark):
     rows = [(i, t) for i, t in enumerate(["New York City! new york", "NEW YORK CITY; x new york city", "new  york\tcity.", None, ""] * 3)]
     found = {r.phrase: r for r in collocations.collocations(odd(spark, rows), least=3).collect()}
