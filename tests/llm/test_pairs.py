@@ -59,10 +59,10 @@ def classes(texts):
     return of
 
 
-@pytest.mark.parametrize("block, hot_rows", [(1024, 1 << 20), (8, 7)])
-def test_near_duplicates_are_the_brute_force_classes(spark, corpus, block, hot_rows):
+@pytest.mark.parametrize("block, hot_rows, star_elements", [(1024, 1 << 20, 1 << 22), (8, 7, 900)])
+def test_near_duplicates_are_the_brute_force_classes(spark, corpus, block, hot_rows, star_elements):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(corpus)], "doc_id long, text string, class_id string").repartition(5)
-    found = dart_minhash.near_duplicates(docs, block=block, hot_rows=hot_rows).collect()
+    found = dart_minhash.near_duplicates(docs, block=block, hot_rows=hot_rows, star_elements=star_elements).collect()
     assert {r.doc_id: r.class_id for r in found} == dict(enumerate(classes(corpus)))
     assert sorted(r.doc_id for r in found if r.keep) == sorted({r.class_id for r in found})
     kept = dart_minhash.kept_documents(docs)
@@ -94,6 +94,29 @@ def test_dart_signatures_estimate_weighted_jaccard():
         assert abs(np.mean(e)) < 0.015 and np.std(e) < 0.06
 
 
+def test_repeated_shingles_weigh_more_and_lose_no_link(spark):
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(60):  # one text of each pair says most of the other again and again: sets alike by 0.8 or more
+        base = prose(rng, 120)
+        pairs.append((base, " ".join([edited(rng, base, 0.01), *[base] * 4])))
+    docs = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    alike = [i for i, (a, b) in enumerate(pairs) if jaccard(a, b) >= 0.8]
+    assert len(alike) > 40
+    found = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [i for i in alike if found[2 * i] != found[2 * i + 1]] == []
+    elements, starts, times = dart_minhash.distinct(np.array([5, 3, 5, 5, 9, 9], np.uint64), np.array([0, 4, 4, 6]))
+    assert elements.tolist() == [3, 5, 9] and starts.tolist() == [0, 2, 2, 3] and times.tolist() == [1, 3, 2]
+    assert np.allclose(dart_minhash.weights_of(times, 0.25), [1, 1 + 0.5 / 3, 1.125]) and dart_minhash.weights_of(times[:1], 0.25) is None
+
+
+def test_signatures_of_tiny_weights_do_not_agree():
+    m = dart_minhash.DartMinHash(128)
+    one = np.array([11, 12, 13], dtype=np.uint64)
+    s = m.signatures(np.concatenate([one, one + np.uint64(50), one]), np.array([0, 3, 6, 9]), np.full(9, 1e-7))
+    assert (s[0] == s[2]).all() and (s[0] == s[1]).mean() < 0.05
+
+
 @pytest.mark.parametrize("hot_rows", [1 << 20, 10])
 def test_components(spark, hot_rows):
     rng = random.Random(1)
