@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.functions import columns as C
@@ -82,11 +82,19 @@ def amount_stats(fact: DataFrame, p: Params) -> DataFrame:
     return own.withColumns({"tukey_fence": C.rounded(fence, 4), "floor": floor, "applied_threshold": C.rounded(F.greatest(fence, floor), 4)})
 
 
+def _half_decades() -> Column:
+    """The amount's half decade; of 0, which has no logarithm in Spark, the lowest."""
+    return F.when(F.col("amount") == 0, F.lit(float("-inf"))).otherwise(F.floor(2 * F.log10("amount")))
+
+
+def _amount_bucket(half: Column) -> Column:
+    """The least amount of a half decade; 0 for all under a half of the last digit."""
+    return C.rounded(F.pow(F.lit(10.0), half / 2), 4)
+
+
 def amount_histogram(fact: DataFrame) -> DataFrame:
-    """Successful amounts by half decades."""
-    step = F.floor(2 * F.log10("amount")) / 2
-    own = fact.where(kpis.successful()).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("transactions"))
-    return own.select(C.rounded(F.pow(F.lit(10.0), F.col("step")), 4).alias("bucket"), "transactions").orderBy("bucket")
+    """Successful amounts by half decades, and those of 0."""
+    return fact.where(kpis.successful()).groupBy(_amount_bucket(_half_decades()).alias("bucket")).agg(F.count(F.lit(1)).alias("transactions")).orderBy("bucket")
 
 
 COUNTED = ("bands", "histogram", "rules", "combinations", "amount_histogram")
@@ -99,7 +107,8 @@ def counted(fact: DataFrame, p: Params) -> DataFrame:
     of rules, and its amount's half decade.  Keys are text.  The rules and buckets bound the result.
     """
     bucket = (F.floor(F.col("fraud_score") / p.score_bucket) * p.score_bucket).cast("long")
-    half = F.floor(2 * F.log10("amount"))
+    # whole numbers, but for amounts of 0
+    half = F.when(F.col("amount") == 0, _half_decades().cast("string")).otherwise(_half_decades().cast("long").cast("string"))
     combination = F.array_join(F.array_sort("reasons"), " + ")
     entry = lambda panel, key, band=None: F.struct(F.lit(panel).alias("panel"), key.cast("string").alias("key"), (F.lit(None).cast("string") if band is None else band).alias("band"))
     own = F.array(
@@ -124,5 +133,5 @@ def of_counted(counts: DataFrame, p: Params) -> dict[str, DataFrame]:
         "histogram": of("histogram").select(F.col("key").cast("long").alias("bucket"), "transactions").orderBy("bucket"),
         "rules": of("rules").select(F.col("key").alias("rule"), F.col("transactions").alias("fired"), "in_alerts").orderBy(F.desc("fired"), "rule"),
         "combinations": shown.withColumn("other", F.col("every") - F.sum("transactions").over(whole)).drop("every").orderBy(F.desc("transactions"), "combination", "risk_band"),
-        "amount_histogram": of("amount_histogram").select(C.rounded(F.pow(F.lit(10.0), F.col("key").cast("long") / 2), 4).alias("bucket"), "transactions").orderBy("bucket"),
+        "amount_histogram": of("amount_histogram").groupBy(_amount_bucket(F.col("key").cast("double")).alias("bucket")).agg(F.sum("transactions").alias("transactions")).orderBy("bucket"),
     }

@@ -236,3 +236,10 @@ def test_label_files_of_one_time_are_told_apart_by_name(spark):
     files = spark.createDataFrame([("2026", "b.json", {"x": "late"}), ("2026", "a.json", {"x": "early"}), ("2025", "c.json", {"x": "old"})], "generated_at string, file string, labels map<string,string>")
     assert [tuple(r) for r in quality.labels_of(files).collect()] == [("x", "late")]
     assert [tuple(r) for r in quality.labels_of(files.drop("file")).collect()] == [("x", "late")]
+
+
+def test_amounts_of_nothing_have_a_bucket(spark):
+    fact = rows(spark, *({"amount": a} for a in (0.0, 0.0, 0.00001, 0.5, 100.0))).withColumns({"risk_band": F.lit("LOW"), "fraud_score": F.lit(0), "reasons": F.array().cast("array<string>")})
+    want = [(0.0, 3), (0.3162, 1), (100.0, 1)]
+    assert [tuple(r) for r in panels.amount_histogram(fact).collect()] == want
+    assert [tuple(r) for r in panels.of_counted(panels.counted(fact, P), P)["amount_histogram"].collect()] == want
