@@ -36,6 +36,7 @@ def moments(keys: DataFrame, p: Params) -> DataFrame:
     after = F.lead(at).over(Window.partitionBy("payer_key", "payee_key", "_bucket").orderBy("event_epoch"))
     own = dealt.withColumn("_next", after).where(F.col("_bucket") == bucket)
     n, one, none = F.col("n"), F.isnotnull("payee_key").cast("long"), F.lit(0).cast("long")
+    # what ends at this very second ends in the next bucket, so it is counted anew there, too
     start = (F.col("_bucket") + 1) * size
     paid = at + (p.velocity_seconds + 1)
     met = F.least(at + (p.fanout_seconds + 1), F.col("_next"))
@@ -45,7 +46,7 @@ def moments(keys: DataFrame, p: Params) -> DataFrame:
             change(at, n, n, one),
             change(paid, none, -n, none),
             F.when(one > 0, change(met, none, none, -one)),
-            F.when(paid > start, change(start, none, n, none)),
+            F.when(paid >= start, change(start, none, n, none)),
             F.when((one > 0) & (met > start), change(start, none, none, one)),
         )
     )

@@ -243,3 +243,14 @@ def test_amounts_of_nothing_have_a_bucket(spark):
     want = [(0.0, 3), (0.3162, 1), (100.0, 1)]
     assert [tuple(r) for r in panels.amount_histogram(fact).collect()] == want
     assert [tuple(r) for r in panels.of_counted(panels.counted(fact, P), P)["amount_histogram"].collect()] == want
+
+
+def edge(spark, seconds, *offsets):
+    """Counts of one payer's payments, which are so many seconds from a bucket's begin."""
+    start = 60_000 * features.bucket_seconds(P)
+    own = spark.createDataFrame([("p", f"m{payee}", start + at, str(i)) for i, (at, payee) in enumerate(offsets)], "payer_key string, payee_key string, event_epoch long, transaction_id string")
+    return [r[seconds] for r in features.payer_windows(own, P).orderBy(F.col("transaction_id").cast("int")).collect()]
+
+
+def test_payments_whose_window_ends_with_a_bucket(spark):
+    assert edge(spark, "txns_in_window", (-P.velocity_seconds - 1, 1), (0, 2), (7, 3)) == [1, 1, 2]
