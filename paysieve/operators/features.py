@@ -47,7 +47,7 @@ def moments(keys: DataFrame, p: Params) -> DataFrame:
             change(paid, none, -n, none),
             F.when(one > 0, change(met, none, none, -one)),
             F.when(paid >= start, change(start, none, n, none)),
-            F.when((one > 0) & (met > start), change(start, none, none, one)),
+            F.when((one > 0) & (met >= start), change(start, none, none, one)),
         )
     )
     events = own.select(F.col("payer_key").alias("_payer"), F.inline(changes)).withColumn("_bucket", F.floor(F.col("_at") / size))

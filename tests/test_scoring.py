@@ -254,3 +254,9 @@ def edge(spark, seconds, *offsets):
 
 def test_payments_whose_window_ends_with_a_bucket(spark):
     assert edge(spark, "txns_in_window", (-P.velocity_seconds - 1, 1), (0, 2), (7, 3)) == [1, 1, 2]
+
+
+def test_payees_who_leave_with_a_bucket(spark):
+    # by the end of the window, and by the next payment to the same payee
+    assert edge(spark, "distinct_payees_in_window", (-P.fanout_seconds - 1, 1), (0, 2), (7, 3)) == [1, 1, 2]
+    assert edge(spark, "distinct_payees_in_window", (-100, 1), (0, 1), (7, 3)) == [1, 1, 2]
