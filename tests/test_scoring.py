@@ -260,3 +260,11 @@ def test_payees_who_leave_with_a_bucket(spark):
     # by the end of the window, and by the next payment to the same payee
     assert edge(spark, "distinct_payees_in_window", (-P.fanout_seconds - 1, 1), (0, 2), (7, 3)) == [1, 1, 2]
     assert edge(spark, "distinct_payees_in_window", (-100, 1), (0, 1), (7, 3)) == [1, 1, 2]
+
+
+def test_scores_of_windows_that_end_with_a_bucket(spark):
+    p = replace(P, velocity_most=1, fanout_most=1)
+    start = datetime.fromtimestamp(60_000 * features.bucket_seconds(p), UTC)
+    at = lambda s, payee: {"event_time": start + timedelta(seconds=s), "payee_key": payee}
+    got = reasons(spark, at(-p.fanout_seconds - 1, "a"), at(-p.velocity_seconds - 1, "b"), at(0, "c"), at(9, "d"), p=p)
+    assert [[r for r in got[f"T{i:04}"] if r in ("velocity", "fanout")] for i in range(4)] == [[], ["fanout"], ["fanout"], ["velocity", "fanout"]]
