@@ -53,9 +53,10 @@ def standardised(rows: DataFrame, p: Params, salt: str) -> DataFrame:
         "device_hash": C.keyed(C.present(raw["device_id"]), salt),
         "ip_hash": C.keyed(C.present(raw["ip_address"]), salt),
     }
-    whole = rows.withColumns(new).withColumn("reject_reason", reject_reason(p))
-    # a filter on the reason passes projections, which would then parse the line once for each use, but no generator
-    return whole.select(F.inline(F.array(F.struct(*(F.col(c) for c in whole.columns)))))
+    whole = rows.withColumns(new)
+    # a filter on the reason passes projections, which would then parse the line once for each use, but no generator; the
+    # reason is outside, as the JVM compiles no generated method of over 8000 bytes
+    return whole.select(F.inline(F.array(F.struct(*(F.col(c) for c in whole.columns))))).withColumn("reject_reason", reject_reason(p))
 
 
 def accepted(rows: DataFrame, p: Params) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysieve.params import Params
@@ -66,10 +66,19 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """The columns, computed once, whatever reads them: projections are merged, a generator is not.
+
+    Several of them in a row are several generated methods, each short enough (8000 bytes) for the JVM to compile.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def raw_lines(events: DataFrame) -> DataFrame:
     """NDJSON lines with planted defects: value and event_id."""
     e, user = F.col("event_id"), F.col("user_id")
-    feed = transactions(events).withColumn("_t", F.unix_seconds("event_time"))
+    # a file of few row groups is few tasks; lines are much work for few bytes
+    feed = transactions(events.repartition("event_id")).withColumn("_t", F.unix_seconds("event_time"))
     every = lambda n, r=0: e % n == r
     iso = F.concat(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("_t").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     here = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("_t").cast("timestamp_ntz")) + F.expr(f"INTERVAL {OFFSET_MINUTES} MINUTES"), "dd-MM-yyyy HH:mm:ss")
@@ -77,16 +86,17 @@ def raw_lines(events: DataFrame) -> DataFrame:
     plain = F.col("amount").cast("decimal(18,2)")
     amount = F.when(every(109), None).when(every(137), F.lit("abc")).when(every(101), (-plain).cast("string")).when(every(139), F.lit("0")).when(every(149), F.lit("7250000")).otherwise(plain.cast("string"))
     quoted = every(137) | every(3) & ~every(101) & ~every(139) & ~every(149)
-    amount_json = F.when(amount.isNull(), "null").when(quoted, F.concat(F.lit('"'), amount, F.lit('"'))).otherwise(amount)
     status = F.when(every(151), "ON_HOLD").when(every(7), F.concat(F.lit("  "), F.lower("status"), F.lit("  "))).otherwise(F.col("status"))
     currency = F.when(every(157), "USD").when(every(11), " inr ").otherwise("INR")
+    sent_id = F.when(every(113), None).otherwise(F.col("transaction_id"))
+    valued = _once(feed, "event_id", "user_id", sent_id.alias("transaction_id"), time.alias("_time"), amount.alias("_amount"), status.alias("status"), currency.alias("currency"), "txn_type", "payee_key", "payer_bank", "app", "city")
     text = {
-        "transaction_id": F.when(every(113), None).otherwise(F.col("transaction_id")),
-        "event_time": time,
+        "transaction_id": F.col("transaction_id"),
+        "event_time": F.col("_time"),
         "payer_vpa": F.concat(F.lit("user"), F.lpad(user.cast("string"), 6, "0"), F.lit("@okb"), (user % 8).cast("string")),
         "payee_vpa": F.concat(F.lit("merchant"), F.lpad("payee_key", 5, "0"), F.lit("@ybl")),
-        "currency": currency,
-        "status": status,
+        "currency": F.col("currency"),
+        "status": F.col("status"),
         "txn_type": F.col("txn_type"),
         "payer_bank": F.col("payer_bank"),
         "app": F.col("app"),
@@ -95,18 +105,18 @@ def raw_lines(events: DataFrame) -> DataFrame:
         "city": F.col("city"),
         "payer_phone": F.concat(F.lit("9"), F.lpad(user.cast("string"), 9, "0")),
     }
-    members = [F.concat(F.lit(f'"{n}":'), F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))) for n, c in text.items()]
-    members += [F.concat(F.lit('"amount":'), amount_json), F.concat(F.lit('"latency_ms":'), (e % 900).cast("string"))]
-    line = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
-    value = F.when(every(163), F.left(line, F.lit(30))).otherwise(line)
-    # the line is put together once, whatever reads it several times
-    return feed.select(F.inline(F.array(F.struct(value.alias("value"), F.col("event_id")))))
+    members = lambda names: F.concat_ws(",", *(F.concat(F.lit(f'"{n}":'), F.coalesce(F.concat(F.lit('"'), text[n], F.lit('"')), F.lit("null"))) for n in names))
+    names = list(text)
+    halves = _once(valued, "event_id", members(names[:6]).alias("_first"), members(names[6:]).alias("_second"), "_amount")
+    amount_json = F.when(F.isnull("_amount"), "null").when(quoted, F.concat(F.lit('"'), "_amount", F.lit('"'))).otherwise(F.col("_amount"))
+    numbers = F.concat(F.lit('"amount":'), amount_json, F.lit(',"latency_ms":'), (e % 900).cast("string"))
+    line = F.concat(F.lit("{"), F.concat_ws(",", "_first", "_second", numbers), F.lit("}"))
+    return _once(halves, F.when(every(163), F.left(line, F.lit(30))).otherwise(line).alias("value"), "event_id")
 
 
 def resent_lines(events: DataFrame) -> DataFrame:
     """``raw_lines``, and a second copy of some."""
-    lines = raw_lines(events)
-    return lines.unionAll(lines.where("event_id % 67 = 0"))
+    return raw_lines(events).unionAll(raw_lines(events.where("event_id % 67 = 0")))
 
 
 def labels(feed: DataFrame) -> DataFrame:
