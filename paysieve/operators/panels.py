@@ -34,17 +34,23 @@ def funnel(landing: DataFrame, structured: DataFrame, rejects: DataFrame, cleans
     The steps that are no layer: unparseable lines, quarantined rows, one for each reason, and the copies
     and late rows between what was good and what was kept.
     """
-    one = lambda at, step, df: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(at).alias("position"), F.lit(step).alias("step"), F.lit(None).cast("string").alias("detail"), "rows")
-    layers = [one(0, "landing", landing), one(1, "bronze", structured), one(4, "silver", cleansed), one(6, "gold", fact)]
-    bad = structured.where(~F.col("is_parseable"))
-    reasons = rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
-    all_reasons = reasons.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(F.lit(3), F.lit("quarantined"), F.lit(None).cast("string"), "rows")
-    by_reason = reasons.select(F.lit(3), F.lit("quarantined"), "reject_reason", "rows")
-    base = layers[0].union(layers[1]).union(one(2, "unparseable", bad)).union(all_reasons).union(layers[2])
-    # what is neither quarantined nor kept was collapsed; from the totals alone
-    sign = F.when(F.col("step") == "bronze", 1).when(F.col("step").isin("quarantined", "silver"), -1).otherwise(0)
-    gone = base.agg(F.greatest(F.sum(sign * F.col("rows")), F.lit(0)).alias("rows")).select(F.lit(5), F.lit("deduplicated"), F.lit(None).cast("string"), "rows")
-    return base.union(gone).union(layers[3]).union(by_reason).orderBy("position", F.col("detail").asc_nulls_first())
+    none = F.lit(None).cast("string")
+    entry = lambda at, step, rows, detail=none: F.struct(F.lit(at).alias("position"), F.lit(step).alias("step"), detail.alias("detail"), rows.alias("rows"))
+    count = F.count(F.lit(1))
+    one = lambda df, *entries: df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+    reasons = rejects.groupBy("reject_reason").agg(count.alias("rows")).select(F.lit(3).alias("position"), F.lit("quarantined").alias("step"), F.col("reject_reason").alias("detail"), "rows")
+    bronze = one(structured, entry(1, "bronze", count), entry(2, "unparseable", F.count_if(~F.col("is_parseable"))))
+    counted = one(landing, entry(0, "landing", count)).union(bronze).union(reasons).union(one(cleansed, entry(4, "silver", count))).union(one(fact, entry(6, "gold", count)))
+    # each layer is counted once; the other totals are over these few rows, and come with one of them
+    whole = Window.partitionBy()
+    total = lambda step: F.coalesce(F.sum(F.when(F.col("step") == step, F.col("rows"))).over(whole), F.lit(0))
+    # what is neither quarantined nor kept was collapsed
+    gone = F.greatest(total("bronze") - total("quarantined") - total("silver"), F.lit(0))
+    summed = counted.withColumns({"_bad": total("quarantined"), "_gone": gone})
+    own = F.struct("position", "step", "detail", "rows")
+    more = F.array(own, entry(3, "quarantined", F.col("_bad")), entry(5, "deduplicated", F.col("_gone")))
+    every = summed.select(F.inline(F.when(F.col("step") == "landing", more).otherwise(F.array(own))))
+    return every.orderBy("position", F.col("detail").asc_nulls_first())
 
 
 def unparseable(structured: DataFrame) -> DataFrame:

@@ -294,11 +294,13 @@ def headline(spark, sf_dir):
 
 @query
 def funnel(spark, sf_dir):
-    rows = _standardised(spark, sf_dir)
-    good = cleanse.accepted(rows, FEED_PARAMS)
-    lines = feeds.raw_lines(_events(spark, sf_dir))
-    own = cleanse.one_per_id(good)
-    return panels.funnel(lines, rows, cleanse.rejected(rows), own, own)
+    # written once, as every layer counts it; a line is landed for each event
+    own = _standardised(spark, sf_dir).select("transaction_id", "is_parseable", "reject_reason")
+    path = scratch.new_folder(spark, "funnel")
+    own.write.parquet(path)
+    rows = spark.read.schema(own.schema).parquet(path)
+    kept = cleanse.one_per_id(rows.where(F.isnull("reject_reason")))
+    return panels.funnel(_events(spark, sf_dir), rows, rows.where(F.isnotnull("reject_reason")), kept, kept)
 
 
 @query
@@ -386,14 +388,14 @@ def _run_counts(spark: SparkSession, reports: list[dict]) -> DataFrame:
 
 def _three_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """A run, a second one over new files that also repeat lines of the first, and one over nothing new."""
-    lines = feeds.raw_lines(_events(spark, sf_dir))
-    return [lines.where("event_id % 3 <> 0"), lines.where("event_id % 3 = 0 or event_id % 67 = 0"), lines.where("false")]
+    events = _events(spark, sf_dir)
+    return [feeds.raw_lines(events.where(some)) for some in ("event_id % 3 <> 0", "event_id % 3 = 0 or event_id % 67 = 0", "false")]
 
 
 def _even_then_odd(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The second run's rows are late where they are older than the first run's watermark."""
-    lines = feeds.raw_lines(_events(spark, sf_dir))
-    return [lines.where("event_id % 2 = 0"), lines.where("event_id % 2 = 1")]
+    events = _events(spark, sf_dir)
+    return [feeds.raw_lines(events.where(f"event_id % 2 = {half}")) for half in (0, 1)]
 
 
 @query

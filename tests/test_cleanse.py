@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from paysieve import schemas
-from paysieve.operators import cleanse, ingest, quality
+from paysieve.operators import cleanse, ingest, panels, quality
 from paysieve.params import Params
+from paysieve.plans import queries
 
 GOOD = {"transaction_id": "P-77", "event_time": "2025-03-02T05:06:07Z", "payer_vpa": "asha.k@bankx", "amount": 310.25, "status": "pending", "currency": "inr", "payer_phone": "7012345678", "ip_address": "172.16.9.40", "device_id": "DEV-31"}
 
@@ -67,3 +68,24 @@ def test_a_line_is_parsed_once_in_each_branch(spark):
     for df, branches in ((good, 1), (bad, 1), (good.select("transaction_id").union(bad.select("transaction_id")), 2)):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(") <= branches
+
+
+def test_no_generated_method_is_too_long_to_be_compiled(spark, tmp_path):
+    spark.range(1000).selectExpr("id as event_id", "timestamp_ntz'2024-01-01' as ts", "id as user_id", "'view' as event_type", "1.0d as value", "'{\"k\": 1}' as props").write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = queries._standardised(spark, str(tmp_path))._jdf.queryExecution().debug().codegenToSeq()
+        assert found.length() >= 2
+        assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.length())) <= 8000  # HotSpot's limit
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_funnel_counts_each_layer_once(spark, tmp_path):
+    spark.range(9).selectExpr("id % 2 = 0 as is_parseable", "if(id < 4, 'bad', null) as reject_reason", "id").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    own = panels.funnel(rows, rows, rows.where("reject_reason is not null"), rows.where("id > 4"), rows.where("id > 5"))
+    assert own._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 5
+    assert [tuple(r) for r in own.collect()] == [(0, "landing", None, 9), (1, "bronze", None, 9), (2, "unparseable", None, 4), (3, "quarantined", None, 4), (3, "quarantined", "bad", 4), (4, "silver", None, 4), (5, "deduplicated", None, 1), (6, "gold", None, 3)]
+    empty = panels.funnel(*[rows.limit(0)] * 5)
+    assert [r.rows for r in empty.collect()] == [0] * 7
