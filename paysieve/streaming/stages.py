@@ -29,6 +29,15 @@ def structure(spark: SparkSession, store: Store, run_id: str) -> Drained:
     return store.table(spark, BRONZE_TABLE).drain(rows, "bronze", by=("ingest_date",))
 
 
+#: Files that a batch writes of a day.
+FILES_A_DAY = 4
+
+
+def by_day(rows: DataFrame) -> DataFrame:
+    """A day's rows in few tasks, for a table in folders by day: else each task writes a file of each day."""
+    return rows.repartition("event_date", F.pmod(F.xxhash64("transaction_id"), F.lit(FILES_A_DAY)))
+
+
 def deduplicated(rows: DataFrame, p: Params) -> DataFrame:
     """One row of each id within the watermark.  Rows older than it are dropped, and counted as late."""
     return rows.withWatermark("event_time", p.watermark).dropDuplicatesWithinWatermark(["transaction_id"])
@@ -48,7 +57,7 @@ def cleanse_new(spark: SparkSession, store: Store, p: Params, salt: str, *, dedu
     rows = cleanse.standardised(store.table(spark, BRONZE_TABLE).news(schemas.BRONZE), p, salt)
     good = cleanse.accepted(rows, p)
     if dedupe == "watermark":
-        kept = store.table(spark, SILVER_TABLE).drain(deduplicated(good, p), "silver", by=("event_date",))
+        kept = store.table(spark, SILVER_TABLE).drain(by_day(deduplicated(good, p)), "silver", by=("event_date",))
         if kept.late or begun.pending:
             _append_late(spark, store, good, None if begun.pending else kept.watermark)
     else:
@@ -112,7 +121,7 @@ def _append_unseen(spark: SparkSession, store: Store, good: DataFrame, buckets:
                 # a bucket's ids are one file a batch
                 mine = unseen.select("transaction_id", F.lit(batch_id).cast("long").alias("batch_id"), "id_bucket")
                 ids.append(mine.repartition(F.col("id_bucket")), by=("id_bucket",))
-            written += silver.append(unseen.select(*schemas.SILVER.names), by=("event_date",))
+            written += silver.append(by_day(unseen.select(*schemas.SILVER.names)), by=("event_date",))
         finally:
             own.unpersist()
 

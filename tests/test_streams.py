@@ -234,3 +234,10 @@ def test_incremental_gold_reads_few_days(spark, place):
     assert run(spark, place, dedupe="table", incremental=True)["gold"]["days"] <= 8
     counts = {r.transaction_id: r.payers_on_ip for r in place[0].table(spark, pipeline.FACT).rows().collect()}
     assert counts["T30"] == counts["T101"] == 2 and counts["T29"] == 1
+
+
+def test_a_day_is_written_in_few_files(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 40).selectExpr("concat('T', id) as transaction_id", "concat('2026-08-0', id % 3 + 1) as event_date")
+    stages.by_day(rows).write.partitionBy("event_date").parquet(f"{tmp_path}/days")
+    assert spark.read.parquet(f"{tmp_path}/days").count() == 4000
+    assert all(len(list(d.glob("*.parquet"))) <= stages.FILES_A_DAY for d in tmp_path.glob("days/event_date=*"))
