@@ -241,3 +241,17 @@ def test_a_day_is_written_in_few_files(spark, tmp_path):
     stages.by_day(rows).write.partitionBy("event_date").parquet(f"{tmp_path}/days")
     assert spark.read.parquet(f"{tmp_path}/days").count() == 4000
     assert all(len(list(d.glob("*.parquet"))) <= stages.FILES_A_DAY for d in tmp_path.glob("days/event_date=*"))
+
+
+def test_exact_collapsing_writes_a_day_in_few_files(spark, place):
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        place[2]("a.txt", *(line(i, hours=24 * (i % 2)) for i in range(400)))
+        run(spark, place, dedupe="table", incremental=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    for name in ("silver/transactions", "gold/fact"):
+        days = list(Path(place[0].root).glob(f"{name}/event_date=*"))
+        assert len(days) == 2 and all(len(list(d.glob("*.parquet"))) <= stages.FILES_A_DAY for d in days), name
+    assert place[0].table(spark, pipeline.FACT).count() == 400
