@@ -112,7 +112,7 @@ class _Gold:
         own = scoring.scored(features.with_features(self._silver(read), self.p, links), self.p, F.lit(limit)).drop("event_epoch").where(F.col("event_date").isin(sorted(stale)))
         own = own.withColumns({"scored_at": F.current_timestamp(), "scoring_run_id": F.lit(self.run_id)})
         fact = self._table(FACT)
-        fact.replace_parts(own.select(*(c for c in own.columns if c != "event_date"), "event_date"), by=("event_date",))
+        fact.replace_parts(stages.by_day(own.select(*(c for c in own.columns if c != "event_date"), "event_date")), by=("event_date",))
         fresh = fact.rows(own.schema).where(F.col("event_date").isin(sorted(stale)))
         for where, df in ((ALERTS, scoring.alerts(fresh)), (DAILY, kpis.daily(fresh)), (DIMENSION_DAYS, kpis.dimension_days(fresh))):
             self._replace_days(where, df, stale)
@@ -125,7 +125,8 @@ class _Gold:
         """The days' rows anew.  A day that has none now keeps none: an alert that is gone leaves a partition without rows."""
         table = self._table(where)
         columns = [c for c in df.columns if c != "event_date"]
-        table.replace_parts(df.select(*columns, "event_date"), by=("event_date",))
+        own = df.select(*columns, "event_date")
+        table.replace_parts(stages.by_day(own) if where == ALERTS else own, by=("event_date",))
         if where == ALERTS:
             kept = _days(df)
             table.drop_parts("event_date", sorted(stale - kept))

@@ -28,7 +28,7 @@ def build_gold(spark: SparkSession, store: Store, p: Params, run_id: str) -> dic
     limit = features.threshold(cleansed, p).first().threshold
     own = scoring.fact(cleansed, p, F.lit(limit)).withColumns({"scored_at": F.current_timestamp(), "scoring_run_id": F.lit(run_id)})
     table = store.table(spark, FACT)
-    table.replace(own, by=("event_date",))
+    table.replace(stages.by_day(own), by=("event_date",))
     fact = table.rows(own.schema)
     for where, df in ((ALERTS, scoring.alerts(fact)), (DAILY, kpis.daily(fact)), (DIMENSION, kpis.by_dimension(fact))):
         store.table(spark, where).replace(df)
