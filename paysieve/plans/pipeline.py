@@ -80,31 +80,28 @@ def run_pipeline(spark: SparkSession, store: Store, p: Params, *, folder: str, s
 
 
 def export_panels(spark: SparkSession, store: Store, p: Params, folder: str, *, labels: DataFrame, environment: str, most_alerts: int | None = None) -> list[str]:
-    """JSON files of each panel; the fact is cached for the time of the export, and one scan counts for five panels.
+    """JSON files of each panel; one scan of the fact counts for five panels, and each other one reads its own few columns.
 
     Alerts without a cap are many files.
     """
     of = lambda where, schema=None: store.table(spark, where).rows(schema, or_empty=schema is not None)
-    fact = of(FACT).persist()
-    try:
-        bronze, rejects = of(stages.BRONZE_TABLE, schemas.BRONZE), of(stages.QUARANTINE_TABLE, schemas.QUARANTINE)
-        own = panels.counted(fact, p)
-        counts = spark.createDataFrame(own.collect(), own.schema)  # as few rows as the panels have
-        out = {
-            "headline": panels.headline(fact, labels, p),
-            "funnel": panels.funnel(of(stages.LANDING_TABLE, schemas.LANDING), bronze, rejects, of(stages.SILVER_TABLE, schemas.SILVER), fact),
-            "quarantine": quality.reason_counts(rejects),
-            "unparseable": panels.unparseable(bronze),
-            "daily": kpis.with_flagged_share(of(DAILY).orderBy("event_date")),
-            "dimensions": of(DIMENSION).orderBy("dimension", F.desc("total_amount"), "dimension_value"),
-            **panels.of_counted(counts, p),
-            "amounts": panels.amount_stats(fact, p),
-            "detection": quality.with_alerted_share(quality.detection(fact, labels)),
-            "alerts": scoring.capped(scoring.alerts(fact), most_alerts),
-        }
-        for name, df in out.items():
-            whole = name == "alerts" and most_alerts is None
-            tables.write_panel(df, f"{folder}/{name}", one_file=not whole, environment=environment, engine="Spark", store=store.format)
-    finally:
-        fact.unpersist()
+    fact = of(FACT)
+    bronze, rejects = of(stages.BRONZE_TABLE, schemas.BRONZE), of(stages.QUARANTINE_TABLE, schemas.QUARANTINE)
+    own = panels.counted(fact, p)
+    counts = spark.createDataFrame(own.collect(), own.schema)  # as few rows as the panels have
+    out = {
+        "headline": panels.headline(fact, labels, p),
+        "funnel": panels.funnel(of(stages.LANDING_TABLE, schemas.LANDING), bronze, rejects, of(stages.SILVER_TABLE, schemas.SILVER), fact),
+        "quarantine": quality.reason_counts(rejects),
+        "unparseable": panels.unparseable(bronze),
+        "daily": kpis.with_flagged_share(of(DAILY).orderBy("event_date")),
+        "dimensions": of(DIMENSION).orderBy("dimension", F.desc("total_amount"), "dimension_value"),
+        **panels.of_counted(counts, p),
+        "amounts": panels.amount_stats(fact, p),
+        "detection": quality.with_alerted_share(quality.detection(fact, labels)),
+        "alerts": scoring.capped(scoring.alerts(fact), most_alerts),
+    }
+    for name, df in out.items():
+        whole = name == "alerts" and most_alerts is None
+        tables.write_panel(df, f"{folder}/{name}", one_file=not whole, environment=environment, engine="Spark", store=store.format)
     return list(out)

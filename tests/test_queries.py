@@ -6,6 +6,7 @@ import pytest
 
 from paysieve.plans.oracle import ORACLE_SQL
 from paysieve.plans.queries import QUERIES
+from paysieve.sources import tables
 from tests.compare import same_rows
 
 DATA = "/root/testdata/sf0.001"
@@ -15,3 +16,17 @@ DATA = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_against_sql(spark, name):
     same_rows(QUERIES[name](spark, DATA), ORACLE_SQL[name], DATA)
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables here")
+def test_an_export_scores_once(spark, monkeypatch):
+    """Only the fact is made of events; metrics are made of the stored fact."""
+    read, own = {}, tables.Table.replace
+
+    def replace(self, df, **options):
+        read[self.address.rpartition("/")[2]] = df.inputFiles()
+        own(self, df, **options)
+
+    monkeypatch.setattr(tables.Table, "replace", replace)
+    QUERIES["panels_exported"](spark, DATA)
+    assert [name for name, files in read.items() if any("events.parquet" in f for f in files)] == ["fact"] and len(read) == 3
