@@ -32,8 +32,15 @@ def reject_reason(p: Params) -> Column:
     return F.coalesce(*(F.when(failed, F.lit(name)) for name, failed in failures))
 
 
-def standardised(rows: DataFrame, p: Params, salt: str) -> DataFrame:
-    """Trimmed, case-folded, typed and masked columns and ``reject_reason``; no row is dropped."""
+#: The columns that hide an identifier; each takes hashing or cutting that no rule of rejection looks at.
+HIDDEN = ("payer_vpa_masked", "payee_vpa_masked", "payer_phone_masked", "payer_key", "payee_key", "device_hash", "ip_hash")
+
+
+def standardised(rows: DataFrame, p: Params, salt: str, *, hidden: bool = True) -> DataFrame:
+    """Trimmed, case-folded, typed and masked columns and ``reject_reason``; no row is dropped.
+
+    Without ``hidden`` the masks and keys are left out, for rows that are only to be rejected.
+    """
     raw = {f: F.col(f) for f in schemas.PAYLOAD_FIELDS}
     new = {
         "transaction_id": C.present(raw["transaction_id"]),
@@ -53,7 +60,7 @@ def standardised(rows: DataFrame, p: Params, salt: str) -> DataFrame:
         "device_hash": C.keyed(C.present(raw["device_id"]), salt),
         "ip_hash": C.keyed(C.present(raw["ip_address"]), salt),
     }
-    whole = rows.withColumns(new)
+    whole = rows.withColumns({name: c for name, c in new.items() if hidden or name not in HIDDEN})
     # a filter on the reason passes projections, which would then parse the line once for each use, but no generator; the
     # reason is outside, as the JVM compiles no generated method of over 8000 bytes
     return whole.select(F.inline(F.array(F.struct(*(F.col(c) for c in whole.columns))))).withColumn("reject_reason", reject_reason(p))

@@ -54,8 +54,8 @@ def cleanse_new(spark: SparkSession, store: Store, p: Params, salt: str, *, dedu
         raise ValueError(f"dedupe: {dedupe}")
     runs = store.table(spark, RUNS_TABLE)
     begun = _begun(runs, dedupe, id_buckets)
-    rows = cleanse.standardised(store.table(spark, BRONZE_TABLE).news(schemas.BRONZE), p, salt)
-    good = cleanse.accepted(rows, p)
+    news = store.table(spark, BRONZE_TABLE).news(schemas.BRONZE)
+    good = cleanse.accepted(cleanse.standardised(news, p, salt), p)
     if dedupe == "watermark":
         kept = store.table(spark, SILVER_TABLE).drain(by_day(deduplicated(good, p)), "silver", by=("event_date",))
         if kept.late or begun.pending:
@@ -63,7 +63,7 @@ def cleanse_new(spark: SparkSession, store: Store, p: Params, salt: str, *, dedu
     else:
         kept = _append_unseen(spark, store, good, begun.id_buckets)
     runs.append(_run_row(spark, dedupe, begun.id_buckets, ended=True))
-    return {"cleansed": kept, "quarantined": store.table(spark, QUARANTINE_TABLE).drain(cleanse.rejected(rows), "silver_quarantine")}
+    return {"cleansed": kept, "quarantined": store.table(spark, QUARANTINE_TABLE).drain(cleanse.rejected(cleanse.standardised(news, p, salt, hidden=False)), "silver_quarantine")}
 
 
 @dataclass(frozen=True)

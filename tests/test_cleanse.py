@@ -89,3 +89,11 @@ def test_a_funnel_counts_each_layer_once(spark, tmp_path):
     assert [tuple(r) for r in own.collect()] == [(0, "landing", None, 9), (1, "bronze", None, 9), (2, "unparseable", None, 4), (3, "quarantined", None, 4), (3, "quarantined", "bad", 4), (4, "silver", None, 4), (5, "deduplicated", None, 1), (6, "gold", None, 3)]
     empty = panels.funnel(*[rows.limit(0)] * 5)
     assert [r.rows for r in empty.collect()] == [0] * 7
+
+
+def test_rejection_needs_no_masks_and_no_keys(spark):
+    rows = spark.createDataFrame([(json.dumps(x),) for x in (GOOD, GOOD | {"amount": -1}, GOOD | {"status": "x"})], "raw_payload string")
+    rows = ingest.parsed(rows).withColumns({"source_file": F.lit("f"), "ingested_at": F.current_timestamp()})
+    bare, whole = (cleanse.rejected(cleanse.standardised(rows, Params(), "salt", hidden=h)).drop("rejected_at") for h in (False, True))
+    assert sorted(map(tuple, bare.collect())) == sorted(map(tuple, whole.collect())) and bare.count() == 2
+    assert "sha2(" not in bare._jdf.queryExecution().optimizedPlan().toString().lower()
