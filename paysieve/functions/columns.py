@@ -60,12 +60,21 @@ def keyed(c: Column, salt: str) -> Column:
 
 
 def local(c: Column, tz: str) -> Column:
-    """The wall clock of an instant in ``tz``, without regard to the session's zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit(tz), c.cast("timestamp_ntz"))
+    """The wall clock of an instant in ``tz``, without regard to the session's zone.
+
+    Not by way of the session's wall clock, which shows one hour twice where summer time ends.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch))
+
+
+def day(c: Column) -> Column:
+    """Year-month-day of a wall clock; ``date_format`` would move times that the session's zone leaves out."""
+    return c.cast("date").cast("string")
 
 
 def local_date(c: Column, tz: str) -> Column:
-    return F.date_format(local(c, tz), "yyyy-MM-dd")
+    return day(local(c, tz))
 
 
 def local_hour(c: Column, tz: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paysieve.functions import columns as C
 from paysieve.params import Params
 
 #: Events are sparse, so that the feeds are scored over whole days.
@@ -19,8 +20,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _instant(ts):
-    """An NTZ time as the instant that it is in UTC."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz")))
+    """An NTZ time as the instant that it is in UTC, also where the session's zone leaves that time out."""
+    return F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
 
 
 def transactions(events: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def transactions(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit("TXN"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("transaction_id"),
         _instant(F.col("ts")).alias("event_time"),
-        F.date_format(local, "yyyy-MM-dd").alias("event_date"),
+        C.day(local).alias("event_date"),
         F.col("value").alias("amount"),
         F.when(kind == "error", "FAILED").when(kind == "signup", "PENDING").otherwise("SUCCESS").alias("status"),
         F.lit("INR").alias("currency"),
@@ -56,7 +57,7 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(
         F.concat(F.lit("ORD"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("transaction_id"),
         _instant(F.col("o_orderdate")).alias("event_time"),
-        F.date_format(F.col("o_orderdate").cast("timestamp_ntz"), "yyyy-MM-dd").alias("event_date"),
+        C.day(F.col("o_orderdate").cast("timestamp_ntz")).alias("event_date"),
         F.col("o_totalprice").alias("amount"),
         status.alias("status"),
         F.col("o_custkey").cast("string").alias("payer_key"),
@@ -80,8 +81,10 @@ def raw_lines(events: DataFrame) -> DataFrame:
     # a file of few row groups is few tasks; lines are much work for few bytes
     feed = transactions(events.repartition("event_id")).withColumn("_t", F.unix_seconds("event_time"))
     every = lambda n, r=0: e % n == r
-    iso = F.concat(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("_t").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
-    here = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("_t").cast("timestamp_ntz")) + F.expr(f"INTERVAL {OFFSET_MINUTES} MINUTES"), "dd-MM-yyyy HH:mm:ss")
+    utc = C.local(F.timestamp_seconds("_t"), "UTC")
+    iso = F.concat(F.translate(utc.cast("string"), " ", "T"), F.lit("Z"))
+    shown = (utc + F.expr(f"INTERVAL {OFFSET_MINUTES} MINUTES")).cast("string")
+    here = F.concat(shown.substr(9, 2), F.lit("-"), shown.substr(6, 2), F.lit("-"), shown.substr(1, 4), shown.substr(11, 9))
     time = F.when(every(127), None).when(every(131), "yesterday").when(every(5, 1), (F.col("_t") * 1000).cast("string")).when(every(5, 2), here).otherwise(iso)
     plain = F.col("amount").cast("decimal(18,2)")
     amount = F.when(every(109), None).when(every(137), F.lit("abc")).when(every(101), (-plain).cast("string")).when(every(139), F.lit("0")).when(every(149), F.lit("7250000")).otherwise(plain.cast("string"))
@@ -121,7 +124,7 @@ def resent_lines(events: DataFrame) -> DataFrame:
 
 def labels(feed: DataFrame) -> DataFrame:
     """Labels of the ``transactions`` feed by a rule."""
-    hour = F.hour(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("event_time").cast("timestamp_ntz")) + F.expr(f"INTERVAL {OFFSET_MINUTES} MINUTES"))
+    hour = F.hour(C.local(F.col("event_time"), "UTC") + F.expr(f"INTERVAL {OFFSET_MINUTES} MINUTES"))
     kind = F.when(F.col("amount") > 200, "high_amount").when((F.col("user_id") % 10 == 0) & (F.col("event_id") % 4 == 0), "velocity").when((hour < 5) & (F.col("event_id") % 6 == 0), "odd_hour")
     return feed.select("transaction_id", kind.alias("injected_type")).where("injected_type is not null")
 

@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import duckdb
 import pytest
 
 from paysieve.plans.oracle import ORACLE_SQL
@@ -18,6 +19,21 @@ def test_against_sql(spark, name):
     same_rows(QUERIES[name](spark, DATA), ORACLE_SQL[name], DATA)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Europe/Berlin"])
+def test_scores_where_summer_time_begins_and_ends(spark, tmp_path, zone):
+    # a payment every 11 minutes of days that have an hour twice or leave one out in some zone
+    days = "unnest([TIMESTAMP '2024-03-10', TIMESTAMP '2024-03-31', TIMESTAMP '2024-10-27', TIMESTAMP '2024-11-03']) d(day), range(131) r(i)"
+    events = f"SELECT row_number() OVER () AS event_id, day + to_minutes(11 * i) AS ts, i % 7 AS user_id, 'view' AS event_type, (i % 90)::DOUBLE AS value, '{{\"k\": ' || (i % 13) || '}}' AS props FROM {days}"
+    duckdb.sql(f"COPY ({events}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for name in ("scored", "velocity", "fanout", "parse_lines", "kpi_daily", "label_scan"):
+            same_rows(QUERIES[name](spark, str(tmp_path)), ORACLE_SQL[name], tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables here")
 def test_an_export_scores_once(spark, monkeypatch):
     """Only the fact is made of events; metrics are made of the stored fact."""
