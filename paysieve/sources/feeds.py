@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from paysieve.functions import columns as C
 from paysieve.params import Params
@@ -16,7 +17,9 @@ OFFSET_MINUTES = 330
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table.  Times stored as instants are wall clocks of UTC, as those stored without a zone are, whatever the session's zone is."""
+    own = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return own.withColumns({f.name: C.local(F.col(f.name), "UTC") for f in own.schema if isinstance(f.dataType, TimestampType)})
 
 
 def _instant(ts):
